@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from checks import linking  # noqa: F401
+from checks import linking, searching  # noqa: F401
 from checks.registry import QUERIES, SQL  # noqa: F401

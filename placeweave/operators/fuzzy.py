@@ -78,8 +78,8 @@ def expansions(
     near = near_terms(tokens, vocabulary, k).withColumn(
         "factor", 1 - F.col("edits") / F.least(F.length("token"), F.length("term"))
     )
+    same = Window.partitionBy("token", "field")
     if most:
-        best = Window.partitionBy("token", "field").orderBy(F.desc("factor"), "term")
+        best = same.orderBy(F.desc("factor"), "term")
         near = near.withColumn("place", F.row_number().over(best)).where(F.col("place") <= most).drop("place")
-    common = near.groupBy("token", "field").agg(F.max("df").alias("clause_df"))
-    return near.join(common, ["token", "field"])
+    return near.withColumn("clause_df", F.max("df").over(same))

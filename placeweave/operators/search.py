@@ -17,7 +17,8 @@ from placeweave.operators.inverted import Index
 from placeweave.operators.skew import ROWS_PER_SLICE, hot_keys, split_hot_join
 from placeweave.sources.scratch import scratch_path
 
-CLAUSE = ["query_id", "ord", "kind", "clause", "n_terms", "field", "term", "weight", "clause_df"]
+QUERY = ["query_id", "any_token", "n_tokens"]
+CLAUSE = [*QUERY, "ord", "kind", "clause", "n_terms", "field", "term", "weight", "clause_df"]
 
 
 def query_tokens(queries: DataFrame) -> DataFrame:
@@ -45,7 +46,7 @@ def _boosted(boosts: dict[str, float]) -> Column:
 
 def exact_clauses(tokens: DataFrame) -> DataFrame:
     return tokens.select(
-        "query_id", "ord", F.lit("exact").alias("kind"), F.col("token").alias("clause"), F.lit(1).alias("n_terms"),
+        *QUERY, "ord", F.lit("exact").alias("kind"), F.col("token").alias("clause"), F.lit(1).alias("n_terms"),
         F.col("token").alias("term"), F.lit(None).cast("bigint").alias("clause_df"), F.inline(_boosted(fixed.FIELD_BOOSTS)),
     ).select(*CLAUSE)
 
@@ -53,7 +54,7 @@ def exact_clauses(tokens: DataFrame) -> DataFrame:
 def fuzzy_clauses(tokens: DataFrame, vocabulary: DataFrame, k: int) -> DataFrame:
     near = expansions(tokens, vocabulary, k)
     return tokens.join(near, "token").select(
-        "query_id", "ord", F.lit("fuzzy").alias("kind"), F.col("token").alias("clause"), F.lit(1).alias("n_terms"),
+        *QUERY, "ord", F.lit("fuzzy").alias("kind"), F.col("token").alias("clause"), F.lit(1).alias("n_terms"),
         "field", "term", (F.lit(fixed.FUZZY_BOOST) * F.col("factor")).alias("weight"), "clause_df",
     )
 
@@ -62,7 +63,7 @@ def synonym_clauses(tokens: DataFrame, synonyms: DataFrame) -> DataFrame:
     """Synonyms are analysed like any text; one of several words needs all of them in the field."""
     found = tokens.join(synonyms, "token").withColumn("terms", F.array_distinct(analysed_terms(F.col("syn"))))
     return found.select(
-        "query_id", "ord", F.lit("synonym").alias("kind"), F.col("syn").alias("clause"),
+        *QUERY, "ord", F.lit("synonym").alias("kind"), F.col("syn").alias("clause"),
         F.size("terms").alias("n_terms"), F.explode("terms").alias("term"),
         F.lit(None).cast("bigint").alias("clause_df"), _boosted(fixed.SYNONYM_BOOSTS).alias("boosts"),
     ).select("*", F.inline("boosts")).select(*CLAUSE)
@@ -96,79 +97,91 @@ def _with_idf(clauses: DataFrame, index: Index) -> DataFrame:
     )
 
 
-def _score() -> Column:
+def _length_norm() -> Column:
     k1, b = fixed.BM25_K1, fixed.BM25_B
-    return F.col("weight") * F.col("idf") * F.col("tf") / (F.col("tf") + _length_norm(k1, b))
+    return k1 * (1 - b + b * F.col("dl") / F.col("avgdl"))
 
 
-def _length_norm(k1: float, b: float) -> Column:
-    return k1 * (1 - b + b * F.col("dl") / F.col("avgdl"))
+def planned_clauses(clauses: DataFrame, index: Index) -> DataFrame:
+    """Clauses of the queries that can match at all, as a written table.
+
+    ``lead`` is the token with the fewest postings.  Clauses are few next to postings and
+    are asked for several times; once written, their number is known too.
+    """
+    spark = clauses.sparkSession
+    path = scratch_path(spark, "clauses")
+    of_query, of_token = Window.partitionBy("query_id"), Window.partitionBy("query_id", "ord")
+    (
+        _with_idf(clauses, index)
+        .withColumn("group_df", F.sum("df").over(of_token))
+        .withColumn("lead", F.min(F.struct("group_df", "ord")).over(of_query)["ord"])
+        .withColumn("n_groups", F.size(F.collect_set("ord").over(of_query)))
+        .where("any_token OR n_groups = n_tokens")
+        .drop("df", "group_df", "n_groups")
+        .write.parquet(path)
+    )
+    return spark.read.parquet(path)
 
 
-def clause_hits(clauses: DataFrame, index: Index, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
+def clause_hits(clauses: DataFrame, n_clauses: int, index: Index, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
     """Clauses with the documents that have their term.
 
-    Nearly every document may have a common term and many queries may ask for one, so both
-    sides are split; how many documents a term has is known from the index.
+    Few clauses (the number is known) travel to the postings.  Otherwise both sides are
+    shuffled and split: nearly every document may have a common term and many queries may
+    ask for one.
     """
+    if n_clauses <= rows_per_slice:
+        return index.postings.join(F.broadcast(clauses), ["field", "term"])
     hot = hot_keys(index.term_stats, ["field", "term"], rows_per_slice, "_rn", count="df")
     return split_hot_join(
         clauses, index.postings, ["field", "term"], ["query_id", "ord"], ["doc_id"], rows_per_slice, right_hot=hot
     )
 
 
-def combine(
-    tokens: DataFrame, clauses: DataFrame, index: Index, phrase: bool, rows_per_slice: int = ROWS_PER_SLICE
-) -> DataFrame:
-    """Matching documents of each query with their text score.
+def _hits_of_found(clauses: DataFrame, n_clauses: int, index: Index, rows_per_slice: int) -> DataFrame:
+    """Hits of queries that need all tokens: only in documents that have the rarest one."""
+    few = n_clauses <= rows_per_slice
+    leading = clauses.where("ord = lead").select("query_id", "ord", "field", "term")
+    found = clause_hits(leading, n_clauses, index, rows_per_slice).select("query_id", "doc_id").distinct()
+    wanted = clauses.select("field", "term").distinct()
+    asked = index.postings.join(F.broadcast(wanted) if few else wanted, ["field", "term"], "left_semi")
+    checks = found.join(F.broadcast(clauses) if few else clauses, "query_id")
+    return checks.join(asked, ["field", "term", "doc_id"])
 
-    A query that needs all its tokens is led by its rarest one: only documents that have
-    this one are looked at, and the other tokens are checked for those.
-    """
-    known = _with_idf(clauses, index)
-    groups = known.groupBy("query_id", "ord").agg(F.sum("df").alias("group_df"))
-    shape = tokens.groupBy("query_id").agg(
-        F.first("any_token").alias("any_token"), F.first("n_tokens").alias("n_tokens")
-    )
-    leads = (
-        groups.groupBy("query_id")
-        .agg(F.min(F.struct("group_df", "ord")).alias("rarest"), F.count("*").alias("n_groups"))
-        .join(shape, "query_id")
-        .where("any_token OR n_groups = n_tokens")
-        .select("query_id", "any_token", "n_tokens", F.col("rarest.ord").alias("lead"))
-    )
-    planned = known.join(leads, "query_id")
-    leading = clause_hits(planned.where("any_token OR ord = lead"), index, rows_per_slice)
-    found = leading.where("NOT any_token").select("query_id", "doc_id").distinct()
-    others = planned.where("NOT any_token AND ord <> lead")
-    checked = found.join(others, "query_id").join(index.postings, ["field", "term", "doc_id"])
-    hits = leading.unionByName(checked).withColumn("score", _score())
 
-    if phrase:
-        in_title = (F.col("kind") == "exact") & (F.col("field") == "title") & (F.col("n_tokens") > 1)
-        place = F.when(in_title, F.struct("ord", "positions", "idf", _length_norm(fixed.BM25_K1, fixed.BM25_B).alias("norm")))
-    else:
-        place = F.lit(None).cast("struct<ord:int,positions:array<int>,idf:double,norm:double>")
-    hits = hits.select("query_id", "doc_id", "ord", "clause", "field", "n_terms", "any_token", "n_tokens", "score", place.alias("place"))
-
-    complete = ["query_id", "doc_id", "ord", "clause", "field", "n_terms", "any_token", "n_tokens"]
-    several = (
-        hits.where("n_terms > 1")
-        .groupBy(*complete)
-        .agg(F.sum("score").alias("score"), F.count("*").alias("n"))
-        .where("n = n_terms")
-        .select(*complete, "score", F.lit(None).cast(hits.schema["place"].dataType).alias("place"))
+def combine(
+    clauses: DataFrame, index: Index, phrase: bool, rows_per_slice: int = ROWS_PER_SLICE
+) -> DataFrame:
+    """Matching documents of each query with their text score."""
+    planned = planned_clauses(clauses, index)
+    n = planned.agg(F.count_if("any_token").alias("any"), F.count_if(~F.col("any_token")).alias("all")).first()
+    any_of, all_of = planned.where("any_token"), planned.where("NOT any_token")
+    columns = [*QUERY, "doc_id", "ord", "kind", "clause", "n_terms", "field", "score", "place"]
+
+    score = F.col("weight") * F.col("idf") * F.col("tf") / (F.col("tf") + _length_norm())
+    in_title = (F.col("kind") == "exact") & (F.col("field") == "title") & (F.col("n_tokens") > 1) & F.lit(phrase)
+    place = F.when(in_title, F.struct("ord", "positions", "idf", _length_norm().alias("norm")))
+
+    branches = []
+    if n["any"] or not n["all"]:
+        branches.append(clause_hits(any_of, n["any"], index, rows_per_slice))
+    if n["all"]:
+        branches.append(_hits_of_found(all_of, n["all"], index, rows_per_slice))
+    scored = [b.withColumns({"score": score, "place": place}).select(*columns) for b in branches]
+    hits = scored[0] if len(scored) == 1 else scored[0].unionByName(scored[1])
+
+    # All groupings are within (query, document), so one shuffle serves them.
+    per_clause = (
+        hits.repartition("query_id", "doc_id")
+        .groupBy(*QUERY, "doc_id", "ord", "kind", "clause", "field", "n_terms")
+        .agg(F.sum("score").alias("score"), F.count("*").alias("n"), F.max("place").alias("place"))
+        .where("n >= n_terms")
     )
-    # Both groupings below are within (query, document): one shuffle serves them.
-    by_token = (
-        hits.where("n_terms = 1")
-        .unionByName(several)
-        .repartition("query_id", "doc_id")
-        .groupBy("query_id", "doc_id", "any_token", "n_tokens", "ord")
-        .agg(F.sum("score").alias("score"), F.max("place").alias("place"))
+    per_token = per_clause.groupBy(*QUERY, "doc_id", "ord").agg(
+        F.sum("score").alias("score"), F.max("place").alias("place")
     )
     matched = (
-        by_token.groupBy("query_id", "doc_id", "any_token", "n_tokens")
+        per_token.groupBy(*QUERY, "doc_id")
         .agg(
             F.sum("score").alias("score"),
             F.count("*").alias("n_matched"),
@@ -176,10 +189,10 @@ def combine(
         )
         .where("any_token OR n_matched = n_tokens")
     )
-    score = F.col("score")
+    total = F.col("score")
     if phrase:
-        score = score + F.when(F.size("places") == F.col("n_tokens"), phrase_score(F.col("places"))).otherwise(0.0)
-    return matched.select("query_id", "doc_id", F.round(score, 6).alias("text_score"))
+        total = total + F.when(F.size("places") == F.col("n_tokens"), phrase_score(F.col("places"))).otherwise(0.0)
+    return matched.select("query_id", "doc_id", F.round(total, 6).alias("text_score"))
 
 
 def phrase_frequency(places: Column, slop: int = fixed.PHRASE_SLOP) -> Column:
@@ -223,7 +236,7 @@ def candidates(
     """The best documents of each query by text score, without a second try."""
     tokens = query_tokens(queries)
     return top_hits(
-        combine(tokens, standard_clauses(tokens, index, synonyms), index, True, rows_per_slice), "text_score", n
+        combine(standard_clauses(tokens, index, synonyms), index, True, rows_per_slice), "text_score", n
     ).drop("rank")
 
 
@@ -237,7 +250,7 @@ def respelled_candidates(
     """The best documents when every token may be misspelt by up to two letters."""
     tokens = query_tokens(queries)
     return top_hits(
-        combine(tokens, spelling_clauses(tokens, index, synonyms), index, False, rows_per_slice), "text_score", n
+        combine(spelling_clauses(tokens, index, synonyms), index, False, rows_per_slice), "text_score", n
     ).drop("rank")
 
 
@@ -274,7 +287,7 @@ def rerank(found: DataFrame, docs: DataFrame, n: int = fixed.PAGE_SIZE) -> DataF
         F.coalesce("url", F.lit("#")).alias("url"),
         "architect", "style",
         rating.alias("rating"), reviews.alias("reviews"),
-        F.round(F.col("text_score") * popularity * quality, 6).alias("final_score"),
+        F.round(F.col("text_score") * popularity * quality, 8).alias("final_score"),
     )
     return top_hits(shown, "final_score", n)
 

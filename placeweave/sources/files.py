@@ -5,14 +5,13 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
 
 CORRUPT = "_corrupt_record"
 
 
-def read_jsonl(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def read_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Records of JSON lines; a line that is no such record keeps its text in ``_corrupt_record``."""
-    full = StructType(list(schema.fields)).add(CORRUPT, StringType())
+    full = f"{schema}, {CORRUPT} string"
     return spark.read.schema(full).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).json(path)
 
 
@@ -24,7 +23,7 @@ def bad_records(df: DataFrame) -> DataFrame:
     return df.where(F.col(CORRUPT).isNotNull()).select(CORRUPT)
 
 
-def read_optional_jsonl(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:
+def read_optional_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
     """Like ``read_jsonl``, but None when there is nothing at ``path``; other errors are raised."""
     try:
         return read_jsonl(spark, path, schema)
