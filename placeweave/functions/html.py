@@ -6,11 +6,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from placeweave import fixed
-from placeweave.functions.text import blank_to_null
+from placeweave.functions.text import blank_to_null, strip
 
 
 def strip_tags(c: Column) -> Column:
-    return F.trim(F.regexp_replace(c, fixed.TAG, ""))
+    return strip(F.regexp_replace(c, fixed.TAG, ""))
 
 
 def one_line(c: Column) -> Column:
@@ -47,12 +47,12 @@ def price_text(card: Column) -> Column:
     pieces = F.zip_with(
         every_match(block, fixed.PRICE_PIECE, 1), every_match(block, fixed.PRICE_PIECE, 2), lambda amount, label: F.concat_ws("", amount, label)
     )
-    return F.trim(F.array_join(F.filter(pieces, lambda p: p != ""), " "))
+    return strip(F.array_join(F.filter(pieces, lambda p: p != ""), " "))
 
 
 def list_items(section: Column) -> Column:
     """Texts of the non-blank list items; null without any."""
-    items = F.filter(every_match(section, fixed.LIST_ITEM), lambda i: F.trim(i) != "")
+    items = F.filter(every_match(section, fixed.LIST_ITEM), lambda i: strip(i) != "")
     texts = F.transform(items, strip_tags)
     return F.when(F.size(texts) > 0, texts)
 

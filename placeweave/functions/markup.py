@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from placeweave import fixed
-from placeweave.functions.text import blank_to_null
+from placeweave.functions.text import blank_to_null, strip
 
 PAGE_TAG = r"\{\{|\}\}|[^{}]+|[{}]"
 
@@ -89,11 +89,11 @@ def clean_markup(c: Column) -> Column:
     c = F.regexp_replace(c, fixed.LABELLED_LINK, "$1")
     c = F.regexp_replace(c, fixed.BARE_LINK, "")
     c = F.regexp_replace(c, fixed.HEADING, "")
-    return F.trim(F.regexp_replace(c, r"(?U)\s+", " "))
+    return strip(F.regexp_replace(c, r"(?U)\s+", " "))
 
 
 def _iso_date(template: Column) -> Column:
-    parts = F.transform(F.split(F.regexp_replace(template, r"[{}]", ""), r"\|"), lambda p: F.trim(p))
+    parts = F.transform(F.split(F.regexp_replace(template, r"[{}]", ""), r"\|"), lambda p: strip(p))
     numbers = F.filter(F.slice(parts, 2, 1 << 20), lambda p: p.rlike("^[0-9]+$"))
 
     def padded(i: int) -> Column:
@@ -111,12 +111,12 @@ def start_dates_to_iso(c: Column) -> Column:
 
 
 def categories(c: Column) -> Column:
-    return F.transform(F.regexp_extract_all(c, F.lit(fixed.CATEGORY), F.lit(1)), lambda x: F.trim(x))
+    return F.transform(F.regexp_extract_all(c, F.lit(fixed.CATEGORY), F.lit(1)), lambda x: strip(x))
 
 
 def infobox_name(c: Column) -> Column:
     """First word of the first infobox's name in lower case; null without an infobox."""
-    name = F.lower(F.trim(F.regexp_extract(c, fixed.INFOBOX_NAME, 1)))
+    name = F.lower(strip(F.regexp_extract(c, fixed.INFOBOX_NAME, 1)))
     return blank_to_null(F.get(F.split(name, r"[\s|{<]"), F.lit(0)))
 
 
@@ -163,9 +163,9 @@ def infobox_entries(box: Column) -> Column:
     return F.transform(
         keyed,
         lambda e: F.struct(
-            F.lower(F.trim(F.regexp_extract(e, r"^([^\n=]*)=", 1))).alias("key"),
+            F.lower(strip(F.regexp_extract(e, r"^([^\n=]*)=", 1))).alias("key"),
             clean_markup(drop_templates(start_dates_to_iso(F.regexp_replace(e, r"^[^\n=]*=", "")), 3)).alias("value"),
-            F.trim(F.regexp_replace(F.regexp_replace(e, r"^[^\n=]*=", ""), r"(?U)\s+", " ")).alias("raw"),
+            strip(F.regexp_replace(F.regexp_replace(e, r"^[^\n=]*=", ""), r"(?U)\s+", " ")).alias("raw"),
         ),
     )
 
@@ -218,7 +218,7 @@ def page_type(cats: Column) -> Column:
 
 
 def location_from_categories(cats: Column) -> Column:
-    places = F.transform(cats, lambda x: F.trim(F.regexp_extract(x, fixed.PLACE_IN_CATEGORY, 1)))
+    places = F.transform(cats, lambda x: strip(F.regexp_extract(x, fixed.PLACE_IN_CATEGORY, 1)))
     first = F.slice(F.array_distinct(F.filter(places, lambda p: p != "")), 1, 3)
     return blank_to_null(F.array_join(first, ", "))
 
@@ -232,12 +232,12 @@ def location_from_abstract(c: Column) -> Column:
 
 def geo_parents(location: Column, cats: Column) -> Column:
     """Parts of the location, then the place after the last "in" or "of" of each category."""
-    parts = F.transform(F.slice(F.split(location, "[,;/]"), 1, 3), lambda p: F.trim(p))
+    parts = F.transform(F.slice(F.split(location, "[,;/]"), 1, 3), lambda p: strip(p))
 
     def place(x: Column) -> Column:
         after_in = F.regexp_extract(x, r"(?is)^.*\bin\s+(.*)$", 1)
         after_of = F.regexp_extract(x, r"(?is)^.*\bof\s+(.*)$", 1)
-        return F.trim(
+        return strip(
             F.when(x.rlike(r"(?i)\bin\s"), after_in)
             .when(x.rlike(r"(?i)\bof\s") & ~x.rlike("(?i)^list"), after_of)
             .otherwise("")

@@ -3,13 +3,15 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from placeweave.functions.text import strip
+
 
 def rating_value(c: Column) -> Column:
-    return F.trim(c.cast("string")).try_cast("double")
+    return strip(c.cast("string")).try_cast("double")
 
 
 def review_count(c: Column, text: bool = True) -> Column:
     """Whole number of reviews; in text, commas and dots are grouping marks."""
     if text:
-        c = F.regexp_replace(F.trim(c), "[,.]", "")
+        c = F.regexp_replace(strip(c), "[,.]", "")
     return c.try_cast("bigint")

@@ -14,6 +14,14 @@ WORD = r"[\p{L}\p{N}_]+"
 ANALYSED_WORD = r"[\p{L}\p{M}\p{N}_]+"
 
 
+WHITESPACE = " \t\n\x0b\f\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
+def strip(c: Column) -> Column:
+    """Without white space of any kind at either end."""
+    return F.trim(c, F.lit(WHITESPACE))
+
+
 def empty_strings() -> Column:
     return F.array().cast("array<string>")
 
@@ -90,7 +98,7 @@ def fold_accents(c: Column) -> Column:
 def title_key(c: Column) -> Column:
     """Accent-free lower-case title of letters, digits and spaces."""
     lowered = F.replace(F.lower(fold_accents(c)), F.lit("_"), F.lit(" "))
-    return F.trim(F.regexp_replace(lowered, "[^a-z0-9 ]", ""))
+    return strip(F.regexp_replace(lowered, "[^a-z0-9 ]", ""))
 
 
 def title_tokens(c: Column) -> Column:

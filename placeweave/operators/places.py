@@ -38,7 +38,7 @@ def backfill_city(activities: DataFrame, dictionary: DataFrame, rows_per_slice:
     A given city is lower-cased.  Only rows with a blank city take part in the lookup, once
     per distinct name.
     """
-    given = F.trim("city") != ""
+    given = T.strip(F.col("city")) != ""
     blank = activities.where(~F.coalesce(given, F.lit(False)))
     names = blank.where("name IS NOT NULL").groupBy("name").count()
     found = (

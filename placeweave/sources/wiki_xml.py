@@ -23,8 +23,8 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     return title_and_text(raw_pages(spark, path))
 
 
-def write_pages(pages: DataFrame, path: str) -> None:
+def write_pages(pages: DataFrame, path: str, mode: str = "error") -> None:
     """Pages (title, text) as a dump-shaped XML folder."""
     pages.select("title", F.struct("text").alias("revision")).write.format("xml").option("rowTag", "page").option(
         "rootTag", "mediawiki"
-    ).save(path)
+    ).mode(mode).save(path)
