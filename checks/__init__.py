@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from checks import linking, searching, wikitext  # noqa: F401
+from checks import files, linking, searching, webpages, wikitext  # noqa: F401
 from checks.registry import QUERIES, SQL  # noqa: F401

@@ -125,20 +125,28 @@ def _infobox_start(names: list[str]) -> str:
     return rf"(?i)\{{\{{\s*Infobox\s+(?:{words})\b"
 
 
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once however often the body mentions it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def infobox(c: Column, names: list[str] | None = None) -> Column:
     """From the first infobox of one of ``names`` to its matching braces; null if they never match."""
-    start = _infobox_start(fixed.LANDMARK_INFOBOXES if names is None else names)
-    rest = F.substr(c, F.regexp_instr(c, F.lit(start)))
-    pieces = F.regexp_extract_all(rest, F.lit(PAGE_TAG), F.lit(0))
-    # Walk over the braces carrying only the depth, the offset and where depth fell back to 0.
-    state = F.aggregate(
-        pieces,
-        F.struct(F.lit(0).alias("depth"), F.lit(0).alias("at"), F.lit(0).alias("end")),
-        lambda s, p: F.when(s["end"] > 0, s).otherwise(_step(s, p)),
-    )
-    end = state["end"]
-    box = F.when(end > 0, F.substr(rest, F.lit(1), end))
-    return F.when(F.regexp_instr(c, F.lit(start)) > 0, box)
+    start = F.lit(_infobox_start(fixed.LANDMARK_INFOBOXES if names is None else names))
+
+    def closed(rest: Column) -> Column:
+        # Walk over the braces carrying only the depth, the offset and where depth fell back to 0.
+        state = F.aggregate(
+            F.regexp_extract_all(rest, F.lit(PAGE_TAG), F.lit(0)),
+            F.struct(F.lit(0).alias("depth"), F.lit(0).alias("at"), F.lit(0).alias("end")),
+            lambda s, p: F.when(s["end"] > 0, s).otherwise(_step(s, p)),
+        )
+        return _let(state["end"], lambda end: F.when(end > 0, F.substr(rest, F.lit(1), end)))
+
+    def from_start(at: Column) -> Column:
+        return F.when(at > 0, _let(F.substr(c, at), closed))
+
+    return _let(F.regexp_instr(c, start), from_start)
 
 
 def _step(s: Column, p: Column) -> Column:
@@ -188,11 +196,16 @@ def record_fields(entries: Column) -> Column:
 
     Coordinates are mostly a template, which cleaning would delete, so they are taken raw.
     """
-    def field(name: str, keys: list[str]) -> Column:
-        part = "raw" if name == "coordinates" else "value"
-        return F.coalesce(*[last_value(entries, k, part) for k in keys]).alias(name)
 
-    return F.struct(*[field(n, keys) for n, keys in fixed.FIELD_SOURCES.items()])
+    def fields(e: Column) -> Column:
+        return F.struct(
+            *[
+                F.coalesce(*[last_value(e, k, "raw" if name == "coordinates" else "value") for k in keys]).alias(name)
+                for name, keys in fixed.FIELD_SOURCES.items()
+            ]
+        )
+
+    return _let(entries, fields)
 
 
 def abstract(c: Column, min_length: int = 50) -> Column:

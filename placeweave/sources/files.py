@@ -19,8 +19,10 @@ def good_records(df: DataFrame) -> DataFrame:
     return df.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
 
-def bad_records(df: DataFrame) -> DataFrame:
-    return df.where(F.col(CORRUPT).isNotNull()).select(CORRUPT)
+def bad_records(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The lines that are no such records, as they stand, for a quarantine table."""
+    parsed = F.from_json("value", f"{schema}, {CORRUPT} string", {"columnNameOfCorruptRecord": CORRUPT})
+    return spark.read.text(path).where(parsed[CORRUPT].isNotNull())
 
 
 def read_optional_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
