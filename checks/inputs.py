@@ -25,7 +25,7 @@ activities AS (
 
 
 def activities(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "part").select(
+    return texts(spark, sf, "part").select(
         F.concat(F.lit("part/"), F.col("p_partkey").cast("string")).alias("url"),
         F.col("p_name").alias("name"),
         F.col("p_brand").alias("city"),
@@ -47,7 +47,7 @@ wiki AS (
 
 
 def wiki_pages(spark: SparkSession, sf: str) -> DataFrame:
-    part = table(spark, sf, "part")
+    part = texts(spark, sf, "part")
     size = F.col("p_size").cast("string")
     things = part.select(
         F.col("p_name").alias("title"),

@@ -42,7 +42,7 @@ def enriched(spark: SparkSession, sf: str) -> DataFrame:
         F.regexp_extract("html", "<h1[^>]*>(.*?)</h1>", 1).alias("h1"),
     )
     joined = (
-        table(spark, sf, "documents")
+        texts(spark, sf, "documents")
         .join(pages, "doc_id", "left")
         .join(table(spark, sf, "labels").select("doc_id", "quality"), "doc_id", "left")
         .join(reviews, "doc_id", "left")

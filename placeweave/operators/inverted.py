@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from placeweave.functions.text import ANALYSED_WORD, analysed_terms
 
 TEXT_FIELDS = ["title", "click_text", "wiki_text"]
+ALL_FIELDS = [*TEXT_FIELDS, "city"]
 SHOWN = ["doc_id", "title", "city", "url", "architect", "style", "rating", "review_count"]
 
 
@@ -27,15 +28,15 @@ class Index:
     field_stats: DataFrame
 
 
-def field_terms(documents: DataFrame, split_city: bool = False) -> DataFrame:
+def field_terms(documents: DataFrame, split_city: bool = False, only: list[str] | None = None) -> DataFrame:
     """Terms of each field of a document in text order, and the field's length; an empty field has no row.
 
     The city is one term as it stands, or its words with ``split_city``.  A document whose
     matches came in several parts has one row per part, all with the length of the whole.
     """
     city = analysed_terms(F.col("city")) if split_city else F.filter(F.array("city"), lambda c: c != "")
-    fields = [F.struct(F.lit(f).alias("field"), analysed_terms(F.col(f)).alias("terms")) for f in TEXT_FIELDS]
-    fields.append(F.struct(F.lit("city").alias("field"), city.alias("terms")))
+    terms = {f: analysed_terms(F.col(f)) for f in TEXT_FIELDS} | {"city": city}
+    fields = [F.struct(F.lit(f).alias("field"), t.alias("terms")) for f, t in terms.items() if only is None or f in only]
     n_parts = F.col("n_parts") if "n_parts" in documents.columns else F.lit(1)
     rows = (
         documents.select("doc_id", n_parts.alias("n_parts"), F.inline(F.array(*fields)))
@@ -51,28 +52,33 @@ def field_terms(documents: DataFrame, split_city: bool = False) -> DataFrame:
     return rows.where("n_parts = 1").select(*columns).unionByName(parted.select(*columns))
 
 
-def postings(terms: DataFrame, positional: list[str] | None = None) -> DataFrame:
+def postings(documents: DataFrame, positional: list[str] | None = None, split_city: bool = False) -> DataFrame:
     """One row per field, term and document.
 
-    Grouping includes the document, so a term that every document has is spread like any
-    other.  Positions are kept for the ``positional`` fields, the ones phrases look at.
+    Documents are dealt out by their id before they are taken apart; everything after that
+    stays within a document and needs no shuffle, and a term that every document has is
+    spread like any other.  Positions are kept for the ``positional`` fields, the ones
+    phrases look at.
     """
+    documents = documents.repartition("doc_id")
     positional = ["title"] if positional is None else positional
-    occurrences = terms.select(
-        "field", "doc_id", "dl", F.posexplode("terms").alias("pos", "term")
-    )
+    others = [f for f in ALL_FIELDS if f not in positional]
     keys = ["field", "term", "doc_id", "dl"]
-    with_positions = (
-        occurrences.where(F.col("field").isin(positional))
-        .groupBy(*keys)
-        .agg(F.count("*").cast("int").alias("tf"), F.sort_array(F.collect_list("pos")).alias("positions"))
+
+    def occurrences(fields: list[str]) -> DataFrame:
+        return field_terms(documents, split_city, fields).select(
+            "field", "doc_id", "dl", F.posexplode("terms").alias("pos", "term")
+        )
+
+    counted = occurrences(others).groupBy(*keys).agg(
+        F.count("*").cast("int").alias("tf"), F.lit(None).cast("array<int>").alias("positions")
     )
-    counted = (
-        occurrences.where(~F.col("field").isin(positional))
-        .groupBy(*keys)
-        .agg(F.count("*").cast("int").alias("tf"), F.lit(None).cast("array<int>").alias("positions"))
+    if not positional:
+        return counted
+    placed = occurrences(positional).groupBy(*keys).agg(
+        F.count("*").cast("int").alias("tf"), F.sort_array(F.collect_list("pos")).alias("positions")
     )
-    return with_positions.unionByName(counted)
+    return placed.unionByName(counted)
 
 
 def doc_lengths(terms: DataFrame) -> DataFrame:
@@ -106,14 +112,15 @@ def write_index(
 ) -> None:
     """Replace the index at ``path``.
 
-    Postings are laid out by field and sorted by term inside each file, so a search reads
-    only the fields it asks for and skips row groups without its terms.
+    Postings are laid out by field and by document, and sorted by term inside each file: a
+    search reads only the fields it asks for, skips row groups without its terms, and finds
+    all terms of a document in one place, where its scores add up before any shuffle.
     """
     spark = documents.sparkSession
     one_each = documents.where("part = 0") if "part" in documents.columns else documents
     one_each.select(*SHOWN).write.mode("overwrite").parquet(f"{path}/docs")
     (
-        postings(field_terms(documents, split_city), positional)
+        postings(documents, positional, split_city)
         .sortWithinPartitions("field", "term")
         .write.mode("overwrite")
         .partitionBy("field")
@@ -130,6 +137,6 @@ def read_index(spark: SparkSession, path: str) -> Index:
 
 def in_memory_index(documents: DataFrame, positional: list[str] | None = None, split_city: bool = False) -> Index:
     """The same tables as plans, for small inputs and tests."""
-    posted = postings(field_terms(documents, split_city), positional)
+    posted = postings(documents, positional, split_city)
     one_each = documents.where("part = 0") if "part" in documents.columns else documents
     return Index(one_each.select(*SHOWN), posted, term_stats(posted), field_stats(posted, documents, split_city))

@@ -204,29 +204,49 @@ def nest_matches(details: DataFrame, per_row: int = 1000) -> DataFrame:
     ``first_architect``, ``first_style`` and ``first_city`` are found over all parts.
     """
     match = F.struct("wiki_title", "wiki_type", "wiki_abstract", "wiki_architect", "wiki_style")
+    preferred = F.struct(*_preference(), match.alias("match"))
 
-    def first(value: str, wanted: Column) -> Column:
-        return F.min(F.when(wanted, F.struct(*_preference(), F.col(value).alias("value"))))["value"]
-
-    heads = details.groupBy("crawler_url").agg(
-        F.min(F.struct(*_preference(), match.alias("match"))).alias("best"),
-        first("wiki_architect", F.col("wiki_architect") != "").alias("first_architect"),
-        first("wiki_style", F.col("wiki_style") != "").alias("first_style"),
-        first("wiki_title", F.col("wiki_type") == "city").alias("first_city"),
-        F.ceil(F.count("*") / per_row).cast("int").alias("n_parts"),
-    )
-    large = heads.where("n_parts > 1").select("crawler_url", F.col("n_parts").alias("_n"), F.col("best.wiki_url").alias("_best"))
-    by_hash = F.pmod(F.xxhash64("wiki_url"), F.coalesce("_n", F.lit(1))).cast("int")
-    parts = (
-        details.join(large, "crawler_url", "left")
-        .withColumn("part", F.when(F.col("wiki_url") == F.col("_best"), 0).otherwise(by_hash))  # part 0 always exists
+    # Only activities too large for one row need their head found beforehand.
+    counts = details.groupBy("crawler_url").agg(F.ceil(F.count("*") / per_row).cast("int").alias("n_parts"))
+    large = counts.where("n_parts > 1")
+
+    def least(wanted: Column) -> Column:
+        return F.min(F.when(wanted, preferred))["match"]
+
+    heads = (
+        details.join(large, "crawler_url")
+        .groupBy("crawler_url", "n_parts")
+        .agg(
+            F.min(preferred).alias("best"),
+            least(F.col("wiki_architect") != "")["wiki_architect"].alias("head_architect"),
+            least(F.col("wiki_style") != "")["wiki_style"].alias("head_style"),
+            least(F.col("wiki_type") == "city")["wiki_title"].alias("head_city"),
+        )
+    )
+    by_hash = F.pmod(F.xxhash64("wiki_url"), F.coalesce("n_parts", F.lit(1))).cast("int")
+    rows = (
+        details.join(heads.select("crawler_url", "n_parts", F.col("best.wiki_url").alias("best_url")), "crawler_url", "left")
+        .withColumn("part", F.when(F.col("wiki_url") == F.col("best_url"), 0).otherwise(by_hash))  # part 0 always exists
         .groupBy("crawler_url", "part")
-        .agg(F.sort_array(F.collect_list(F.struct(*_preference(), match.alias("match")))).alias("ranked"))
+        .agg(F.sort_array(F.collect_list(preferred)).alias("ranked"))
+        .select("crawler_url", "part", F.transform("ranked", lambda r: r["match"]).alias("matches"))
+        .join(heads, "crawler_url", "left")
     )
-    return parts.join(heads, "crawler_url").select(
-        F.col("crawler_url").alias("url"), "part", "n_parts", F.col("best.match").alias("primary_match"),
-        "first_architect", "first_style", "first_city",
-        F.transform("ranked", lambda r: r["match"]).alias("matches"),
+    is_whole = F.col("n_parts").isNull()
+
+    def first(head: str, field: str, wanted) -> Column:
+        own = F.get(F.filter("matches", wanted), F.lit(0))[field]
+        return F.when(is_whole, own).otherwise(F.col(head))
+
+    return rows.select(
+        F.col("crawler_url").alias("url"),
+        "part",
+        F.coalesce("n_parts", F.lit(1)).alias("n_parts"),
+        F.when(is_whole, F.get("matches", F.lit(0))).otherwise(F.col("best.match")).alias("primary_match"),
+        first("head_architect", "wiki_architect", lambda m: m["wiki_architect"] != "").alias("first_architect"),
+        first("head_style", "wiki_style", lambda m: m["wiki_style"] != "").alias("first_style"),
+        first("head_city", "wiki_title", lambda m: m["wiki_type"] == "city").alias("first_city"),
+        "matches",
     )
 
 

@@ -17,6 +17,11 @@ from placeweave.operators.inverted import Index
 from placeweave.operators.skew import ROWS_PER_SLICE, hot_keys, split_hot_join
 from placeweave.sources.scratch import scratch_path
 
+# Tokens of a query are the bits of one number; longer queries count their tokens instead.
+MASK_BITS = 62
+# Checking a document for a clause costs a shuffle, adding up a posting does not.
+CHECK_COST = 4
+
 QUERY = ["query_id", "any_token", "n_tokens"]
 CLAUSE = [*QUERY, "ord", "kind", "clause", "n_terms", "field", "term", "weight", "clause_df"]
 
@@ -103,21 +108,28 @@ def _length_norm() -> Column:
 
 
 def planned_clauses(clauses: DataFrame, index: Index) -> DataFrame:
-    """Clauses of the queries that can match at all, as a written table.
+    """Clauses of the queries that can match at all, as a written table with a ``way`` to score them.
 
-    ``lead`` is the token with the fewest postings.  Clauses are few next to postings and
-    are asked for several times; once written, their number is known too.
+    Clauses are few next to postings and are asked for several times; once written, their
+    number is known too.  ``lead`` is the token of a query with the fewest postings.  A query
+    that needs all its tokens goes the way "lead" (look only at documents that have the lead)
+    if that touches fewer postings than simply adding up all of them, the way "all".
     """
     spark = clauses.sparkSession
     path = scratch_path(spark, "clauses")
     of_query, of_token = Window.partitionBy("query_id"), Window.partitionBy("query_id", "ord")
+    lead_df = F.col("rarest")["group_df"]
+    checks = lead_df * F.count("*").over(of_query)
+    led = (F.col("n_tokens") > MASK_BITS) | (checks * CHECK_COST < F.sum("df").over(of_query))
     (
         _with_idf(clauses, index)
         .withColumn("group_df", F.sum("df").over(of_token))
-        .withColumn("lead", F.min(F.struct("group_df", "ord")).over(of_query)["ord"])
+        .withColumn("rarest", F.min(F.struct("group_df", "ord")).over(of_query))
         .withColumn("n_groups", F.size(F.collect_set("ord").over(of_query)))
+        .withColumn("way", F.when(F.col("any_token"), "any").when(led, "lead").otherwise("all"))
         .where("any_token OR n_groups = n_tokens")
-        .drop("df", "group_df", "n_groups")
+        .withColumn("lead", F.col("rarest")["ord"])
+        .drop("df", "group_df", "n_groups", "rarest")
         .write.parquet(path)
     )
     return spark.read.parquet(path)
@@ -138,8 +150,8 @@ def clause_hits(clauses: DataFrame, n_clauses: int, index: Index, rows_per_slice
     )
 
 
-def _hits_of_found(clauses: DataFrame, n_clauses: int, index: Index, rows_per_slice: int) -> DataFrame:
-    """Hits of queries that need all tokens: only in documents that have the rarest one."""
+def _led_hits(clauses: DataFrame, n_clauses: int, index: Index, rows_per_slice: int) -> DataFrame:
+    """Hits in the documents that have the lead of their query."""
     few = n_clauses <= rows_per_slice
     leading = clauses.where("ord = lead").select("query_id", "ord", "field", "term")
     found = clause_hits(leading, n_clauses, index, rows_per_slice).select("query_id", "doc_id").distinct()
@@ -149,50 +161,78 @@ def _hits_of_found(clauses: DataFrame, n_clauses: int, index: Index, rows_per_sl
     return checks.join(asked, ["field", "term", "doc_id"])
 
 
+def _whole_clauses(hits: DataFrame, several: bool) -> DataFrame:
+    """One row per clause and document; a clause of several words counts if all are there."""
+    columns = [*QUERY, "doc_id", "ord", "score"]
+    single = hits.where("n_terms = 1").select(*columns)
+    if not several:
+        return single
+    complete = hits.where("n_terms > 1").groupBy(*QUERY, "doc_id", "ord", "clause", "field", "n_terms").agg(
+        F.sum("score").alias("score"), F.count("*").alias("n")
+    )
+    return single.unionByName(complete.where("n = n_terms").select(*columns))
+
+
+def _score() -> Column:
+    return F.col("weight") * F.col("idf") * F.col("tf") / (F.col("tf") + _length_norm())
+
+
 def combine(
     clauses: DataFrame, index: Index, phrase: bool, rows_per_slice: int = ROWS_PER_SLICE
 ) -> DataFrame:
     """Matching documents of each query with their text score."""
     planned = planned_clauses(clauses, index)
-    n = planned.agg(F.count_if("any_token").alias("any"), F.count_if(~F.col("any_token")).alias("all")).first()
-    any_of, all_of = planned.where("any_token"), planned.where("NOT any_token")
-    columns = [*QUERY, "doc_id", "ord", "kind", "clause", "n_terms", "field", "score", "place"]
-
-    score = F.col("weight") * F.col("idf") * F.col("tf") / (F.col("tf") + _length_norm())
-    in_title = (F.col("kind") == "exact") & (F.col("field") == "title") & (F.col("n_tokens") > 1) & F.lit(phrase)
-    place = F.when(in_title, F.struct("ord", "positions", "idf", _length_norm().alias("norm")))
-
-    branches = []
-    if n["any"] or not n["all"]:
-        branches.append(clause_hits(any_of, n["any"], index, rows_per_slice))
-    if n["all"]:
-        branches.append(_hits_of_found(all_of, n["all"], index, rows_per_slice))
-    scored = [b.withColumns({"score": score, "place": place}).select(*columns) for b in branches]
-    hits = scored[0] if len(scored) == 1 else scored[0].unionByName(scored[1])
-
-    # All groupings are within (query, document), so one shuffle serves them.
-    per_clause = (
-        hits.repartition("query_id", "doc_id")
-        .groupBy(*QUERY, "doc_id", "ord", "kind", "clause", "field", "n_terms")
-        .agg(F.sum("score").alias("score"), F.count("*").alias("n"), F.max("place").alias("place"))
-        .where("n >= n_terms")
-    )
-    per_token = per_clause.groupBy(*QUERY, "doc_id", "ord").agg(
-        F.sum("score").alias("score"), F.max("place").alias("place")
-    )
-    matched = (
-        per_token.groupBy(*QUERY, "doc_id")
-        .agg(
-            F.sum("score").alias("score"),
-            F.count("*").alias("n_matched"),
-            F.sort_array(F.collect_list("place")).alias("places"),
+    stats = {r["way"]: r for r in planned.groupBy("way").agg(F.count("*").alias("n"), F.max("n_terms").alias("terms")).collect()}
+    of_document = ["query_id", "doc_id"]
+    ways = []
+    for way, facts in stats.items():
+        wanted, n = planned.where(F.col("way") == way), facts["n"]
+        get = _led_hits if way == "lead" else clause_hits
+        hits = _whole_clauses(get(wanted, n, index, rows_per_slice).withColumn("score", _score()), facts["terms"] > 1)
+        if way == "any":
+            matched = hits.groupBy(*of_document).agg(F.sum("score").alias("score"))
+        elif way == "all":
+            # Which tokens a document has is one bit each, so rows add up before they are shuffled.
+            bit = F.expr("shiftleft(1L, ord)")
+            matched = (
+                hits.groupBy(*of_document, "n_tokens")
+                .agg(F.sum("score").alias("score"), F.bit_or(bit).alias("tokens"))
+                .where(F.bit_count("tokens") == F.col("n_tokens"))
+            )
+        else:
+            per_token = hits.repartition(*of_document).groupBy(*QUERY, "doc_id", "ord").agg(F.sum("score").alias("score"))
+            matched = (
+                per_token.groupBy(*of_document, "n_tokens")
+                .agg(F.sum("score").alias("score"), F.count("*").alias("n"))
+                .where("n = n_tokens")
+            )
+        ways.append(matched.select(*of_document, "score"))
+    if not ways:
+        return planned.select("query_id", F.lit(0).cast("bigint").alias("doc_id"), F.lit(0.0).alias("text_score"))
+    matched = ways[0]
+    for other in ways[1:]:
+        matched = matched.unionByName(other)
+    if phrase:
+        near = phrase_scores(planned, index, rows_per_slice)
+        matched = matched.join(near, of_document, "left").withColumn(
+            "score", F.col("score") + F.coalesce("phrase_score", F.lit(0.0))
         )
-        .where("any_token OR n_matched = n_tokens")
+    return matched.select(*of_document, F.round("score", 6).alias("text_score"))
+
+
+def phrase_scores(planned: DataFrame, index: Index, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
+    """What documents earn whose title has all words of a query close together."""
+    words = planned.where("kind = 'exact' AND field = 'title' AND n_tokens > 1")
+    complete = words.groupBy("query_id", "n_tokens").count().where("count = n_tokens").select("query_id")
+    words = words.join(complete, "query_id", "left_semi")
+    place = F.struct("ord", "positions", "idf", _length_norm().alias("norm"))
+    titles = (
+        clause_hits(words, words.count(), index, rows_per_slice)
+        .groupBy("query_id", "doc_id", "n_tokens")
+        .agg(F.collect_list(place).alias("places"))
+        .where(F.size("places") == F.col("n_tokens"))
     )
-    total = F.col("score")
-    if phrase:
-        total = total + F.when(F.size("places") == F.col("n_tokens"), phrase_score(F.col("places"))).otherwise(0.0)
-    return matched.select("query_id", "doc_id", F.round(total, 6).alias("text_score"))
+    return titles.select("query_id", "doc_id", phrase_score(F.sort_array("places")).alias("phrase_score"))
 
 
 def phrase_frequency(places: Column, slop: int = fixed.PHRASE_SLOP) -> Column:
