@@ -7,6 +7,7 @@ from checks.registry import query
 from placeweave import fixed
 from placeweave.functions import text as T
 from placeweave.operators import linkage, places, profile
+from placeweave.plans import enrich
 
 STOP_SQL = "[" + ", ".join(f"'{w}'" for w in fixed.STOP_WORDS) + "]"
 
@@ -230,7 +231,7 @@ FROM ranked GROUP BY crawler_url"""
 
 @query(NESTED_SQL.replace("{order}", "md5(string_agg(wiki_title, ',' ORDER BY rn))"))
 def nested_matches(spark, sf):
-    nested = linkage.nest_matches(linkage.match_details(pairs(spark, sf), wiki_pages(spark, sf)), per_row=1_000_000)
+    nested = enrich.nest(pairs(spark, sf), wiki_pages(spark, sf), per_row=1_000_000)
     return nested.select(
         "url", F.size("matches").cast("bigint").alias("n_matches"), F.col("primary_match.wiki_title").alias("primary_title"),
         F.col("primary_match.wiki_style").alias("primary_style"), "first_style", "first_city",
@@ -241,7 +242,7 @@ def nested_matches(spark, sf):
 @query(NESTED_SQL.replace("{order}", "md5(string_agg(wiki_title, ',' ORDER BY wiki_title))"))
 def nested_matches_in_parts(spark, sf):
     """Activities cut into parts of about five matches hold the same matches."""
-    nested = linkage.nest_matches(linkage.match_details(pairs(spark, sf), wiki_pages(spark, sf)), per_row=5)
+    nested = enrich.nest(pairs(spark, sf), wiki_pages(spark, sf), per_row=5)
     heads = nested.where("part = 0").select(
         "url", F.col("primary_match.wiki_title").alias("primary_title"),
         F.col("primary_match.wiki_style").alias("primary_style"), "first_style", "first_city",

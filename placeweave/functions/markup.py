@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from placeweave import fixed
-from placeweave.functions.text import blank_to_null, strip
+from placeweave.functions.text import bind, blank_to_null, strip
 
 PAGE_TAG = r"\{\{|\}\}|[^{}]+|[{}]"
 
@@ -125,11 +125,6 @@ def _infobox_start(names: list[str]) -> str:
     return rf"(?i)\{{\{{\s*Infobox\s+(?:{words})\b"
 
 
-def _let(value: Column, body) -> Column:
-    """``body(value)`` with the value computed once however often the body mentions it."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def infobox(c: Column, names: list[str] | None = None) -> Column:
     """From the first infobox of one of ``names`` to its matching braces; null if they never match."""
     start = F.lit(_infobox_start(fixed.LANDMARK_INFOBOXES if names is None else names))
@@ -141,12 +136,12 @@ def infobox(c: Column, names: list[str] | None = None) -> Column:
             F.struct(F.lit(0).alias("depth"), F.lit(0).alias("at"), F.lit(0).alias("end")),
             lambda s, p: F.when(s["end"] > 0, s).otherwise(_step(s, p)),
         )
-        return _let(state["end"], lambda end: F.when(end > 0, F.substr(rest, F.lit(1), end)))
+        return bind(state["end"], lambda end: F.when(end > 0, F.substr(rest, F.lit(1), end)))
 
     def from_start(at: Column) -> Column:
-        return F.when(at > 0, _let(F.substr(c, at), closed))
+        return F.when(at > 0, bind(F.substr(c, at), closed))
 
-    return _let(F.regexp_instr(c, start), from_start)
+    return bind(F.regexp_instr(c, start), from_start)
 
 
 def _step(s: Column, p: Column) -> Column:
@@ -205,7 +200,7 @@ def record_fields(entries: Column) -> Column:
             ]
         )
 
-    return _let(entries, fields)
+    return bind(entries, fields)
 
 
 def abstract(c: Column, min_length: int = 50) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 from functools import cache
 
 from pyspark.sql import Column
@@ -22,6 +23,11 @@ def strip(c: Column) -> Column:
     return F.trim(c, F.lit(WHITESPACE))
 
 
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once however often the body mentions it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def empty_strings() -> Column:
     return F.array().cast("array<string>")
 

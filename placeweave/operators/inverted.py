@@ -1,6 +1,6 @@
 """Inverted index as tables.
 
-``docs``         what a hit shows and what ranks it
+``documents``    texts as they are searched, what a hit shows and what ranks it
 ``postings``     field, term, doc_id, tf, dl (length of the field in the document), positions
 ``term_stats``   field, term, df
 ``field_stats``  field, n_docs, avgdl
@@ -117,8 +117,9 @@ def write_index(
     all terms of a document in one place, where its scores add up before any shuffle.
     """
     spark = documents.sparkSession
-    one_each = documents.where("part = 0") if "part" in documents.columns else documents
-    one_each.select(*SHOWN).write.mode("overwrite").parquet(f"{path}/docs")
+    # What documents are made of may be a long plan of joins; it runs once.
+    documents.write.mode("overwrite").parquet(f"{path}/documents")
+    documents = spark.read.parquet(f"{path}/documents")
     (
         postings(documents, positional, split_city)
         .sortWithinPartitions("field", "term")
@@ -132,11 +133,18 @@ def write_index(
 
 
 def read_index(spark: SparkSession, path: str) -> Index:
-    return Index(*[spark.read.parquet(f"{path}/{t}") for t in ("docs", "postings", "term_stats", "field_stats")])
+    documents, *others = [
+        spark.read.parquet(f"{path}/{t}") for t in ("documents", "postings", "term_stats", "field_stats")
+    ]
+    return Index(_shown(documents), *others)
+
+
+def _shown(documents: DataFrame) -> DataFrame:
+    one_each = documents.where("part = 0") if "part" in documents.columns else documents
+    return one_each.select(*SHOWN)
 
 
 def in_memory_index(documents: DataFrame, positional: list[str] | None = None, split_city: bool = False) -> Index:
     """The same tables as plans, for small inputs and tests."""
     posted = postings(documents, positional, split_city)
-    one_each = documents.where("part = 0") if "part" in documents.columns else documents
-    return Index(one_each.select(*SHOWN), posted, term_stats(posted), field_stats(posted, documents, split_city))
+    return Index(_shown(documents), posted, term_stats(posted), field_stats(posted, documents, split_city))

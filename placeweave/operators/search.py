@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from placeweave import fixed
-from placeweave.functions.text import analysed_terms
+from placeweave.functions.text import analysed_terms, bind
 from placeweave.operators.fuzzy import expansions
 from placeweave.operators.inverted import Index
 from placeweave.operators.skew import ROWS_PER_SLICE, hot_keys, split_hot_join
@@ -232,7 +232,8 @@ def phrase_scores(planned: DataFrame, index: Index, rows_per_slice: int = ROWS_P
         .agg(F.collect_list(place).alias("places"))
         .where(F.size("places") == F.col("n_tokens"))
     )
-    return titles.select("query_id", "doc_id", phrase_score(F.sort_array("places")).alias("phrase_score"))
+    ordered = titles.withColumn("places", F.sort_array("places"))
+    return ordered.select("query_id", "doc_id", bind(F.col("places"), phrase_score).alias("phrase_score"))
 
 
 def phrase_frequency(places: Column, slop: int = fixed.PHRASE_SLOP) -> Column:
@@ -242,23 +243,40 @@ def phrase_frequency(places: Column, slop: int = fixed.PHRASE_SLOP) -> Column:
     phrase.  Every such shifted position starts a match if each word has one at most
     ``slop`` further on, at a position of its own; the closer they are the more it counts.
     """
-    shifted = F.transform(places, lambda w: F.transform(w["positions"], lambda p: p - w["ord"]))
-    starts = F.array_distinct(F.flatten(shifted))
+    shifted = F.array_sort(
+        F.flatten(
+            F.transform(
+                places,
+                lambda w: F.transform(w["positions"], lambda p: F.struct((p - w["ord"]).alias("at"), w["ord"].alias("ord"))),
+            )
+        )
+    )
+
+    def total(occurrences: Column) -> Column:
+        def closeness(x: Column, i: Column) -> Column:
+            # A word has one occurrence per shifted position, so what is near lies in a short run.
+            run = F.slice(occurrences, i + 1, F.size(places) * (slop + 1))
+            near = F.filter(run, lambda y: y["at"] <= x["at"] + slop)
+            nearest = F.transform(
+                places, lambda w: F.array_min(F.transform(F.filter(near, lambda y: y["ord"] == w["ord"]), lambda y: y["at"]))
+            )
+            repeats = F.coalesce(F.get(occurrences, i - 1)["at"] == x["at"], F.lit(False))
+            return F.when(repeats, 0.0).otherwise(bind(nearest, lambda at: weight(at, x["at"])))
+
+        return F.aggregate(F.transform(occurrences, closeness), F.lit(0.0), lambda t, c: t + c)
 
-    def closeness(start: Column) -> Column:
-        nearest = F.transform(shifted, lambda s: F.array_min(F.filter(s, lambda p: p.between(start, start + slop))))
-        at = F.zip_with(nearest, places, lambda p, w: p + w["ord"])
-        ok = ~F.exists(nearest, lambda p: p.isNull()) & (F.size(F.array_distinct(at)) == F.size(places))
+    def weight(nearest: Column, start: Column) -> Column:
+        own = F.zip_with(nearest, places, lambda p, w: p + w["ord"])
+        ok = ~F.exists(nearest, lambda p: p.isNull()) & (F.size(F.array_distinct(own)) == F.size(places))
         return F.when(ok, 1.0 / (1 + F.array_max(nearest) - start)).otherwise(0.0)
 
-    return F.aggregate(F.transform(starts, closeness), F.lit(0.0), lambda total, c: total + c)
+    return bind(shifted, total)
 
 
 def phrase_score(places: Column) -> Column:
-    tf = phrase_frequency(places)
     idf = F.aggregate(F.transform(places, lambda w: w["idf"]), F.lit(0.0), lambda total, i: total + i)
     norm = F.get(places, F.lit(0))["norm"]
-    return F.lit(fixed.PHRASE_BOOST) * idf * tf / (tf + norm)
+    return F.lit(fixed.PHRASE_BOOST) * idf * bind(phrase_frequency(places), lambda tf: tf / (tf + norm))
 
 
 def top_hits(scored: DataFrame, score: str, n: int) -> DataFrame:

@@ -8,6 +8,7 @@ from placeweave.operators import linkage
 from placeweave.operators.inverted import Index, read_index, write_index
 from placeweave.operators.places import with_place
 from placeweave.operators.search_docs import search_documents
+from placeweave.sources.scratch import scratch_path
 
 
 def link(
@@ -20,8 +21,15 @@ def link(
 
 def enrich(activities: DataFrame, pairs: DataFrame, pages: DataFrame, per_row: int = 1000) -> DataFrame:
     """Activities with their matches nested; those without a match stay, with none."""
-    nested = linkage.nest_matches(linkage.match_details(pairs, pages), per_row)
-    return activities.join(nested, "url", "left")
+    return activities.join(nest(pairs, pages, per_row), "url", "left")
+
+
+def nest(pairs: DataFrame, pages: DataFrame, per_row: int = 1000) -> DataFrame:
+    """Nested matches; nesting looks at the pairs several times, so they are written down first."""
+    spark = pairs.sparkSession
+    path = scratch_path(spark, "pairs")
+    pairs.write.parquet(path)
+    return linkage.nest_matches(linkage.match_details(spark.read.parquet(path), pages), per_row)
 
 
 def build_index(enriched: DataFrame, path: str) -> Index:
