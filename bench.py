@@ -10,7 +10,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from checks import QUERIES
-from checks.searching import build
+from checks.searching import index
 from placeweave.session import local_session
 
 HEADLINE = [
@@ -25,11 +25,11 @@ def main() -> None:
     spark = local_session(os.environ.get("BENCH_CPUS", "8"), app="bench")
     spark.range(1000).selectExpr("sum(id)").collect()
     seconds: dict[str, float] = {}
-    start = time.perf_counter()
-    build(spark, sf_dir)
-    seconds["index_build"] = round(time.perf_counter() - start, 3)
-    QUERIES["term_stats"](spark, sf_dir).count()  # the index the searches below share
     for name in HEADLINE:
+        if name == "bm25_and":
+            start = time.perf_counter()
+            index(spark, sf_dir)  # built once, shared by the searches that follow
+            seconds["index_build"] = round(time.perf_counter() - start, 3)
         start = time.perf_counter()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - start, 3)

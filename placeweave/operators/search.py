@@ -152,9 +152,14 @@ def clause_hits(clauses: DataFrame, n_clauses: int, index: Index, rows_per_slice
 
 def _led_hits(clauses: DataFrame, n_clauses: int, index: Index, rows_per_slice: int) -> DataFrame:
     """Hits in the documents that have the lead of their query."""
-    few = n_clauses <= rows_per_slice
     leading = clauses.where("ord = lead").select("query_id", "ord", "field", "term")
     found = clause_hits(leading, n_clauses, index, rows_per_slice).select("query_id", "doc_id").distinct()
+    return _hits_in(found, clauses, n_clauses, index, rows_per_slice)
+
+
+def _hits_in(found: DataFrame, clauses: DataFrame, n_clauses: int, index: Index, rows_per_slice: int) -> DataFrame:
+    """Hits of clauses in the documents found for their query (query_id, doc_id)."""
+    few = n_clauses <= rows_per_slice
     wanted = clauses.select("field", "term").distinct()
     asked = index.postings.join(F.broadcast(wanted) if few else wanted, ["field", "term"], "left_semi")
     checks = found.join(F.broadcast(clauses) if few else clauses, "query_id")
@@ -225,15 +230,22 @@ def phrase_scores(planned: DataFrame, index: Index, rows_per_slice: int = ROWS_P
     words = planned.where("kind = 'exact' AND field = 'title' AND n_tokens > 1")
     complete = words.groupBy("query_id", "n_tokens").count().where("count = n_tokens").select("query_id")
     words = words.join(complete, "query_id", "left_semi")
+    n = words.count()
+    # Positions are fetched only where all words are; a title has one posting per word of the query.
+    complete = (
+        clause_hits(words, n, index, rows_per_slice)
+        .groupBy("query_id", "doc_id", "n_tokens")
+        .agg(F.count("*").alias("n_found"))
+        .where("n_found = n_tokens")
+        .select("query_id", "doc_id")
+    )
     place = F.struct("ord", "positions", "idf", _length_norm().alias("norm"))
     titles = (
-        clause_hits(words, words.count(), index, rows_per_slice)
-        .groupBy("query_id", "doc_id", "n_tokens")
-        .agg(F.collect_list(place).alias("places"))
-        .where(F.size("places") == F.col("n_tokens"))
+        _hits_in(complete, words, n, index, rows_per_slice)
+        .groupBy("query_id", "doc_id")
+        .agg(F.sort_array(F.collect_list(place)).alias("places"))
     )
-    ordered = titles.withColumn("places", F.sort_array("places"))
-    return ordered.select("query_id", "doc_id", bind(F.col("places"), phrase_score).alias("phrase_score"))
+    return titles.select("query_id", "doc_id", bind(F.col("places"), phrase_score).alias("phrase_score"))
 
 
 def phrase_frequency(places: Column, slop: int = fixed.PHRASE_SLOP) -> Column:
