@@ -147,8 +147,7 @@ def link_v1(spark, sf):
     return linkage.link_v1(activities(spark, sf), wiki_pages(spark, sf))
 
 
-@query(
-    f"""WITH {ACTIVITIES_SQL}, {WIKI_SQL},
+V2_SQL = f"""WITH {ACTIVITIES_SQL}, {WIKI_SQL},
 c AS (SELECT *, {ascii_sql('city')} AS k, {split_sql('name')} AS t,
       {split_sql("concat_ws(' ', description, array_to_string(highlights, ' '))")} AS d FROM activities),
 w AS (SELECT *, {ascii_sql("coalesce(geo_parent[1], '')")} AS k,
@@ -159,11 +158,18 @@ pairs AS (SELECT c.url AS crawler_url, c.name AS crawler_name, c.city, w.title A
        length(list_intersect(c.d, w.d))::INT AS overlap_desc
 FROM c JOIN w ON c.k = w.k OR list_contains(w.ks, c.k))
 SELECT * FROM pairs WHERE overlap_name >= 1 OR overlap_desc >= 2"""
-)
+
+
+@query(V2_SQL)
 def link_v2(spark, sf):
     return linkage.link_v2(activities(spark, sf), wiki_pages(spark, sf))
 
 
+@query(V2_SQL)
+def link_v2_split(spark, sf):
+    return linkage.link_v2(activities(spark, sf), wiki_pages(spark, sf), rows_per_slice=7)
+
+
 PAIRS_SQL = f"""{ACTIVITIES_SQL}, {WIKI_SQL},
 c AS (SELECT *, {unicode_sql('city')} AS k FROM activities),
 c2 AS (SELECT *, {filtered_sql('name', 'k')} AS t FROM c WHERE k <> ''),
@@ -357,15 +363,22 @@ def coverage_totals(spark, sf):
     return profile.coverage_totals(profiled(spark, sf), cities, geo_index=1)
 
 
-@query(
-    f"""WITH {PROFILED_SQL} SELECT url, {unicode_sql('geo_parent[1]')} AS geo_key FROM profiled
+COVERED_SQL = f"""WITH {PROFILED_SQL} SELECT url, {unicode_sql('geo_parent[1]')} AS geo_key FROM profiled
     WHERE {unicode_sql('geo_parent[1]')} IN (SELECT {unicode_sql('lang')} FROM documents)"""
-)
+
+
+@query(COVERED_SQL)
 def covered_rows(spark, sf):
     cities = table(spark, sf, "documents").select(F.col("lang").alias("city"))
     return profile.covered_rows(profiled(spark, sf), cities).select("url", "geo_key")
 
 
+@query(COVERED_SQL)
+def covered_rows_split(spark, sf):
+    cities = table(spark, sf, "documents").select(F.col("lang").alias("city"))
+    return profile.covered_rows(profiled(spark, sf), cities, rows_per_slice=10).select("url", "geo_key")
+
+
 @query(
     f"""WITH {PROFILED_SQL} SELECT title, url, array_to_string(geo_parent, '|') AS geo_parent FROM profiled
     ORDER BY title, url LIMIT 10"""

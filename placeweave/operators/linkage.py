@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from placeweave.functions import text as T
-from placeweave.operators.skew import ROWS_PER_SLICE, split_hot_join
+from placeweave.operators.skew import ROWS_PER_SLICE, hot_keys, split_hot_join, split_hot_lookup
+from placeweave.sources.scratch import scratch_path
 
 CITY_PAGE_TOKEN = ""  # no tokeniser yields it, so it can stand for "whatever the name says"
 
@@ -32,6 +33,20 @@ def _overlap(a: str, b: str) -> Column:
     return F.size(F.array_intersect(a, b))
 
 
+def written(pairs: DataFrame) -> DataFrame:
+    """Pairs as a written table, for steps that look at them more than once."""
+    path = scratch_path(pairs.sparkSession, "pairs")
+    pairs.write.parquet(path)
+    return pairs.sparkSession.read.parquet(path)
+
+
+def attach(pairs: DataFrame, table: DataFrame, key: str, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
+    """Pairs with the columns of ``table`` for their ``key``; a page or activity may be in very many pairs."""
+    other = "crawler_url" if key == "wiki_url" else "wiki_url"
+    hot = hot_keys(pairs.groupBy(key).count(), [key], rows_per_slice, "_ln")
+    return split_hot_lookup(pairs, table, [key], [other], hot, "inner")
+
+
 def link_v1(activities: DataFrame, pages: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
     """Same ASCII city key and at least one shared token of name and title."""
     c = activities.select(
@@ -90,7 +105,7 @@ def link_v2(activities: DataFrame, pages: DataFrame, rows_per_slice: int = ROWS_
         tokens(c, "crawler_url"), tokens(w, "wiki_url"), ["city_norm", "in_name", "token"],
         ["crawler_url"], ["wiki_url"], rows_per_slice,
     )
-    pairs = (
+    counted = (
         shared.groupBy("crawler_url", "wiki_url")
         .agg(
             F.count_if("in_name").cast("int").alias("overlap_name"),
@@ -98,12 +113,11 @@ def link_v2(activities: DataFrame, pages: DataFrame, rows_per_slice: int = ROWS_
         )
         .where("overlap_name >= 1 OR overlap_desc >= 2")
     )
-    return pairs.join(
-        activities.select(F.col("url").alias("crawler_url"), F.col("name").alias("crawler_name"), "city"), "crawler_url"
-    ).join(
-        pages.select(F.col("url").alias("wiki_url"), F.col("title").alias("wiki_title"), F.col("type").alias("wiki_type")),
-        "wiki_url",
-    ).select(
+    pairs = written(counted)
+    names = activities.select(F.col("url").alias("crawler_url"), F.col("name").alias("crawler_name"), "city")
+    titles = pages.select(F.col("url").alias("wiki_url"), F.col("title").alias("wiki_title"), F.col("type").alias("wiki_type"))
+    named = attach(attach(pairs, names, "crawler_url", rows_per_slice), titles, "wiki_url", rows_per_slice)
+    return named.select(
         "crawler_url", "crawler_name", "city", "wiki_title", "wiki_url", "wiki_type", "overlap_name", "overlap_desc"
     )
 
@@ -193,7 +207,7 @@ def match_details(pairs: DataFrame, pages: DataFrame) -> DataFrame:
         F.col("fields.architect").alias("wiki_architect"),
         F.col("fields.style").alias("wiki_style"),
     )
-    return pairs.join(facts, "wiki_url")
+    return attach(pairs, facts, "wiki_url")
 
 
 def nest_matches(details: DataFrame, per_row: int = 1000) -> DataFrame:
@@ -261,8 +275,8 @@ def prefixed(left: DataFrame, right: DataFrame, left_prefix: str = "crawler_", r
 def widen(pairs: DataFrame, activities: DataFrame, pages: DataFrame) -> DataFrame:
     """Pairs with all columns of both sides, prefixed."""
     a, w = prefixed(activities, pages)
-    scores = pairs.select("crawler_url", "wiki_url", "overlap")
-    return scores.join(a, "crawler_url").join(w, "wiki_url")
+    scores = written(pairs.select("crawler_url", "wiki_url", "overlap"))
+    return attach(attach(scores, a, "crawler_url"), w, "wiki_url")
 
 
 def union_pages(landmarks: DataFrame, cities: DataFrame | None) -> DataFrame:

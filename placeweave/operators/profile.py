@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from placeweave.functions import text as T
+from placeweave.operators.skew import ROWS_PER_SLICE, hot_keys, split_hot_lookup
 
 
 def page_profile(pages: DataFrame, geo_index: int = 0, short_title: int = 1) -> DataFrame:
@@ -34,11 +35,14 @@ def sample_geo(pages: DataFrame, n: int = 10) -> DataFrame:
     return pages.select("title", "url", "geo_parent").orderBy("title", "url").limit(n)
 
 
-def covered_rows(pages: DataFrame, activities: DataFrame, geo_index: int = 0) -> DataFrame:
+def covered_rows(
+    pages: DataFrame, activities: DataFrame, geo_index: int = 0, rows_per_slice: int = ROWS_PER_SLICE
+) -> DataFrame:
     """Pages whose geo key is the city key of some activity."""
     keyed = pages.withColumn("geo_key", T.unicode_key(F.get("geo_parent", F.lit(geo_index))))
     cities = activities.select(T.unicode_key(F.col("city")).alias("geo_key")).distinct()
-    return keyed.join(cities, "geo_key", "left_semi")
+    hot = hot_keys(keyed.groupBy("geo_key").count(), ["geo_key"], rows_per_slice, "_ln")
+    return split_hot_lookup(keyed, cities, ["geo_key"], ["url"], hot, "left_semi")
 
 
 def key_coverage(pages: DataFrame, activities: DataFrame, geo_index: int = 0, n: int = 50) -> DataFrame:

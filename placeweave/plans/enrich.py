@@ -8,7 +8,6 @@ from placeweave.operators import linkage
 from placeweave.operators.inverted import Index, read_index, write_index
 from placeweave.operators.places import with_place
 from placeweave.operators.search_docs import search_documents
-from placeweave.sources.scratch import scratch_path
 
 
 def link(
@@ -26,10 +25,7 @@ def enrich(activities: DataFrame, pairs: DataFrame, pages: DataFrame, per_row: i
 
 def nest(pairs: DataFrame, pages: DataFrame, per_row: int = 1000) -> DataFrame:
     """Nested matches; nesting looks at the pairs several times, so they are written down first."""
-    spark = pairs.sparkSession
-    path = scratch_path(spark, "pairs")
-    pairs.write.parquet(path)
-    return linkage.nest_matches(linkage.match_details(spark.read.parquet(path), pages), per_row)
+    return linkage.nest_matches(linkage.match_details(linkage.written(pairs), pages), per_row)
 
 
 def build_index(enriched: DataFrame, path: str) -> Index:
