@@ -123,4 +123,4 @@ def test_ndcg(spark):
     judgments = spark.createDataFrame([(q, t, r) for q, _, t, r in rows if r], "query_id string, title string, relevance double")
     got = {r.query_id: r.ndcg for r in evaluate.ndcg(evaluate.judge_hits(hits, judgments)).collect()}
     for q, (_, want) in JUDGED.items():
-        assert 0 <= got[q] <= 100 and (want is None or got[q] == pytest.approx(want, abs=1e-6)  # targets are cut off after six places)
+        assert 0 <= got[q] <= 100 and (want is None or got[q] == pytest.approx(want, abs=1e-6))  # targets are cut off after six places
