@@ -9,10 +9,15 @@ from pyspark.sql import functions as F
 CORRUPT = "_corrupt_record"
 
 
+def _parsed(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Lines with the record each holds.  Parsing lines, not files, lets a plan ask for the bad ones alone."""
+    record = F.from_json("value", f"{schema}, {CORRUPT} string", {"columnNameOfCorruptRecord": CORRUPT})
+    return spark.read.text(path).where(F.trim("value") != "").select("value", record.alias("record"))
+
+
 def read_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Records of JSON lines; a line that is no such record keeps its text in ``_corrupt_record``."""
-    full = f"{schema}, {CORRUPT} string"
-    return spark.read.schema(full).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).json(path)
+    return _parsed(spark, path, schema).select("record.*")
 
 
 def good_records(df: DataFrame) -> DataFrame:
@@ -21,8 +26,7 @@ def good_records(df: DataFrame) -> DataFrame:
 
 def bad_records(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """The lines that are no such records, as they stand, for a quarantine table."""
-    parsed = F.from_json("value", f"{schema}, {CORRUPT} string", {"columnNameOfCorruptRecord": CORRUPT})
-    return spark.read.text(path).where(parsed[CORRUPT].isNotNull())
+    return _parsed(spark, path, schema).where(F.col(f"record.{CORRUPT}").isNotNull()).select("value")
 
 
 def read_optional_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
