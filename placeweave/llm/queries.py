@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from placeweave.llm import chat, packing, token_files, tokens
+from placeweave.llm import chat, packing, simhash, token_files, tokens
 
 VOCABULARY, RANKS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -45,3 +45,8 @@ def op9_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op10_token_files(spark: SparkSession, sf: str) -> DataFrame:
     return token_files.token_files(table(spark, sf, "documents"), VOCABULARY, RANKS, end_id=2)
+
+
+@query
+def op6_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf, "documents"))
