@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from placeweave.llm import chat, embedding_dedup, packing, simhash, token_files, tokens
+from placeweave.llm import chat, embedding_dedup, packing, simhash, token_files, tokens, toxicity
 
 VOCABULARY, RANKS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -55,3 +55,8 @@ def op6_simhash(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op4_embedding_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf, "embeddings"), threshold=0.9)
+
+
+@query
+def op2_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    return toxicity.scores(table(spark, sf, "documents"), table(spark, sf, "labels"))
