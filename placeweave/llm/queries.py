@@ -7,12 +7,12 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from placeweave.llm import chat, embedding_dedup, packing, simhash, token_files, tokens, toxicity
+from placeweave.llm import chat, decontamination, embedding_dedup, packing, simhash, sql, token_files, tokens, toxicity
 
 VOCABULARY, RANKS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = dict(sql.SQL)
 
 
 def query(f):
@@ -60,3 +60,8 @@ def op4_embedding_dedup(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op2_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.scores(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query
+def op7_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    return decontamination.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"), width=10)
