@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from placeweave.llm import chat, decontamination, embedding_dedup, packing, simhash, sql, token_files, tokens, toxicity
+from placeweave.llm import chat, decontamination, embedding_dedup, packing, pii, simhash, sql, token_files, tokens, toxicity
 
 VOCABULARY, RANKS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -65,3 +65,8 @@ def op2_toxicity(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op7_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontamination.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"), width=10)
+
+
+@query
+def op5_pii(spark: SparkSession, sf: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf, "documents"))
