@@ -31,15 +31,14 @@ def together(blocks: DataFrame, key: str) -> DataFrame:
     return blocks.repartition(key, "low", "high").sortWithinPartitions(key, "low", "high")
 
 
-def runs(batches: Iterable[pa.RecordBatch], key: str) -> Iterator[tuple[pa.Table, np.ndarray]]:
-    """Tables of whole blocks with the places where a block begins, and the end; holds back the last block of a batch."""
+def runs(batches: Iterable[pa.RecordBatch], *keys: str) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables of whole runs of equal keys with the places where one begins, and the end; holds back the last run of a batch."""
     held: list[pa.RecordBatch] = []
 
     def starts(t: pa.Table) -> np.ndarray:
-        keys = [t.column(c).to_numpy() for c in (key, "low", "high")]
         new = np.zeros(t.num_rows, bool)
         new[:1] = True
-        for k in keys:
+        for k in (t.column(c).to_numpy() for c in keys):
             new[1:] |= k[1:] != k[:-1]
         return np.flatnonzero(new)
 

@@ -86,7 +86,7 @@ def links(found: DataFrame, threshold: float, tables: int, planes: int) -> DataF
     met = blocks.dealt(rows, "key", "node", CHUNK_ROWS).join(found.select("node", "copies", "embedding", "signs"), "node")
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t, at in blocks.runs(batches, "key"):
+        for t, at in blocks.runs(batches, "key", "low", "high"):
             node, copies, chunk, low, high, key = (t.column(c).to_numpy() for c in ("node", "copies", "chunk", "low", "high", "key"))
             vectors, signs = (t.column(c).combine_chunks() for c in ("embedding", "signs"))
             size = pa.compute.list_value_length(vectors).to_numpy()

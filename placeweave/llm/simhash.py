@@ -104,7 +104,7 @@ def links(nodes: DataFrame) -> DataFrame:
     rows = nodes.select("bits", F.explode(keys).alias("key"))
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table, at in blocks.runs(batches, "key"):
+        for table, at in blocks.runs(batches, "key", "low", "high"):
             bits, chunk = table.column("bits").to_numpy(), table.column("chunk").to_numpy()
             turn = table.column("key").to_numpy() >> 25
             words, size = bits.view(np.uint64), np.diff(at)
