@@ -3,13 +3,14 @@
 Every window of ``length`` bytes has a trigger: the place of the smallest hash of its 8-byte grams,
 the first if several. It depends on the window's bytes alone, so equal windows have theirs at the
 same place, and triggers parse equal text into equal phrases. Windows with the same trigger are
-one run of starts. For a run (cut where its distance to the trigger passes half the length)
+one run of starts. For a run (cut where its distance to the trigger passes a quarter of the length)
 
     core = the bytes that all its windows hold      span = all bytes of its windows
 
 go by hash into one table, the dictionary. A core that is nowhere else: none of the run's windows
 repeats. A span that is elsewhere too: all do. Only where a core has several spans, at the edges
-of repeats, windows are compared one by one, all windows of one row of each such span.
+of repeats, and one of them is there once, windows are compared one by one, those of one row of each
+such span.
 
 A task sends one row of each span that it has several times, and deals the others out by row, so
 a string that is in a third of all texts comes to a task of the next stage once for each task of
@@ -35,6 +36,8 @@ GRAM, FACTOR = 8, np.uint64(0x9E3779B97F4A7C15)
 SLICE, BLOCK_ROWS = 1 << 20, 500_000
 #: Place of a run: its first start, the last start less the first, packed into one number.
 SHIFT = 10
+#: Runs are cut by their distance to the trigger into so many parts.
+PARTS = 4
 ROWS = "deal long, span long, doc long, text_hash int, place long, state int"
 SINGLE, FIRST, FURTHER = 0, 1, 2  # the only row of its span in its block, the first of several, another
 REPEATED, EXPAND = 0, 1
@@ -65,15 +68,15 @@ def parse(data: bytes, length: int) -> list[tuple[int, int, int, int]]:
     found = triggers(data, length)
     if not len(found):
         return []
-    half = length // 2
+    part = -(-length // PARTS)
     start = np.arange(len(found))
-    far = found - start >= half
+    far = (found - start) // part
     begins = np.flatnonzero(np.concatenate([[True], (found[1:] != found[:-1]) | (far[1:] != far[:-1])]))
     ends = np.append(begins[1:], len(found)) - 1
-    core = found[begins] - half * far[begins]
+    core = found[begins] - part * far[begins]
     hashed, rows = xxhash.xxh3_64_intdigest, []
     for c, f, a, b in zip(core.tolist(), far[begins].tolist(), begins.tolist(), ends.tolist()):
-        rows.append((hashed(data[c : c + length - half + 1], f), hashed(data[a : b + length], c - a), a, b - a))
+        rows.append((hashed(data[c : c + length - part + 1], f), hashed(data[a : b + length], c - a), a, b - a))
     return rows
 
 
@@ -122,7 +125,8 @@ def compared(rows: DataFrame) -> DataFrame:
             repeated = state != SINGLE
             repeated[live] |= ~new[:-1] | ~new[1:]
             spans = np.bincount(group[live][new[:-1]], minlength=len(at) - 1)
-            expand = live[new[:-1] & (spans[group[live]] > 1)]
+            unsure = np.bincount(group[live][~repeated[live]], minlength=len(at) - 1)
+            expand = live[new[:-1] & (spans[group[live]] > 1) & (unsure[group[live]] > 0)]
             take = np.concatenate([np.flatnonzero(repeated), expand])
             what = np.repeat([REPEATED, EXPAND], [repeated.sum(), len(expand)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays([*(table.column(c).combine_chunks().take(pa.array(take)) for c in ("doc", "text_hash", "place")), pa.array(what)], names=["doc", "text_hash", "place", "what"])
