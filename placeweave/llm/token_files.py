@@ -38,6 +38,11 @@ def _bits(x: np.ndarray) -> np.ndarray:
     return np.frexp(x.astype(np.float64))[1].astype(np.uint8)
 
 
+def _holds(width: int) -> str:
+    """The smallest kind of number with so many bits."""
+    return "<u2" if width <= 16 else "<u4"
+
+
 def pack_ids(ids: np.ndarray, percentile: float = 0.9) -> list[bytes]:
     """The blocks of ids."""
     n = -(-len(ids) // BLOCK)
@@ -50,7 +55,9 @@ def pack_ids(ids: np.ndarray, percentile: float = 0.9) -> list[bytes]:
     blocks: list[bytes] = [b""] * n
     for w in np.unique(width):
         at = np.flatnonzero(width == w)
-        packed = np.packbits((rest[at][:, :, None] >> np.arange(w, dtype=np.uint32) & 1).astype(np.uint8).reshape(len(at), -1), axis=1, bitorder="little")
+        kind = _holds(int(w))
+        each = np.unpackbits(rest[at].astype(kind).view(np.uint8), axis=1, bitorder="little").reshape(len(at), BLOCK, -1)
+        packed = np.packbits(each[:, :, :w].reshape(len(at), -1), axis=1, bitorder="little")
         for k, b in zip(at.tolist(), packed):
             b = b.tobytes()
             if k == n - 1:
@@ -76,8 +83,10 @@ def unpack_ids(data: memoryview, starts: np.ndarray, n_ids: int) -> np.ndarray:
             b = np.frombuffer(data[begin : begin + -(-count * w // 8)], np.uint8)
             raw[row, : len(b)] = b
         if w:
-            bits = np.unpackbits(raw, axis=1, bitorder="little").reshape(len(at), BLOCK, w)
-            out[at] = (bits.astype(np.uint32) << np.arange(w, dtype=np.uint32)).sum(axis=2, dtype=np.uint32)
+            kind = np.dtype(_holds(w))
+            each = np.zeros((len(at), BLOCK, 8 * kind.itemsize), np.uint8)
+            each[:, :, :w] = np.unpackbits(raw, axis=1, bitorder="little").reshape(len(at), BLOCK, w)
+            out[at] = np.packbits(each.reshape(len(at), -1), axis=1, bitorder="little").view(kind)
     for k, (low, w, over) in enumerate(heads):
         if over:
             begin = int(starts[k]) + BLOCK_HEAD.size + -(-min(BLOCK, n_ids - k * BLOCK) * w // 8)
