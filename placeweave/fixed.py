@@ -121,9 +121,9 @@ CARD_TITLE = r"(?is)<h3[^>]*>(.*?)</h3>"
 CARD_RATING = r"(?is)c-activity-rating__rating[^>]*>([\d.,]+)</"
 CARD_REVIEWS = r"(?is)c-activity-rating__label[^>]*>\(?([\d,]+)\)?"
 PRICE_BLOCK = r'(?is)(<div[^>]*class="[^"]*activity-price[^"]*"[^>]*>.*?</div>)'
-PRICE_PIECE = r">([^<>]*?(?:€|\$)\s*\d+[^\d<>]*)<|>(From|per person|per group up to \d+)<"
-DETAIL_TITLE = r"<h1[^>]*>(.*?)</h1>"
-LD_BLOCK = r'<script[^>]*type="application/ld\+json"[^>]*>(.*?)</script>'
+PRICE_PIECE = r"(?is)>([^<>]*?(?:€|\$)\s*\d+[^\d<>]*)<|>(From|per person|per group up to \d+)<"
+DETAIL_TITLE = r"(?s)<h1[^>]*>(.*?)</h1>"
+LD_BLOCK = r'(?s)<script[^>]*type="application/ld\+json"[^>]*>(.*?)</script>'
 LD_WANTED = r'"@type"\s*:\s*"(Product|TouristAttraction)"'
 LD_TYPE = r'"@type"\s*:\s*"([^"]+)"'
 LD_NAME = r'"name"\s*:\s*"([^"]+)"'
