@@ -17,7 +17,12 @@ def _own_folder(application: str) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a session without that setting (a local one, as in tests) gets a temporary folder.
+    Where it is unset, only a session that runs in one process (as in tests) gets a temporary
+    folder; on a cluster, where executors could not see it, that is an error.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or _own_folder(spark.sparkContext.applicationId)
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = _own_folder(spark.sparkContext.applicationId)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"

@@ -1,4 +1,8 @@
-"""Pages of a MediaWiki dump."""
+"""Pages of a MediaWiki dump.
+
+A dump is read as text whose records end with ``PAGE_END``, so that one file is split over many
+tasks; inside a page that string can't occur, since its text is escaped.
+"""
 
 from __future__ import annotations
 
@@ -7,7 +11,8 @@ from pyspark.sql import functions as F
 
 from placeweave.sources.schemas import WIKI_XML
 
-OPTIONS = {"rowTag": "page", "ignoreSurroundingSpaces": "false"}
+PAGE_END = "</page>"
+PAGE_BEGIN = r"<page(?:\s[^>]*)?>"
 
 
 def title_and_text(raw: DataFrame) -> DataFrame:
@@ -15,8 +20,16 @@ def title_and_text(raw: DataFrame) -> DataFrame:
     return raw.select("title", F.col("revision.text").alias("text")).where("title <> '' AND text <> ''")
 
 
+def parsed(records: DataFrame) -> DataFrame:
+    """Pages out of records (value) that end where a page ends; what stands before a page is left out."""
+    parts = F.split("value", PAGE_BEGIN)
+    page = F.concat(F.lit("<page>"), F.element_at(parts, -1), F.lit(PAGE_END))
+    found = records.where(F.col("value").rlike(PAGE_BEGIN))
+    return found.select(F.from_xml(page, WIKI_XML, {"ignoreSurroundingSpaces": "false"}).alias("page")).select("page.*")
+
+
 def raw_pages(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.format("xml").options(**OPTIONS).schema(WIKI_XML).load(path)
+    return parsed(spark.read.text(path, lineSep=PAGE_END))
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:

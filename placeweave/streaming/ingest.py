@@ -7,15 +7,14 @@ from pyspark.sql.streaming import StreamingQuery
 
 from placeweave.operators import wiki
 from placeweave.sources import wiki_xml
-from placeweave.sources.schemas import WIKI_XML
 
 
 def stream_pages(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
     """Stream of (title, text) over the chunks of a dump folder."""
-    reader = spark.readStream.format("xml").options(**wiki_xml.OPTIONS).schema(WIKI_XML)
+    reader = spark.readStream.format("text").option("lineSep", wiki_xml.PAGE_END)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return wiki_xml.title_and_text(reader.load(path))
+    return wiki_xml.title_and_text(wiki_xml.parsed(reader.load(path)))
 
 
 def extract_new_chunks(

@@ -1,10 +1,14 @@
+import html
 import json
 
+import pytest
 from pyspark.sql import Observation
+from pyspark.sql import functions as F
 
 from placeweave.operators import linkage, wiki
 from placeweave.sources import files, wiki_xml
 from placeweave.sources.schemas import ACTIVITY
+from placeweave.sources.scratch import scratch_path
 from placeweave.streaming.ingest import extract_new_chunks
 
 XML = """<mediawiki><siteinfo><x/></siteinfo>
@@ -68,6 +72,29 @@ def test_chunks_are_extracted_once(spark, tmp_path):
     assert sorted(r.title for r in spark.read.json(out).collect()) == ["Prado 1", "Prado 2"]
 
 
+def test_one_dump_file_is_read_by_several_tasks(spark, tmp_path):
+    texts = [f"line {n}\n\n&lt;page&gt; é {'x' * (n % 97)}\n&lt;/page&gt; end" for n in range(500)]
+    pages = "\n".join(f'  <page>\n    <title>T {n}</title>\n    <revision>\n      <text xml:space="preserve">{t}</text>\n    </revision>\n  </page>' for n, t in enumerate(texts))
+    (tmp_path / "dump").mkdir()
+    (tmp_path / "dump" / "d.xml").write_text(f"<mediawiki>\n{pages}\n</mediawiki>\n", encoding="utf-8")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        read = wiki_xml.read_pages(spark, str(tmp_path / "dump"))
+        tasks = {r[0] for r in read.select(F.spark_partition_id()).distinct().collect()}
+        got = {r.title: r.text for r in read.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(tasks) > 10
+    assert got == {f"T {n}": html.unescape(t) for n, t in enumerate(texts)}
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://far:7077")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_path(spark, "x")
+
+
 def test_scan_is_counted_on_the_way(spark, tmp_path):
     (tmp_path / "c.xml").write_text(XML.format(n=1))
     scanned, kept = Observation("scanned"), Observation("kept")
