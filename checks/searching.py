@@ -105,7 +105,7 @@ def search_doc(spark, sf):
     """SELECT o_orderkey, try_cast(CASE o_orderstatus WHEN 'F' THEN replace(o_totalprice::VARCHAR, '.', ',')
       ELSE o_totalprice::VARCHAR END AS DOUBLE) AS rating,
     try_cast(replace(replace(CASE o_orderstatus WHEN 'P' THEN 'about 3' ELSE concat(o_custkey, ',', o_orderkey) END, ',', ''), '.', '') AS BIGINT)
-      AS reviews FROM orders"""
+      AS reviews, trunc(o_totalprice)::BIGINT AS decimal_text, trunc(o_totalprice)::BIGINT AS decimal_number FROM orders"""
 )
 def safe_numbers(spark, sf):
     o = table(spark, sf, "orders")
@@ -117,6 +117,8 @@ def safe_numbers(spark, sf):
         "o_orderkey",
         safe.rating_value(F.when(F.col("o_orderstatus") == "F", F.replace(price, F.lit("."), F.lit(","))).otherwise(price)).alias("rating"),
         safe.review_count(count).alias("reviews"),
+        safe.review_count(price).alias("decimal_text"),
+        safe.review_count(F.col("o_totalprice"), text=False).alias("decimal_number"),
     )
 
 

@@ -24,15 +24,24 @@ def _entity_names() -> tuple[dict[str, str], list[str]]:
 
 
 def _code_point(number: Column) -> Column:
-    """The character of a numeric entity; the C1 range means Windows-1252 there."""
+    """The character of a numeric entity, nothing for what is no character; the C1 range means Windows-1252 there."""
     windows = {c: bytes([c]).decode("cp1252", "replace") for c in range(0x80, 0xA0)}
     remapped = F.get(
         F.lit([windows[c] if windows[c] != "�" else chr(c) for c in range(0x80, 0xA0)]),
         (number - 0x80).cast("int"),
     )
     valid = (number > 0) & (number <= 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
+    control = number.between(1, 8) | (number == 11) | number.between(14, 31) | (number == 127)
+    no_character = number.between(0xFDD0, 0xFDEF) | (number.bitwiseAND(F.lit(0xFFFE)) == 0xFFFE)
     plain = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
-    return F.when(number.between(0x80, 0x9F), remapped).when(valid, plain).otherwise("�")
+    known = F.when(number.between(0x80, 0x9F), remapped).when(valid & (control | no_character), "")
+    return known.when(valid, plain).otherwise("�")
+
+
+def _from_hex(digits: Column) -> Column:
+    """The number, or one beyond all characters if it is too long."""
+    digits = F.regexp_replace(digits, "^0+(?=.)", "")
+    return F.when(F.length(digits) <= 8, F.conv(digits, 16, 10).try_cast("bigint")).otherwise(0x110000)
 
 
 def _entity_text(e: Column) -> Column:
@@ -44,7 +53,7 @@ def _entity_text(e: Column) -> Column:
     name = F.substring(e, 2, 1 << 20)
     return (
         F.when(decimal != "", _code_point(F.coalesce(decimal.try_cast("bigint"), F.lit(0x110000))))
-        .when(hexadecimal != "", _code_point(F.coalesce(F.conv(F.right(hexadecimal, F.lit(8)), 16, 10).try_cast("bigint"), F.lit(0x110000))))
+        .when(hexadecimal != "", _code_point(_from_hex(hexadecimal)))
         .otherwise(
             F.coalesce(
                 F.try_element_at(table, name),

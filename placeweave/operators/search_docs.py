@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, MapType, StructType
+from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructType
 
 from placeweave.functions.safe import rating_value, review_count
 from placeweave.functions.text import blank_to_null
@@ -75,7 +75,7 @@ def search_documents(enriched: DataFrame) -> DataFrame:
         blank_to_null(F.col("_architect")).alias("architect"),
         blank_to_null(F.col("_style")).alias("style"),
         rating_value(F.col("rating")).alias("rating"),
-        review_count(F.col("reviewCount").cast("string")).alias("review_count"),
+        review_count(F.col("reviewCount"), isinstance(enriched.schema["reviewCount"].dataType, StringType)).alias("review_count"),
         part.alias("part"),
         n_parts.alias("n_parts"),
     )

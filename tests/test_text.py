@@ -49,14 +49,16 @@ def test_geo_parents_beyond_the_end(spark):
 def test_numbers(spark):
     ratings = values(spark, ["4.5", " 4 ", "4,5", "good", None], safe.rating_value)
     assert [r[0] for r in ratings] == [4.5, 4.0, None, None, None]
-    counts = values(spark, ["3,400", "3.400", " 12 ", "many", None], safe.review_count)
-    assert [r[0] for r in counts] == [3400, 3400, 12, None, None]
+    counts = values(spark, ["3,400", "3.400", " 12 ", "many", None, "3400.0", "1.234.567", "1,234.567", "12.5"], safe.review_count)
+    assert [r[0] for r in counts] == [3400, 3400, 12, None, None, 3400, 1234567, 1234567, 12]
+    numbers = spark.createDataFrame([(3400.0,), (None,)], "n double").select(safe.review_count(F.col("n"), text=False)).collect()
+    assert [r[0] for r in numbers] == [3400, None]
 
 
 def test_entities_like_the_standard_library(spark):
     texts = [
         "a &amp; b &lt;x&gt; &eacute;", "&copy2 &notit; &not it", "&#233;&#xe9;&#x1F600;&#150;", "& &bogus; &amp &amp;amp;", "none", "&#0; &#xD800;",
-        "&nbsp;x&hellip;&ThickSpace;", "&&amp;&&", "&#1114112;",
+        "&nbsp;x&hellip;&ThickSpace;", "&&amp;&&", "&#1114112;", "a&#1;b&#xfdd0;c&#11;d&#127;e&#x1fffe;f", "&#x100000041;", "&#x0000000041;&#x0;",
     ]
     assert [r[0] for r in values(spark, texts, M.decode_entities)] == [html.unescape(t) for t in texts]
 
