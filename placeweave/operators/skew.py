@@ -5,21 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key outside the HOT_KEYS most frequent ones holds less than 1/HOT_KEYS of the rows,
-# so a hot-key table of this size is enough and is always small enough to broadcast.
-HOT_KEYS = 1000
+# Every key with more rows is hot. So n rows have fewer than n / ROWS_PER_SLICE hot keys (50,000 in
+# 10^10 rows), which is why their table is broadcast.
 ROWS_PER_SLICE = 200_000
-MAX_SLICES = 1024
 
 
 def hot_keys(counts: DataFrame, on: list[str], rows_per_slice: int, slices: str, count: str = "count") -> DataFrame:
-    """The most frequent keys with the number of slices each is split into."""
-    return (
-        counts.where(F.col(count) > rows_per_slice)
-        .orderBy(F.col(count).desc(), *on)
-        .limit(HOT_KEYS)
-        .select(*on, F.least(F.ceil(F.col(count) / rows_per_slice), F.lit(MAX_SLICES)).cast("int").alias(slices))
-    )
+    """All keys with more than ``rows_per_slice`` rows, and the number of slices each is split into."""
+    n = F.ceil(F.col(count) / rows_per_slice).cast("int")
+    return counts.where(F.col(count) > rows_per_slice).select(*on, n.alias(slices))
 
 
 def split_hot_join(
