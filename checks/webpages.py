@@ -88,7 +88,7 @@ def homes(spark, sf):
 
 @query(
     f"""SELECT page_id, concat('new_', {LANGS}, '_', page_id) AS city_name, concat('{HOST}/city-l', page_id, '/') AS url FROM pages
-    UNION ALL SELECT page_id, 'about', concat('{HOST}/last-l', page_id, '/') FROM pages WHERE false
+    UNION ALL SELECT page_id, 'paris', '{HOST}/paris-l1/' FROM pages
     UNION ALL SELECT page_id, {LANGS}, concat('{HOST}/last-l', page_id, '/') FROM pages"""
 )
 def destination_links(spark, sf):
@@ -98,7 +98,7 @@ def destination_links(spark, sf):
 @query(f"SELECT page_id, concat('new_', {LANGS}, '_', page_id) AS city_name, concat('{HOST}/city-l', page_id, '/') AS url FROM pages")
 def destinations_without(spark, sf):
     """The skip list as a table: languages are no destinations, and neither is Paris."""
-    found = listing.destination_links(homes(spark, sf), HOST, skip=[])
+    found = listing.destination_links(homes(spark, sf), HOST)
     skip = pages(spark, sf).select(lang().alias("city_name")).distinct().union(spark.createDataFrame([("paris",)], "city_name string"))
     return listing.without_skipped(found, skip).select("page_id", "city_name", "url")
 

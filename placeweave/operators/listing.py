@@ -10,22 +10,20 @@ from placeweave.functions import html as H
 from placeweave.functions.safe import rating_value, review_count
 
 
-def destination_links(pages: DataFrame, host: str, skip: list[str] | None = None) -> DataFrame:
-    """Destinations a home page links to, without those on the skip list."""
+def destination_links(pages: DataFrame, host: str) -> DataFrame:
+    """Destinations a home page links to."""
     section = F.regexp_extract("html", fixed.DESTINATION_SECTION, 1)
     links = F.arrays_zip(
         H.every_match(section, fixed.DESTINATION_LINK, 1).alias("href"),
         H.every_match(section, fixed.DESTINATION_LINK, 2).alias("name"),
     )
-    found = pages.select("page_id", F.explode(links).alias("link")).select(
+    return pages.select("page_id", F.explode(links).alias("link")).select(
         "page_id", H.slug(F.col("link.name")).alias("city_name"), H.absolute_url(F.col("link.href"), host).alias("url")
     )
-    skipped = fixed.SKIPPED_DESTINATIONS if skip is None else skip
-    return found.where(~F.col("city_name").isin(skipped)) if skipped else found
 
 
 def without_skipped(destinations: DataFrame, skip: DataFrame) -> DataFrame:
-    """The same with the skip list as a table (city_name)."""
+    """Destinations that are not on the skip list, a table (city_name)."""
     return destinations.join(skip, "city_name", "left_anti")
 
 
