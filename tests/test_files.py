@@ -1,5 +1,6 @@
 import html
 import json
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import Observation
@@ -89,10 +90,14 @@ def test_one_dump_file_is_read_by_several_tasks(spark, tmp_path):
     assert got == {f"T {n}": html.unescape(t) for n, t in enumerate(texts)}
 
 
-def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
-    monkeypatch.setattr(spark.sparkContext, "master", "spark://far:7077")
+@pytest.mark.parametrize("master", ["spark://far:7077", "local-cluster[3,2,1024]", "yarn"])
+def test_scratch_needs_a_shared_folder_on_a_cluster(master):
+    def session(**settings):  # a stand-in: the settings of a real one may name a folder
+        return SimpleNamespace(conf=settings, sparkContext=SimpleNamespace(master=master, applicationId="a"))
+
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        scratch_path(spark, "x")
+        scratch_path(session(), "x")
+    assert scratch_path(session(**{"spark.checkpoint.dir": "hdfs://n/shared/"}), "x").startswith("hdfs://n/shared/x-")
 
 
 def test_scan_is_counted_on_the_way(spark, tmp_path):

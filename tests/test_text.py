@@ -9,6 +9,7 @@ from placeweave.functions import html as H
 from placeweave.functions import markup as M
 from placeweave.functions import safe
 from placeweave.functions import text as T
+from placeweave.operators import listing
 
 FEW = settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
@@ -63,6 +64,22 @@ def test_entities_like_the_standard_library(spark):
     assert [r[0] for r in values(spark, texts, M.decode_entities)] == [html.unescape(t) for t in texts]
 
 
+def test_detail_pages_with_any_line_ends(spark):
+    page = """<h1 class="t">The{e}Tower</h1>{e}<script type="application/ld+json">{e}{{"@type": "Product",{e} "name": "Tower"}}{e}</script>"""
+    ends = ["\n", "\r\n", "\r", "\u0085", "\u2028"]
+    pages = spark.createDataFrame([(str(k), page.format(e=e)) for k, e in enumerate(ends)], "url string, html string")
+    got = listing.detail_records(pages).orderBy("url").collect()
+    assert [(r.ld_type, r.name) for r in got] == [("Product", "Tower")] * len(ends)
+    assert all(r.title.split() == ["The", "Tower"] for r in got)
+
+
+def test_price_labels_in_any_case(spark):
+    block = '<div class="activity-price"><span>{}</span><b>€ 12</b><i>{}</i></div>'
+    texts = [block.format(*x) for x in (("From", "per person"), ("from", "Per Person"), ("FROM", "PER GROUP UP TO 4"))]
+    got = [r[0].casefold() for r in values(spark, texts, H.price_text)]
+    assert got == ["from € 12 per person", "from € 12 per person", "from € 12 per group up to 4"]
+
+
 def test_clean_markup(spark):
     cases = {
         "'''Bold''' ''it'' [[A|label]] [[plain]]": "Bold it label plain",
