@@ -170,6 +170,32 @@ def link_v2_split(spark, sf):
     return linkage.link_v2(activities(spark, sf), wiki_pages(spark, sf), rows_per_slice=7)
 
 
+# Every row twice, once more with another name or title: a url stands for three rows.
+TWICE_SQL = (
+    ", activities3 AS (SELECT * FROM activities UNION ALL SELECT * FROM activities"
+    " UNION ALL SELECT url, concat(name, ' again'), city, description, highlights FROM activities),"
+    " wiki2 AS (SELECT * FROM wiki UNION ALL SELECT * FROM wiki)"
+)
+
+
+def repeated(spark, sf):
+    a, w = activities(spark, sf), wiki_pages(spark, sf)
+    again = a.withColumn("name", F.concat("name", F.lit(" again")))
+    return a.unionByName(a).unionByName(again), w.unionByName(w)
+
+
+def repeated_sql(sql: str) -> str:
+    """The same SQL over the repeated rows."""
+    sql = sql.replace(WIKI_SQL, WIKI_SQL + TWICE_SQL, 1)
+    return sql.replace("AS k FROM activities)", "AS k FROM activities3)").replace("AS d FROM activities)", "AS d FROM activities3)").replace(
+        "AS d FROM wiki)", "AS d FROM wiki2)").replace("AS g FROM wiki)", "AS g FROM wiki2)")
+
+
+@query(repeated_sql(V2_SQL))
+def link_v2_repeated(spark, sf):
+    return linkage.link_v2(*repeated(spark, sf))
+
+
 PAIRS_SQL = f"""{ACTIVITIES_SQL}, {WIKI_SQL},
 c AS (SELECT *, {unicode_sql('city')} AS k FROM activities),
 c2 AS (SELECT *, {filtered_sql('name', 'k')} AS t FROM c WHERE k <> ''),
@@ -221,6 +247,16 @@ def best_match(spark, sf):
     return linkage.best_match(pairs(spark, sf))
 
 
+@query(
+    repeated_sql(
+        f"""WITH {PAIRS_SQL} SELECT crawler_url, wiki_url, match_type, overlap_score,
+    (SELECT count(DISTINCT wiki_url) FROM pairs p WHERE p.crawler_url = ranked.crawler_url) AS n_matches FROM ranked WHERE rn = 1"""
+    )
+)
+def best_match_repeated(spark, sf):
+    return linkage.best_match(linkage.link_v3(*repeated(spark, sf)))
+
+
 @query(f"WITH {PAIRS_SQL} SELECT crawler_url, wiki_url, match_type, rn = 1 AS is_primary FROM ranked")
 def primary_flag(spark, sf):
     return linkage.flag_primary(pairs(spark, sf)).select("crawler_url", "wiki_url", "match_type", "is_primary")

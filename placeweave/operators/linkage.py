@@ -40,11 +40,17 @@ def written(pairs: DataFrame) -> DataFrame:
     return pairs.sparkSession.read.parquet(path)
 
 
-def attach(pairs: DataFrame, table: DataFrame, key: str, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
-    """Pairs with the columns of ``table`` for their ``key``; a page or activity may be in very many pairs."""
+def attach(
+    pairs: DataFrame, table: DataFrame, key: str, rows_per_slice: int = ROWS_PER_SLICE, row: str | None = None
+) -> DataFrame:
+    """Pairs with the columns of ``table`` for their ``key``; a page or activity may be in very many pairs.
+
+    With ``row`` the table's rows are told apart by that column too, where urls repeat.
+    """
     other = "crawler_url" if key == "wiki_url" else "wiki_url"
-    hot = hot_keys(pairs.groupBy(key).count(), [key], rows_per_slice, "_ln")
-    return split_hot_lookup(pairs, table, [key], [other], hot, "inner")
+    keys = [key] if row is None else [key, row]
+    hot = hot_keys(pairs.groupBy(*keys).count(), keys, rows_per_slice, "_ln")
+    return split_hot_lookup(pairs, table, keys, [other], hot, "inner")
 
 
 def link_v1(activities: DataFrame, pages: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
@@ -75,15 +81,21 @@ def link_v2(activities: DataFrame, pages: DataFrame, rows_per_slice: int = ROWS_
     name token or two shared description tokens.
 
     Description texts are long, so only ids travel through the join and shared tokens are counted.
+    Rows count, not urls: of rows with one url each is compared by itself, and equal rows, which
+    are compared once, give equal pairs.
     """
-    c = activities.select(
+    activities = activities.withColumn("c_row", F.xxhash64("name", "city", "description", "highlights"))
+    pages = pages.withColumn("w_row", F.xxhash64("title", "type", "geo_parent", "abstract"))
+    c = activities.dropDuplicates(["url", "c_row"]).select(
         F.col("url").alias("crawler_url"),
+        "c_row",
         T.ascii_key(F.col("city")).alias("city_norm"),
         F.array_distinct(T.split_tokens(F.col("name"))).alias("names"),
         F.array_distinct(T.split_tokens(T.description_text(F.col("description"), F.col("highlights")))).alias("texts"),
     )
-    w = pages.select(
+    w = pages.dropDuplicates(["url", "w_row"]).select(
         F.col("url").alias("wiki_url"),
+        "w_row",
         F.explode(
             F.array_union(
                 F.array(T.ascii_key(T.geo_parent_at(F.col("geo_parent")))),
@@ -94,19 +106,19 @@ def link_v2(activities: DataFrame, pages: DataFrame, rows_per_slice: int = ROWS_
         F.array_distinct(T.split_tokens(F.col("abstract"))).alias("texts"),
     )
 
-    def tokens(df: DataFrame, url: str) -> DataFrame:
+    def tokens(df: DataFrame, *ids: str) -> DataFrame:
         tagged = F.concat(
             F.transform("names", lambda t: F.struct(F.lit(True).alias("in_name"), t.alias("token"))),
             F.transform("texts", lambda t: F.struct(F.lit(False).alias("in_name"), t.alias("token"))),
         )
-        return df.select(url, "city_norm", F.inline(tagged))
+        return df.select(*ids, "city_norm", F.inline(tagged))
 
     shared = split_hot_join(
-        tokens(c, "crawler_url"), tokens(w, "wiki_url"), ["city_norm", "in_name", "token"],
-        ["crawler_url"], ["wiki_url"], rows_per_slice,
+        tokens(c, "crawler_url", "c_row"), tokens(w, "wiki_url", "w_row"), ["city_norm", "in_name", "token"],
+        ["crawler_url", "c_row"], ["wiki_url", "w_row"], rows_per_slice,
     )
     counted = (
-        shared.groupBy("crawler_url", "wiki_url")
+        shared.groupBy("crawler_url", "c_row", "wiki_url", "w_row")
         .agg(
             F.count_if("in_name").cast("int").alias("overlap_name"),
             F.count_if(~F.col("in_name")).cast("int").alias("overlap_desc"),
@@ -114,9 +126,12 @@ def link_v2(activities: DataFrame, pages: DataFrame, rows_per_slice: int = ROWS_
         .where("overlap_name >= 1 OR overlap_desc >= 2")
     )
     pairs = written(counted)
-    names = activities.select(F.col("url").alias("crawler_url"), F.col("name").alias("crawler_name"), "city")
-    titles = pages.select(F.col("url").alias("wiki_url"), F.col("title").alias("wiki_title"), F.col("type").alias("wiki_type"))
-    named = attach(attach(pairs, names, "crawler_url", rows_per_slice), titles, "wiki_url", rows_per_slice)
+    names = activities.select(F.col("url").alias("crawler_url"), "c_row", F.col("name").alias("crawler_name"), "city")
+    titles = pages.select(
+        F.col("url").alias("wiki_url"), "w_row", F.col("title").alias("wiki_title"), F.col("type").alias("wiki_type")
+    )
+    named = attach(pairs, names, "crawler_url", rows_per_slice, "c_row")
+    named = attach(named, titles, "wiki_url", rows_per_slice, "w_row")
     return named.select(
         "crawler_url", "crawler_name", "city", "wiki_title", "wiki_url", "wiki_type", "overlap_name", "overlap_desc"
     )
@@ -180,8 +195,12 @@ def _preference() -> list[Column]:
 
 
 def best_match(pairs: DataFrame) -> DataFrame:
-    """One row per activity: a landmark if there is one, the city page only as a fallback."""
-    best = pairs.groupBy("crawler_url").agg(F.min(F.struct(*_preference())).alias("best"), F.count("*").alias("n_matches"))
+    """One row per activity url: a landmark if there is one, the city page only as a fallback.
+
+    ``n_matches`` counts pages; a page that several rows of the activity or page are linked by counts once.
+    """
+    pages = pairs.groupBy("crawler_url", "wiki_url").agg(F.min(F.struct(*_preference())).alias("best"))
+    best = pages.groupBy("crawler_url").agg(F.min("best").alias("best"), F.count("*").alias("n_matches"))
     return best.select(
         "crawler_url",
         F.col("best.wiki_url").alias("wiki_url"),
@@ -192,7 +211,8 @@ def best_match(pairs: DataFrame) -> DataFrame:
 
 
 def flag_primary(pairs: DataFrame) -> DataFrame:
-    """All pairs, with ``is_primary`` marking the best match of each activity."""
+    """All pairs, with ``is_primary`` marking the best match of each activity (all its rows, where rows repeat)."""
+    pairs = written(pairs)
     best = best_match(pairs).select("crawler_url", "wiki_url", F.lit(True).alias("is_primary"))
     return pairs.join(best, ["crawler_url", "wiki_url"], "left").withColumn(
         "is_primary", F.coalesce("is_primary", F.lit(False))
