@@ -69,7 +69,7 @@ def terms_of(words: Iterable[str]) -> set[str]:
 def patterns(text: str, words: Counter) -> list[bool]:
     n, letters = max(1, words.total()), max(1, len(text))
     insults = sum(words[w] for w in INSULTS & words.keys())
-    return [insults > 0, insults > 1 and insults * 200 > n, text.count("!") * 100 > n, sum(map(str.isupper, text[:SLICE_CHARS])) * 4 > min(letters, SLICE_CHARS), len(words) * 3 < n and n > 20, n < 20]
+    return [insults > 0, insults > 1 and insults * 200 > n, text.count("!") * 100 > n, sum(map(str.isupper, text)) * 4 > letters, len(words) * 3 < n and n > 20, n < 20]
 
 
 def _sample(rows: DataFrame, n: int, key: str) -> DataFrame:
