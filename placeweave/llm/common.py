@@ -47,9 +47,9 @@ def importable(spark: SparkSession) -> None:
         sc.environment["PYTHONPATH"] = os.pathsep.join(dict.fromkeys(paths))
 
 
-def text_rows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Key and text alone, null texts as empty ones; columns with other names can't clash."""
-    return docs.select(F.col(key).cast("long").alias(key), F.coalesce(F.col(text), F.lit("")).alias(text))
+def text_rows(docs: DataFrame, key: str = "doc_id", text: str = "text", more: list[str] | None = None) -> DataFrame:
+    """Key and text (and ``more``) alone, null texts as empty ones; columns with other names can't clash."""
+    return docs.select(F.col(key).cast("long").alias(key), F.coalesce(F.col(text), F.lit("")).alias(text), *(more or []))
 
 
 def null_safe_key(c: Column | str) -> Column:

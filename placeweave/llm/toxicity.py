@@ -23,6 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from placeweave.llm.common import importable, text_rows, written
 
@@ -110,8 +111,15 @@ def voter_of(term: str) -> int:
     return (0, 4, 7)[kind] + xxhash.xxh32_intdigest(term) % (4, 3, 3)[kind]
 
 
+def _schema(ddl: str, rows: DataFrame, more: list[str]) -> StructType:
+    return StructType([*StructType.fromDDL(ddl), *[rows.schema[c] for c in more]])
+
+
 def votes(rows: DataFrame, terms: list[str], key: str, text: str) -> DataFrame:
-    """(key, mask, found): a bit for each voter, and the places of the text's terms in ``terms``."""
+    """(key, mask, found): a bit for each voter, and the places of the text's terms in ``terms``.
+
+    A struct column ``carried`` of the rows goes along as it is.
+    """
     share = rows.sparkSession.sparkContext.broadcast({t: (k, 1 << voter_of(t)) for k, t in enumerate(terms)})
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,9 +137,10 @@ def votes(rows: DataFrame, terms: list[str], key: str, text: str) -> DataFrame:
                     mask |= on << (LEXICONS + k)
                 masks.append(mask)
                 found.append(sorted(k for k, _ in hits))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(masks, pa.int32()), pa.array(found, pa.list_(pa.int32()))], names=[key, "mask", "found"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(masks, pa.int32()), pa.array(found, pa.list_(pa.int32())), *batch.columns[2:]], names=[key, "mask", "found", *more])
 
-    return rows.select(key, text).mapInArrow(work, f"{key} long, mask int, found array<int>")
+    more = [c for c in ("carried",) if c in rows.columns]
+    return rows.select(key, text, *more).mapInArrow(work, _schema(f"{key} long, mask int, found array<int>", rows, more))
 
 
 def label_model(masks: np.ndarray, counts: np.ndarray, known: np.ndarray, rounds: int = 50) -> np.ndarray:
@@ -178,16 +187,19 @@ def fit(found: list[list[int]], p: np.ndarray, n_terms: int, rounds: int = 400,
     return w
 
 
-def scores(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic") -> DataFrame:
+def scores(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", carry: list[str] | None = None) -> DataFrame:
     """Per row: key, held_out (its label was not learned), score (0 to 1), predicted (1 if score >= 0.5).
 
     Null and empty texts get the score of a text without any term. Labels other than 0 and 1 and
     labels of unknown or null keys are left aside; without any labels only known insults and patterns
     count. Of several labels of a key the largest holds. Rows with a null key are scored (held_out is
     that of an empty text); repeated rows come out repeatedly; an empty table gives an empty one.
+    Columns named in ``carry`` come along in a struct column ``carried``, so that whole documents can
+    be filtered by their scores without a join.
     """
     importable(docs.sparkSession)
-    rows = text_rows(docs, key, text)
+    more = ["carried"] if carry else []
+    rows = text_rows(docs.withColumn("carried", F.struct(*carry)) if carry else docs, key, text, more)
     known = labels.where(F.col(key).isNotNull() & F.col(label).isin(0, 1)).where(learnable(key)).groupBy(F.col(key).cast("long").alias(key)).agg(F.max(label).cast("long").alias("toxic"))
     known = F.broadcast(written(_sample(known, LABELLED_ROWS, key), "labelled"))  # at most LABELLED_ROWS rows
     terms = find_terms(rows.join(known, key).select("text", "toxic"))
@@ -209,7 +221,7 @@ def scores(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
             size = pa.compute.list_value_length(batch.column(1)).to_numpy()
             w = share.value
             z = w[-1] + np.bincount(np.repeat(np.arange(len(size)), size), w[batch.column(1).flatten().to_numpy()], len(size))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(1 / (1 + np.exp(-np.clip(z, -500, 500))))], names=[key, "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(1 / (1 + np.exp(-np.clip(z, -500, 500)))), *batch.columns[2:]], names=[key, "score", *more])
 
-    scored = voted.select(key, "found").mapInArrow(score, f"{key} long, score double")
-    return scored.select(key, (~learnable(key)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    scored = voted.select(key, "found", *more).mapInArrow(score, _schema(f"{key} long, score double", rows, more))
+    return scored.select(key, (~learnable(key)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), *more)
