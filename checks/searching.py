@@ -221,7 +221,7 @@ def letters_sql(c: str) -> str:
     return f"translate({c}, 'ßäçèéêíñóöü', 'ABCDEFGHIJK')"
 
 
-def near_sql(name: str, source: str, fields: list[str], k: int) -> str:
+def near_sql(name: str, source: str, fields: list[str], k: int, most: int | None = fixed.FUZZY_MAX_EXPANSIONS) -> str:
     listed = ", ".join(f"'{f}'" for f in fields)
     return f"""
 {name}_near AS (SELECT t.token, v.field, v.term, v.df, damerau_levenshtein({letters_sql('t.token')}, {letters_sql('v.term')}) AS edits
@@ -231,7 +231,7 @@ def near_sql(name: str, source: str, fields: list[str], k: int) -> str:
 {name}_ranked AS (SELECT *, 1 - edits / least(length(token), length(term)) AS factor, row_number() OVER (PARTITION BY token, field
   ORDER BY 1 - edits / least(length(token), length(term)) DESC, term) AS rn FROM {name}_near),
 {name}_kept AS (SELECT *, max(df) OVER (PARTITION BY token, field) AS clause_df FROM {name}_ranked
-  WHERE rn <= {fixed.FUZZY_MAX_EXPANSIONS})"""
+  {f'WHERE rn <= {most}' if most else ''})"""
 
 
 EXACT = f"""SELECT query_id, ord, 'exact' AS kind, token AS clause, 1 AS n_terms, b.field, token AS term, b.weight, NULL::BIGINT AS clause_df
@@ -337,6 +337,17 @@ def fuzzy1(spark, sf):
     SELECT token, field, term, round(factor, 6) AS factor, clause_df FROM far_kept"""
 )
 def fuzzy2(spark, sf):
+    words = index(spark, sf).term_stats.where(F.col("field").isin("title", "click_text"))
+    near = fuzzy.expansions(search.query_tokens(names(spark, sf)), words, 2, fixed.FUZZY_MAX_EXPANSIONS)
+    return near.select("token", "field", "term", F.round("factor", 6).alias("factor"), "clause_df")
+
+
+@query(
+    f"""WITH {INDEX_SQL}, {NAMES_SQL}, {TOKENS_SQL}, {near_sql('far', '', ['title', 'click_text'], 2, None)}
+    SELECT token, field, term, round(factor, 6) AS factor, clause_df FROM far_kept"""
+)
+def fuzzy2_all(spark, sf):
+    """The same without a limit on near terms."""
     words = index(spark, sf).term_stats.where(F.col("field").isin("title", "click_text"))
     near = fuzzy.expansions(search.query_tokens(names(spark, sf)), words, 2)
     return near.select("token", "field", "term", F.round("factor", 6).alias("factor"), "clause_df")
@@ -356,7 +367,9 @@ answers AS (SELECT *, false AS did_you_mean FROM first_top UNION ALL
 
 @query(f"WITH {FALLBACK_SQL} SELECT * FROM answers")
 def fallback(spark, sf):
-    return search.candidates_with_fallback(names(spark, sf), index(spark, sf), search.synonym_table(spark, SYNONYMS))
+    return search.candidates_with_fallback(
+        names(spark, sf), index(spark, sf), search.synonym_table(spark, SYNONYMS), most_near=fixed.FUZZY_MAX_EXPANSIONS
+    )
 
 
 RERANK_SQL = f"""
@@ -372,7 +385,9 @@ SELECT * FROM page WHERE rank <= {fixed.PAGE_SIZE}"""
 @query(f"WITH {FALLBACK_SQL}, {RERANK_SQL.format(found='answers')}")
 def misspelt_pages(spark, sf):
     """Result pages of queries most of which need the second try."""
-    return search.search(names(spark, sf), index(spark, sf), search.synonym_table(spark, SYNONYMS))
+    return search.search(
+        names(spark, sf), index(spark, sf), search.synonym_table(spark, SYNONYMS), most_near=fixed.FUZZY_MAX_EXPANSIONS
+    )
 
 
 STANDARD_SQL = f"""{INDEX_SQL}, {NEIGHBOURS_SQL}, {TOKENS_SQL}, {SYNONYMS_SQL},
@@ -384,7 +399,9 @@ STANDARD_SQL = f"""{INDEX_SQL}, {NEIGHBOURS_SQL}, {TOKENS_SQL}, {SYNONYMS_SQL},
 def rerank(spark, sf):
     """Result pages of all pairs of neighbouring words, with every kind of clause."""
     built = index(spark, sf)
-    found = search.candidates(neighbours(spark, sf), built, search.synonym_table(spark, SYNONYMS))
+    found = search.candidates(
+        neighbours(spark, sf), built, search.synonym_table(spark, SYNONYMS), most_near=fixed.FUZZY_MAX_EXPANSIONS
+    )
     return search.rerank(found, built.docs)
 
 
@@ -392,7 +409,9 @@ def rerank(spark, sf):
 def rerank_split(spark, sf):
     """The same with terms split that have more than 20 documents."""
     built = index(spark, sf)
-    found = search.candidates(neighbours(spark, sf), built, search.synonym_table(spark, SYNONYMS), rows_per_slice=20)
+    found = search.candidates(
+        neighbours(spark, sf), built, search.synonym_table(spark, SYNONYMS), rows_per_slice=20, most_near=fixed.FUZZY_MAX_EXPANSIONS
+    )
     return search.rerank(found, built.docs)
 
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from placeweave import fixed
 from placeweave.functions.text import empty_strings
 
 
@@ -67,13 +66,11 @@ def near_terms(tokens: DataFrame, vocabulary: DataFrame, k: int) -> DataFrame:
     return candidates.withColumn("edits", edits(F.col("token"), F.col("term"), k)).where("edits IS NOT NULL")
 
 
-def expansions(
-    tokens: DataFrame, vocabulary: DataFrame, k: int, most: int | None = fixed.FUZZY_MAX_EXPANSIONS
-) -> DataFrame:
+def expansions(tokens: DataFrame, vocabulary: DataFrame, k: int, most: int | None = None) -> DataFrame:
     """Near terms of each token and field with their weight: nearer terms weigh more.
 
-    A fuzzy clause stands for its ``most`` best terms (a fixed value of the query language,
-    None for all of them); all are scored with the largest document frequency among them.
+    A fuzzy clause stands for all of them, or for the ``most`` best ones if given; all are scored
+    with the largest document frequency among them.
     """
     near = near_terms(tokens, vocabulary, k).withColumn(
         "factor", 1 - F.col("edits") / F.least(F.length("token"), F.length("term"))

@@ -56,8 +56,8 @@ def exact_clauses(tokens: DataFrame) -> DataFrame:
     ).select(*CLAUSE)
 
 
-def fuzzy_clauses(tokens: DataFrame, vocabulary: DataFrame, k: int) -> DataFrame:
-    near = expansions(tokens, vocabulary, k)
+def fuzzy_clauses(tokens: DataFrame, vocabulary: DataFrame, k: int, most: int | None = None) -> DataFrame:
+    near = expansions(tokens, vocabulary, k, most)
     return tokens.join(near, "token").select(
         *QUERY, "ord", F.lit("fuzzy").alias("kind"), F.col("token").alias("clause"), F.lit(1).alias("n_terms"),
         "field", "term", (F.lit(fixed.FUZZY_BOOST) * F.col("factor")).alias("weight"), "clause_df",
@@ -74,20 +74,20 @@ def synonym_clauses(tokens: DataFrame, synonyms: DataFrame) -> DataFrame:
     ).select("*", F.inline("boosts")).select(*CLAUSE)
 
 
-def standard_clauses(tokens: DataFrame, index: Index, synonyms: DataFrame) -> DataFrame:
+def standard_clauses(tokens: DataFrame, index: Index, synonyms: DataFrame, most_near: int | None = None) -> DataFrame:
     long_enough = tokens.where(F.length("token") >= fixed.WEAK_FUZZY_MIN_LENGTH)
     titles = index.term_stats.where("field = 'title'").select("field", "term", "df")
     return (
         exact_clauses(tokens)
-        .unionByName(fuzzy_clauses(long_enough, titles, 1))
+        .unionByName(fuzzy_clauses(long_enough, titles, 1, most_near))
         .unionByName(synonym_clauses(tokens, synonyms))
     )
 
 
-def spelling_clauses(tokens: DataFrame, index: Index, synonyms: DataFrame) -> DataFrame:
+def spelling_clauses(tokens: DataFrame, index: Index, synonyms: DataFrame, most_near: int | None = None) -> DataFrame:
     """Clauses of the second try, for queries nothing was found for."""
     words = index.term_stats.where(F.col("field").isin("title", "click_text")).select("field", "term", "df")
-    return fuzzy_clauses(tokens, words, 2).unionByName(synonym_clauses(tokens, synonyms))
+    return fuzzy_clauses(tokens, words, 2, most_near).unionByName(synonym_clauses(tokens, synonyms))
 
 
 def _with_idf(clauses: DataFrame, index: Index) -> DataFrame:
@@ -302,11 +302,12 @@ def candidates(
     synonyms: DataFrame,
     n: int = fixed.CANDIDATES,
     rows_per_slice: int = ROWS_PER_SLICE,
+    most_near: int | None = None,
 ) -> DataFrame:
     """The best documents of each query by text score, without a second try."""
     tokens = query_tokens(queries)
     return top_hits(
-        combine(standard_clauses(tokens, index, synonyms), index, True, rows_per_slice), "text_score", n
+        combine(standard_clauses(tokens, index, synonyms, most_near), index, True, rows_per_slice), "text_score", n
     ).drop("rank")
 
 
@@ -316,11 +317,12 @@ def respelled_candidates(
     synonyms: DataFrame,
     n: int = fixed.CANDIDATES,
     rows_per_slice: int = ROWS_PER_SLICE,
+    most_near: int | None = None,
 ) -> DataFrame:
     """The best documents when every token may be misspelt by up to two letters."""
     tokens = query_tokens(queries)
     return top_hits(
-        combine(spelling_clauses(tokens, index, synonyms), index, False, rows_per_slice), "text_score", n
+        combine(spelling_clauses(tokens, index, synonyms, most_near), index, False, rows_per_slice), "text_score", n
     ).drop("rank")
 
 
@@ -330,6 +332,7 @@ def candidates_with_fallback(
     synonyms: DataFrame,
     n: int = fixed.CANDIDATES,
     rows_per_slice: int = ROWS_PER_SLICE,
+    most_near: int | None = None,
 ) -> DataFrame:
     """Candidates, and for queries without a single one the respelled candidates.
 
@@ -338,10 +341,10 @@ def candidates_with_fallback(
     """
     spark = queries.sparkSession
     path = scratch_path(spark, "first-try")
-    candidates(queries, index, synonyms, n, rows_per_slice).write.parquet(path)
+    candidates(queries, index, synonyms, n, rows_per_slice, most_near).write.parquet(path)
     first = spark.read.parquet(path)
     empty = queries.join(first.select("query_id").distinct(), "query_id", "left_anti")
-    second = respelled_candidates(empty, index, synonyms, n, rows_per_slice)
+    second = respelled_candidates(empty, index, synonyms, n, rows_per_slice, most_near)
     return first.withColumn("did_you_mean", F.lit(False)).unionByName(second.withColumn("did_you_mean", F.lit(True)))
 
 
@@ -363,9 +366,16 @@ def rerank(found: DataFrame, docs: DataFrame, n: int = fixed.PAGE_SIZE) -> DataF
 
 
 def search(
-    queries: DataFrame, index: Index, synonyms: DataFrame | None = None, rows_per_slice: int = ROWS_PER_SLICE
+    queries: DataFrame,
+    index: Index,
+    synonyms: DataFrame | None = None,
+    rows_per_slice: int = ROWS_PER_SLICE,
+    most_near: int | None = None,
 ) -> DataFrame:
-    """Ranked result pages of all queries (query_id, q)."""
+    """Ranked result pages of all queries (query_id, q).
+
+    A fuzzy clause stands for all near terms, or for the ``most_near`` best ones if given.
+    """
     synonyms = synonym_table(queries.sparkSession) if synonyms is None else synonyms
-    found = candidates_with_fallback(queries, index, synonyms, rows_per_slice=rows_per_slice)
+    found = candidates_with_fallback(queries, index, synonyms, rows_per_slice=rows_per_slice, most_near=most_near)
     return rerank(found, index.docs)
