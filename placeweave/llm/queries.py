@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from placeweave.llm import chat, decontamination, embedding_dedup, packing, pii, repeats, simhash, sql, token_files, tokens, toxicity
+from placeweave.llm import chat, decontamination, embedding_dedup, packing, pii, repeats, simhash, sql, structure_repair, token_files, tokens, toxicity
 
 VOCABULARY, RANKS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -75,3 +75,8 @@ def op5_pii(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op3_repeats(spark: SparkSession, sf: str) -> DataFrame:
     return repeats.without_repeats(table(spark, sf, "documents"), length=400).drop("kept")
+
+
+@query
+def op13_structure_repair(spark: SparkSession, sf: str) -> DataFrame:
+    return structure_repair.repair_damaged(table(spark, sf, "conversations"))
