@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from placeweave.llm import chat, decontamination, embedding_dedup, packing, pii, prefix_trie, repeats, simhash, sql, structure_repair, token_files, tokens, toxicity
+from placeweave.llm import chat, decontamination, embedding_dedup, packing, pii, prefix_trie, quality, repeats, simhash, sql, structure_repair, token_files, tokens, toxicity
 
 VOCABULARY, RANKS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -82,6 +82,11 @@ def op11_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
     return prefix_trie.rebuilt_trie(table(spark, sf, "conversations"))
 
 
+@query
+def op12_quality(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.scores(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 @query
 def op13_structure_repair(spark: SparkSession, sf: str) -> DataFrame:
     return structure_repair.repair_damaged(table(spark, sf, "conversations"))
