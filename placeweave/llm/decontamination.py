@@ -52,6 +52,11 @@ def prefixes(wins: DataFrame, counts: DataFrame) -> DataFrame:
     return rare.groupBy("item", "window").agg(best).where("best.n > 0").select("item", "window", "best.word", "best.offset")
 
 
+def row_name(key: str, text: str) -> Column:
+    """Tells rows apart by key and text, the same in every pass over them."""
+    return F.concat_ws(":", F.col(key).cast("string"), F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")))
+
+
 def finds(docs: DataFrame, prefix: list[str], width: int, key: str, text: str) -> DataFrame:
     """(row, key, n_words, found): the places of prefix words in each text, with the words around."""
     hit = F.array_compact(F.transform("w", lambda w, i: F.when(w.isin(prefix), i)))
@@ -60,8 +65,7 @@ def finds(docs: DataFrame, prefix: list[str], width: int, key: str, text: str) -
         first = F.greatest(at - (width - 1), F.lit(0))
         return F.struct(at.alias("at"), F.element_at("w", at + 1).alias("word"), first.alias("first"), F.slice("w", first + 1, at - first + width).alias("context"))
 
-    row = F.concat_ws(":", F.col(key).cast("string"), F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")))  # the same in every pass
-    rows = docs.select(row.alias("row"), F.col(key).cast("long").alias(key), words(text).alias("w"))
+    rows = docs.select(row_name(key, text).alias("row"), F.col(key).cast("long").alias(key), words(text).alias("w"))
     return rows.select("row", key, F.size("w").alias("n_words"), F.transform(hit, around).alias("found"))
 
 
@@ -74,13 +78,8 @@ def occurrences(found: DataFrame, prefix: DataFrame) -> DataFrame:
     return spots.where(F.slice("context", F.col("start") - F.col("first") + 1, F.col("size")) == F.col("window")).select("row", "start", "size", "item")
 
 
-def contamination(docs: DataFrame, items: DataFrame, width: int = WIDTH, key: str = "doc_id", text: str = "text", item_key: str = "item_id", prefix_words: int = PREFIX_WORDS) -> DataFrame:
-    """Per row: key, n_words, n_hit (words inside any window), n_items, items_sha256, contaminated.
-
-    Null texts and items have no words. Items are told apart by their key as a string, a null one
-    being the empty string, and rows of the same key count once. Repeated rows and rows with a null
-    key come out one by one; with no items nothing is contaminated; an empty table gives an empty one.
-    """
+def search(docs: DataFrame, items: DataFrame, width: int, key: str, text: str, item_key: str, prefix_words: int) -> tuple[DataFrame, DataFrame]:
+    """(row, key, n_words) of all rows, and ``occurrences`` in them."""
     wins = written(windows(items, width, item_key), "windows")
     prefix = written(prefixes(wins, rarity(docs, wins, text)), "prefixes")
     n = prefix.select("word").distinct().count()
@@ -91,13 +90,32 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = WIDTH, key: st
         chosen = [r.word for r in own.select("word").distinct().collect()]  # about prefix_words
         found = written(finds(docs, chosen, width, key, text), "finds")
         passes.append((found, occurrences(found, own)))
-    found = passes[0][0]
-    inside = reduce(DataFrame.unionByName, [x for _, x in passes])
+    return passes[0][0].select("row", key, "n_words"), reduce(DataFrame.unionByName, [x for _, x in passes])
+
+
+def clean(docs: DataFrame, items: DataFrame, width: int = WIDTH, key: str = "doc_id", text: str = "text", item_key: str = "item_id", prefix_words: int = PREFIX_WORDS) -> DataFrame:
+    """Rows of docs that hold no window of an item, with all their columns.
+
+    Each row is judged by its own text, whatever its key; without items all stay; an empty table gives an empty one.
+    Spark sends the rows found to every task if their table is small, and else joins by row.
+    """
+    hit = written(search(docs, items, width, key, text, item_key, prefix_words)[1].select("row").distinct(), "hit-rows")
+    return docs.join(hit, row_name(key, text) == hit.row, "left_anti")
+
+
+def contamination(docs: DataFrame, items: DataFrame, width: int = WIDTH, key: str = "doc_id", text: str = "text", item_key: str = "item_id", prefix_words: int = PREFIX_WORDS) -> DataFrame:
+    """Per row: key, n_words, n_hit (words inside any window), n_items, items_sha256, contaminated.
+
+    Null texts and items have no words. Items are told apart by their key as a string, a null one
+    being the empty string, and rows of the same key count once. Repeated rows and rows with a null
+    key come out one by one; with no items nothing is contaminated; an empty table gives an empty one.
+    """
+    found, inside = search(docs, items, width, key, text, item_key, prefix_words)
     spans = F.transform(F.collect_set(F.struct("start", "size")), lambda x: F.sequence(x.start, x.start + x.size - 1))
     each = inside.groupBy("row").agg(F.size(F.array_distinct(F.flatten(spans))).alias("hit"), F.sort_array(F.collect_set("item")).alias("items"))
-    out = found.select("row", key, "n_words").join(each, "row", "left")
+    out = found.join(each, "row", "left")
     return out.select(
         key, F.col("n_words").cast("long").alias("n_words"), F.coalesce("hit", F.lit(0)).cast("long").alias("n_hit"),
-        F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"), F.sha2(F.coalesce(F.concat_ws(",", "items"), F.lit("")).cast("binary"), 256).alias("items_sha256"),
+        F.when(F.col("items").isNull(), 0).otherwise(F.size("items")).cast("long").alias("n_items"), F.sha2(F.coalesce(F.concat_ws(",", "items"), F.lit("")).cast("binary"), 256).alias("items_sha256"),
         F.col("hit").isNotNull().alias("contaminated"),
     )

@@ -54,16 +54,16 @@ def fingerprint(text: str, width: int = 3) -> int:
     return int.from_bytes(np.packbits(2 * ones > n, bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, bits): the fingerprint of each row as a signed long; null texts have no words."""
+def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", more: Iterable[str] = ()) -> DataFrame:
+    """(key, bits): the fingerprint of each row as a signed long; null texts have no words. Longs named in ``more`` come along."""
     importable(docs.sparkSession)
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.array([fingerprint(x.as_py()) for x in batch.column(1)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found)], names=[key, "bits"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found), *batch.columns[2:]], names=[key, "bits", *more])
 
-    return text_rows(docs, key, text).mapInArrow(work, f"{key} long, bits long")
+    return text_rows(docs, key, text, list(more)).mapInArrow(work, ", ".join(f"{c} long" for c in (key, "bits", *more)))
 
 
 def chained(x: np.ndarray, turn: np.ndarray | int) -> np.ndarray:
@@ -125,6 +125,27 @@ def links(nodes: DataFrame) -> DataFrame:
     return blocks.together(blocks.dealt(rows, "key", "bits", CHUNK_ROWS), "key").mapInArrow(work, "a long, b long")
 
 
+def groups(nodes: DataFrame) -> DataFrame:
+    """nodes (distinct ``bits``) with ``root``, the same for all that links connect."""
+    joined = nodes.join(components(links(nodes.select("bits"))).withColumnRenamed("node", "bits"), "bits", "left")
+    return joined.withColumn("root", F.coalesce("component", "bits")).drop("component")
+
+
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each group of near duplicates: that with the smallest key, null last; among rows of a key any.
+
+    Rows are told apart by 128 bits of key and text, so a null or repeated key takes no other text along. Rows
+    alike in both are one before they are shuffled, and texts are shuffled once. An empty table gives an empty one.
+    """
+    own = [F.xxhash64(F.lit(n), key, text).alias(c) for n, c in ((1, "row1"), (2, "row2"))]
+    rows = docs.select("*", *own)
+    found = written(fingerprints(rows, key, text, ("row1", "row2")), "fingerprints")
+    best = F.min(F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), "row1", "row2")).alias("best")
+    nodes = written(found.groupBy("bits").agg(best), "nodes")
+    kept = written(groups(nodes).groupBy("root").agg(F.min("best").alias("best")).select("best.row1", "best.row2"), "kept")
+    return rows.dropDuplicates(["row1", "row2"]).join(kept, ["row1", "row2"], "left_semi").select(docs.columns)
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: key, fingerprint (16 hex digits), component_id (the smallest key reachable by links).
 
@@ -134,8 +155,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     """
     found = written(fingerprints(docs, key, text), "fingerprints")
     nodes = written(found.groupBy("bits").agg(F.min(key).alias("first")), "nodes")
-    member = nodes.join(components(links(nodes.select("bits"))).withColumnRenamed("node", "bits"), "bits", "left")
-    member = member.select("bits", "first", F.coalesce("component", "bits").alias("root"))
+    member = groups(nodes)
     names = member.groupBy("root").agg(F.min("first").alias("component_id"))
     named = member.join(names, "root").select("bits", "component_id")
     return found.join(named, "bits", "left").select(key, F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")

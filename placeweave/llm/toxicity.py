@@ -199,7 +199,7 @@ def scores(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
     """
     importable(docs.sparkSession)
     more = ["carried"] if carry else []
-    rows = text_rows(docs.withColumn("carried", F.struct(*carry)) if carry else docs, key, text, more)
+    rows = text_rows(docs, key, text)
     known = labels.where(F.col(key).isNotNull() & F.col(label).isin(0, 1)).where(learnable(key)).groupBy(F.col(key).cast("long").alias(key)).agg(F.max(label).cast("long").alias("toxic"))
     known = F.broadcast(written(_sample(known, LABELLED_ROWS, key), "labelled"))  # at most LABELLED_ROWS rows
     terms = find_terms(rows.join(known, key).select("text", "toxic"))
@@ -223,5 +223,7 @@ def scores(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
             z = w[-1] + np.bincount(np.repeat(np.arange(len(size)), size), w[batch.column(1).flatten().to_numpy()], len(size))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(1 / (1 + np.exp(-np.clip(z, -500, 500)))), *batch.columns[2:]], names=[key, "score", *more])
 
-    scored = voted.select(key, "found", *more).mapInArrow(score, _schema(f"{key} long, score double", rows, more))
+    if carry:  # whole rows are read again, not written
+        voted = votes(text_rows(docs.withColumn("carried", F.struct(*carry)), key, text, more), terms, key, text)
+    scored = voted.select(key, "found", *more).mapInArrow(score, _schema(f"{key} long, score double", voted, more))
     return scored.select(key, (~learnable(key)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), *more)

@@ -48,3 +48,14 @@ def test_empty_tables(spark, docs):
     assert decontamination.contamination(docs([]), one).count() == 0
     got = decontamination.contamination(docs([(1, "a b")]), none).collect()
     assert [(r.n_words, r.n_hit, r.contaminated) for r in got] == [(2, 0, False)]
+
+
+def test_counts_without_ansi_rules(spark, docs):
+    bench = spark.createDataFrame([(1, "a b")], "item_id long, text string")
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        got = decontamination.contamination(docs([(1, "a b"), (2, "c"), (3, None)]), bench).orderBy("doc_id").collect()
+        assert [r.n_items for r in got] == [1, 0, 0]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)

@@ -74,3 +74,42 @@ def test_empty(spark, sf):
         docs = stage(spark, docs, sf[0])
         assert docs.columns == cp.COLUMNS and docs.count() == 0
     assert cp.pack(spark, docs, sf[0]).count() == 0
+
+
+def test_near_copies_keep_one_row_of_each_group_whatever_its_id(spark):
+    random.seed(13)
+    texts = []
+    for size in [3, 5, 12, 40, 300] * 8:
+        w = random.choices(CALM, k=size)
+        for n in (0, 0, 1, 2):
+            v = list(w)
+            for _ in range(n):
+                v[random.randrange(size)] = random.choice(CALM)
+            texts.append(" ".join(v) if random.random() < 0.7 else " \n".join(v).upper())
+    texts += [None, "", " \n", "one", "One", "one two"]
+    rows = [(random.choice([None, None, 7, 7, k]), t) for k, t in enumerate(texts)]
+    rows += [(None, texts[0])] * 40 + [(7, texts[1])] * 3
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t or "")) for k, t in rows], SCHEMA).repartition(5)
+    got = [(r.doc_id, r.text) for r in cp.drop_near_copies(spark, docs, "").collect()]
+    bits = sorted({simhash.fingerprint(t or "") for _, t in rows})
+    root = roots(bits, [(a, b) for k, a in enumerate(bits) for b in bits[k + 1 :] if (a ^ b).bit_count() <= 3])
+    groups = {}
+    for r in rows:
+        groups.setdefault(root[simhash.fingerprint(r[1] or "")], []).append(r)
+    assert len(got) == len(groups) < len(texts)
+    for members in groups.values():
+        ids = [k for k, _ in members if k is not None]
+        mine = [r for r in got if r in members]
+        assert len(mine) == 1 and mine[0][0] == (min(ids) if ids else None)
+
+
+def test_contaminated_rows_go_alone(spark, tmp_path):
+    words = [f"w{k}" for k in range(400)]
+    text = lambda n: " ".join(random.choices(words, k=n))
+    item = text(12)
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    clean = [(k, text(30)) for k in [None, None, None, 5, 5, 6]]
+    bad = [(None, "so " + item), (5, item + " end")]
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in clean + bad], SCHEMA)
+    got = [(r.doc_id, r.text) for r in cp.drop_contaminated(spark, docs, str(tmp_path)).collect()]
+    assert sorted(got, key=str) == sorted(clean, key=str)
