@@ -5,50 +5,46 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placeweave.llm import decontamination, near_copies, packing, pii, toxicity
+from placeweave.llm import decontamination, packing, pii, simhash, toxicity
 from placeweave.llm.common import written
 from placeweave.llm.queries import RANKS, VOCABULARY
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def _told_apart(docs: DataFrame) -> DataFrame:
-    """docs as a written table with ``row_id``, which tells rows apart whatever their doc_id."""
-    return written(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("row_id")), "rows")
-
-
-def _without(rows: DataFrame, dropped: DataFrame) -> DataFrame:
-    return rows.join(dropped.select("row_id"), "row_id", "left_anti").select(COLUMNS)
-
-
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Leaves out documents predicted to be toxic, each row by its own text."""
+    """Leaves out documents predicted to be toxic, each row by its own text.
+
+    Null and empty texts stay unless the model finds a text without words toxic; repeated rows, rows without
+    doc_id and other columns don't matter; an empty table gives an empty one.
+    """
     scored = toxicity.scores(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), carry=COLUMNS)
     return scored.where("predicted = 0").select("carried.*")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one row of each group of near copies (similarity of 5-word runs 0.8 or more): that with the smallest doc_id, null last."""
-    rows = _told_apart(docs)
-    found = rows.select("row_id", "doc_id").join(near_copies.copies(rows, width=5, least=0.8, key="row_id"), "row_id")
-    found = written(found, "components")
-    kept = found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_id")).alias("first"))
-    return _without(rows, found.join(kept, "component").where("row_id <> first.row_id"))
+    """Keeps one row of each group of near copies (fingerprints of 3-word shingles linked at 3 bits): that with the smallest doc_id, null last.
+
+    Texts without words, null and empty ones included, are one group; repeated rows become one; an empty table gives an empty one.
+    """
+    return simhash.one_of_each(docs.select(COLUMNS))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Leaves out rows whose text holds a window of a benchmark item."""
-    rows = _told_apart(docs)
-    found = decontamination.contamination(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), key="row_id")
-    return _without(rows, found.where("contaminated"))
+    """Leaves out rows whose text holds a window of a benchmark item; texts without words stay, repeated rows too; an empty table gives an empty one."""
+    return decontamination.clean(docs.select(COLUMNS), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Puts kinds in place of personal data; n_chars is that of the new text."""
+    """Puts kinds in place of personal data; n_chars is that of the new text.
+
+    Every row stays: null texts are empty then, repeated rows come out repeatedly; an empty table gives an empty one.
+    """
     return pii.redacted(docs).withColumn("n_chars", F.length("text").cast("long")).select(COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Packs all texts into sequences of 1024 tokens; null texts are empty, each row is packed, whatever its doc_id; an empty table gives an empty one."""
     return packing.pack_documents(docs, VOCABULARY, RANKS, end_id=2, capacity=1024)
 
 
@@ -59,6 +55,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents of a folder, each written and read again; an empty table gives an empty one."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
