@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from placeweave.llm.common import importable, written
 
-SHARE, LEAST = 100_000, 1000
+SHARE, LEAST = 100_000, 50
 #: Messages of a task that are held in memory, and spilled runs that are read at once.
 HELD, RUNS = 200_000, 32
 ID = ["depth", "id1", "id2"]
