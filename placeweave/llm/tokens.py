@@ -1,18 +1,22 @@
-"""Token ids and token counts of whole texts, by a table of frequent pieces and worker caches.
+"""Token ids and token counts of whole texts, by a table of frequent pre-tokens and worker caches.
 
 A piece is what stands between two single spaces. No pre-token of a byte-level vocabulary
 reaches over the place before a single space between two other characters, so a text's ids
-are the ids of its pieces, one after the other. Pieces are looked up twice: in a broadcast
-table of the pieces that are one token each (the frequent ones, as the vocabulary has them),
-then in a cache of the Python worker, which all its tasks share. Only what is in neither is
-encoded, so nothing is shuffled by piece.
+are the ids of its pieces, one after the other.
+
+Counts look pre-tokens up twice: in a broadcast table with the number of tokens of those that are
+frequent in a sample of the texts, then in a cache of the Python worker, which all its tasks share. Only
+what is in neither is encoded, so no pre-token of the corpus is shuffled. Ids are cached by piece.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from array import array
+from collections import Counter
 from collections.abc import Iterable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -21,13 +25,17 @@ from pyspark.sql import functions as F
 
 from placeweave.llm.common import importable, text_rows
 
-#: Pieces that a worker remembers, in each of two generations.
-CACHE_PIECES = 400_000
+#: Pieces that a worker remembers, and their letters, in each of two generations.
+CACHE_PIECES, CACHE_LETTERS = 250_000, 4_000_000
+#: Rows of the sample in which frequent pre-tokens are looked for, and how many the table has. They only save work.
+SAMPLE_ROWS, TABLE = 20_000, 50_000
 #: Characters of a text that are cut into pieces at once, so that long texts need no more memory.
 SLICE_CHARS = 1 << 20
 #: Plain letters, digits and marks: both libraries split these alike whatever their Unicode version.
 PLAIN = re.compile("[\t\n\r\x20-\x7eÀ-ɏ]*")
 SPECIAL = "<|endoftext|>"
+#: Before a single space between two other characters, where no pre-token goes on.
+BREAK = re.compile(r"(?<=\S)(?= \S)")
 
 _workers: dict[tuple, "Encoder"] = {}
 
@@ -51,11 +59,11 @@ class _Odd(Exception):
 
 
 class _Pieces(dict):
-    """Ids by piece (without its space): the table of frequent ones, then two generations of a cache."""
+    """Ids by piece (without its space) in two generations of a cache, bounded by their number and letters."""
 
-    def __init__(self, encode, frequent: dict[str, bytes], size: int):
-        super().__init__(frequent)
-        self.encode, self.frequent, self.size, self.old, self.misses = encode, frequent, size, {}, 0
+    def __init__(self, encode, size: int, letters: int = CACHE_LETTERS):
+        super().__init__()
+        self.encode, self.size, self.most, self.old, self.misses, self.letters = encode, size, letters, {}, 0, 0
 
     def __missing__(self, piece: str) -> bytes:
         if (ids := self.old.get(piece)) is None:
@@ -63,10 +71,10 @@ class _Pieces(dict):
                 raise _Odd
             ids = self.encode(" " + piece)
             self.misses += 1
-        if len(self) >= len(self.frequent) + self.size:
-            self.old = dict(self)
+        self.letters += len(piece)
+        if len(self) >= self.size or self.letters > self.most:
+            self.old, self.letters = (dict(self) if self.letters <= 2 * self.most else {}), len(piece)
             self.clear()
-            self.update(self.frequent)
         self[piece] = ids
         return ids
 
@@ -79,18 +87,18 @@ class Encoder:
     all others, and special strings, by ``tokenizers``. Without ``ranks`` all are.
     """
 
-    def __init__(self, vocabulary: str, ranks: str | None = None, frequent: dict[str, bytes] | None = None, size: int = CACHE_PIECES):
+    def __init__(self, vocabulary: str, ranks: str | None = None, size: int = CACHE_PIECES):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(vocabulary)
         self.plain = ranks and _from_ranks(ranks).encode_ordinary
-        self.pieces = _Pieces(self._piece, frequent or {}, size)
+        self.pieces = _Pieces(self._piece, size)
 
     @classmethod
-    def of_worker(cls, vocabulary: str, ranks: str | None, frequent: dict[str, bytes] | None = None) -> "Encoder":
+    def of_worker(cls, vocabulary: str, ranks: str | None) -> "Encoder":
         key = (vocabulary, ranks)
         if key not in _workers:
-            _workers[key] = cls(vocabulary, ranks, frequent)
+            _workers[key] = cls(vocabulary, ranks)
         return _workers[key]
 
     def encode(self, text: str) -> bytes:
@@ -124,9 +132,6 @@ class Encoder:
             return self._slice(text) if text else b""
         return b"".join(map(self._slice, slices(text)))
 
-    def count(self, text: str) -> int:
-        return sum(len(self._slice(x)) for x in slices(text) if x) // 4
-
 
 def _from_ranks(path: str):
     import base64
@@ -139,21 +144,105 @@ def _from_ranks(path: str):
     return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def frequent_pieces(vocabulary: str) -> dict[str, bytes]:
-    """Every word of the vocabulary that begins with a space and is one token: at most its size.
+@cache
+def _pattern():
+    import public_tokenizers
+    import regex
 
-    A byte-pair vocabulary consists of the most frequent strings, so no pass over the texts is
-    needed to find them, and the table's size doesn't depend on the texts.
-    """
-    from tokenizers import Tokenizer
+    return regex.compile(public_tokenizers.PATTERN)
+
+
+def pre_tokens(piece: str) -> list[str]:
+    """Pre-tokens of plain text, as the vocabulary's pattern has them."""
+    return _pattern().findall(piece)
+
+
+class _Lengths(dict):
+    """Numbers of tokens by pre-token: the frequent ones, then two generations of a cache, bounded by number and letters."""
+
+    def __init__(self, encode, frequent: dict[str, int], size: int, letters: int):
+        super().__init__(frequent)
+        self.encode, self.frequent, self.size, self.most, self.old, self.misses, self.letters = encode, frequent, size, letters, {}, 0, 0
+
+    def __missing__(self, token: str) -> int:
+        if (n := self.old.get(token)) is None:
+            n = len(self.encode(token)) // 4
+            self.misses += 1
+        if len(token) > self.most // 100:
+            return n  # rare, and not worth its room
+        self.letters += len(token)
+        if len(self) >= len(self.frequent) + self.size or self.letters > self.most:
+            self.old = {k: v for k, v in self.items() if k not in self.frequent}
+            self.clear()
+            self.update(self.frequent)
+            self.letters = len(token)
+        self[token] = n
+        return n
+
+
+class Lengths:
+    """Token counts of texts, as ``tokenizers`` gives them: by pre-tokens where all are plain, else by the library."""
+
+    _of_worker: "dict[tuple, Lengths]" = {}
+
+    def __init__(self, vocabulary: str, ranks: str | None, frequent: dict[str, int], size: int = CACHE_PIECES, letters: int = CACHE_LETTERS):
+        self.encoder = Encoder(vocabulary, ranks, 0)
+        self.known = _Lengths(self.encoder._piece, frequent, size, letters)
+        self.others = _Lengths(self.encoder.encode, {}, size // 4, letters)
+
+    @classmethod
+    def of_worker(cls, vocabulary: str, ranks: str | None, table: str, frequent: dict[str, int]) -> "Lengths":
+        """The worker's own for this table (named by ``table``); that of another one leaves."""
+        key = (vocabulary, ranks, table)
+        if key not in cls._of_worker:
+            cls._of_worker.clear()
+            cls._of_worker[key] = cls(vocabulary, ranks, frequent)
+        return cls._of_worker[key]
+
+    def _slice(self, text: str) -> int:
+        if PLAIN.fullmatch(text) and SPECIAL not in text:
+            return sum(map(self.known.__getitem__, pre_tokens(text)))
+        if not text.strip():
+            return len(self.encoder.encode(text)) // 4
+        total, plain = 0, []
+        for part in pieces_of(text):
+            if PLAIN.fullmatch(part) and SPECIAL not in part:
+                plain.append(part)
+            else:
+                total += self.others[part]
+        return total + sum(self.known[t] for part in plain for t in pre_tokens(part))
+
+    def count(self, text: str) -> int:
+        return sum(self._slice(x) for x in slices(text) if x)
+
+
+def pieces_of(text: str) -> list[str]:
+    """Cuts a text before single spaces between two other characters; the pieces joined are the text."""
+    return BREAK.split(text)
+
+
+def frequent_lengths(rows: DataFrame, vocabulary: str, ranks: str | None, text: str = "text", sample: int = SAMPLE_ROWS, most: int = TABLE) -> dict[str, int]:
+    """Numbers of tokens of the ``most`` pre-tokens that are most frequent in about ``sample`` rows, chosen by a hash of their text."""
+    n = rows.count()
+    part = rows.select(text).where(F.pmod(F.xxhash64(text), F.lit(1 << 30)) < int((1 << 30) * min(1.0, sample / max(n, 1))))
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: Counter = Counter()
+        for batch in batches:
+            for x in batch.column(0):
+                for part in slices(x.as_py()):
+                    found.update(t for p in pieces_of(part) if PLAIN.fullmatch(p) for t in pre_tokens(p) if len(t) < 64)
+                if len(found) > 4 * most:
+                    found = Counter({k: v for k, v in found.items() if v > 1})
+        yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], names=["token", "n"])
 
-    library = Tokenizer.from_file(vocabulary)
-    words = [w for i in range(library.get_vocab_size()) if (w := library.decode([i], skip_special_tokens=False)).startswith(" ") and len(w) > 1 and "�" not in w and not w[1].isspace() and not w[-1].isspace()]
-    found = library.encode_batch(words, add_special_tokens=False)
-    return {w[1:]: np.array(x.ids, "<u4").tobytes() for w, x in zip(words, found) if len(x.ids) == 1}
+    counts = part.mapInArrow(count, "token string, n long").groupBy("token").agg(F.sum("n").alias("n")).where("n > 1")
+    top = [r.token for r in counts.orderBy(F.desc("n"), "token").limit(most).collect()]  # ``most`` rows
+    encoder = Encoder(vocabulary, ranks, 0)
+    return {t: len(encoder._piece(t)) // 4 for t in top if SPECIAL not in t}
 
 
-def count_tokens(docs: DataFrame, vocabulary: str, ranks: str | None = None, limit: int = 512, key: str = "doc_id", text: str = "text") -> DataFrame:
+def count_tokens(docs: DataFrame, vocabulary: str, ranks: str | None = None, limit: int = 512, key: str = "doc_id", text: str = "text", sample: int = SAMPLE_ROWS) -> DataFrame:
     """Per row: key, n_bytes (UTF-8), n_tokens, over_limit (n_tokens > limit).
 
     A null text counts as empty (0 tokens); a null key stays null; repeated rows come out
@@ -161,16 +250,18 @@ def count_tokens(docs: DataFrame, vocabulary: str, ranks: str | None = None, lim
     """
     spark = docs.sparkSession
     importable(spark)
-    frequent = spark.sparkContext.broadcast(frequent_pieces(vocabulary))
+    rows = text_rows(docs, key, text)
+    table = frequent_lengths(rows, vocabulary, ranks, text, sample)
+    name, frequent = uuid.uuid4().hex, spark.sparkContext.broadcast(table)
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder.of_worker(vocabulary, ranks, frequent.value)
+        lengths = Lengths.of_worker(vocabulary, ranks, name, frequent.value)
         for batch in batches:
-            n = pa.array([encoder.count(x.as_py()) for x in batch.column(1)], pa.int64())
+            n = pa.array([lengths.count(x.as_py()) for x in batch.column(1)], pa.int64())
             size = pa.compute.binary_length(batch.column(1)).cast(pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0), size, n, pa.compute.greater(n, limit)], names=[key, "n_bytes", "n_tokens", "over_limit"])
 
-    return text_rows(docs, key, text).mapInArrow(count, f"{key} long, n_bytes long, n_tokens long, over_limit boolean")
+    return rows.mapInArrow(count, f"{key} long, n_bytes long, n_tokens long, over_limit boolean")
 
 
 def encoded(docs: DataFrame, vocabulary: str, ranks: str | None, per_row, schema: str, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -111,36 +111,46 @@ def voter_of(term: str) -> int:
     return (0, 4, 7)[kind] + xxhash.xxh32_intdigest(term) % (4, 3, 3)[kind]
 
 
-def _schema(ddl: str, rows: DataFrame, more: list[str]) -> StructType:
-    return StructType([*StructType.fromDDL(ddl), *[rows.schema[c] for c in more]])
+def look(text: str, known: dict[str, tuple[int, int]]) -> tuple[int, list[int]]:
+    """The votes on a text, a bit for each voter, and the places of its terms. known: place and voter's bit by term."""
+    words = words_of(text)
+    hits = [known[t] for t in terms_of(words) & known.keys()]
+    mask = 0
+    for _, bit in hits:
+        mask |= bit
+    for k, on in enumerate(patterns(text, words)):
+        mask |= on << (LEXICONS + k)
+    return mask, sorted(k for k, _ in hits)
+
+
+def known_terms(terms: list[str]) -> dict[str, tuple[int, int]]:
+    return {t: (k, 1 << voter_of(t)) for k, t in enumerate(terms)}
 
 
 def votes(rows: DataFrame, terms: list[str], key: str, text: str) -> DataFrame:
-    """(key, mask, found): a bit for each voter, and the places of the text's terms in ``terms``.
+    """(key, mask, found): the votes on each text, and the places of its terms in ``terms``."""
+    share = rows.sparkSession.sparkContext.broadcast(known_terms(terms))
 
-    A struct column ``carried`` of the rows goes along as it is.
-    """
-    share = rows.sparkSession.sparkContext.broadcast({t: (k, 1 << voter_of(t)) for k, t in enumerate(terms)})
+    def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seen = [look(x.as_py(), share.value) for x in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([m for m, _ in seen], pa.int32()), pa.array([f for _, f in seen], pa.list_(pa.int32()))], names=[key, "mask", "found"])
+
+    return rows.select(key, text).mapInArrow(work, f"{key} long, mask int, found array<int>")
+
+
+def scored_rows(docs: DataFrame, terms: list[str], weights: np.ndarray, text: str, carry: list[str]) -> DataFrame:
+    """(score, carried): whole rows with their scores in one pass, so that nothing but the model is written between."""
+    share = docs.sparkSession.sparkContext.broadcast((known_terms(terms), weights))
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = share.value
+        known, w = share.value
         for batch in batches:
-            masks, found = [], []
-            for x in batch.column(1):
-                said = x.as_py()
-                words = words_of(said)
-                hits = [known[t] for t in terms_of(words) & known.keys()]
-                mask = 0
-                for _, bit in hits:
-                    mask |= bit
-                for k, on in enumerate(patterns(said, words)):
-                    mask |= on << (LEXICONS + k)
-                masks.append(mask)
-                found.append(sorted(k for k, _ in hits))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(masks, pa.int32()), pa.array(found, pa.list_(pa.int32())), *batch.columns[2:]], names=[key, "mask", "found", *more])
-
-    more = [c for c in ("carried",) if c in rows.columns]
-    return rows.select(key, text, *more).mapInArrow(work, _schema(f"{key} long, mask int, found array<int>", rows, more))
+            z = [w[-1] + w[look(x.as_py() or "", known)[1]].sum() for x in batch.column(0).field(text)]
+            yield pa.RecordBatch.from_arrays([pa.array(1 / (1 + np.exp(-np.clip(np.array(z, float), -500, 500)))), batch.column(0)], names=["score", "carried"])
+
+    rows = docs.select(F.struct(*carry).alias("carried"))
+    return rows.mapInArrow(work, StructType([*StructType.fromDDL("score double"), rows.schema["carried"]]))
 
 
 def label_model(masks: np.ndarray, counts: np.ndarray, known: np.ndarray, rounds: int = 50) -> np.ndarray:
@@ -194,11 +204,10 @@ def scores(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
     labels of unknown or null keys are left aside; without any labels only known insults and patterns
     count. Of several labels of a key the largest holds. Rows with a null key are scored (held_out is
     that of an empty text); repeated rows come out repeatedly; an empty table gives an empty one.
-    Columns named in ``carry`` come along in a struct column ``carried``, so that whole documents can
-    be filtered by their scores without a join.
+    Columns named in ``carry`` (key and text among them) come along in a struct column ``carried``, so that whole
+    documents can be filtered by their scores without a join.
     """
     importable(docs.sparkSession)
-    more = ["carried"] if carry else []
     rows = text_rows(docs, key, text)
     known = labels.where(F.col(key).isNotNull() & F.col(label).isin(0, 1)).where(learnable(key)).groupBy(F.col(key).cast("long").alias(key)).agg(F.max(label).cast("long").alias("toxic"))
     known = F.broadcast(written(_sample(known, LABELLED_ROWS, key), "labelled"))  # at most LABELLED_ROWS rows
@@ -214,6 +223,10 @@ def scores(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
     p = label_model(masks, np.array([seen[m] for m in masks.tolist()], float), fixed)
     sample = _sample(voted, FIT_ROWS, key).select("mask", "found").collect()  # at most FIT_ROWS rows
     weights = fit([r.found for r in sample], np.array([p[place[r.mask]] for r in sample]), len(terms))
+    judged = [(~learnable(key)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")]
+    if carry:
+        found = scored_rows(docs, terms, weights, text, carry)
+        return found.withColumn(key, F.col(f"carried.{key}")).select(key, *judged, "carried")
     share = docs.sparkSession.sparkContext.broadcast(weights)
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,9 +234,6 @@ def scores(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
             size = pa.compute.list_value_length(batch.column(1)).to_numpy()
             w = share.value
             z = w[-1] + np.bincount(np.repeat(np.arange(len(size)), size), w[batch.column(1).flatten().to_numpy()], len(size))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(1 / (1 + np.exp(-np.clip(z, -500, 500)))), *batch.columns[2:]], names=[key, "score", *more])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(1 / (1 + np.exp(-np.clip(z, -500, 500))))], names=[key, "score"])
 
-    if carry:  # whole rows are read again, not written
-        voted = votes(text_rows(docs.withColumn("carried", F.struct(*carry)), key, text, more), terms, key, text)
-    scored = voted.select(key, "found", *more).mapInArrow(score, _schema(f"{key} long, score double", voted, more))
-    return scored.select(key, (~learnable(key)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), *more)
+    return voted.select(key, "found").mapInArrow(score, f"{key} long, score double").select(key, *judged)

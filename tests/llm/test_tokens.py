@@ -23,7 +23,7 @@ def ids(library, text):
 
 def test_encoder_equals_library(library):
     random.seed(3)
-    encoder = tokens.Encoder(V, R, tokens.frequent_pieces(V), size=50)
+    encoder = tokens.Encoder(V, R, size=50)
     alphabet = [*"ab '\n\t ,.1é\x1c\U0001f600中sßx ", "<|endoftext|>", "  ", " the", "\r\n"]
     for _ in range(3000):
         text = "".join(random.choice(alphabet) for _ in range(random.randint(0, 40)))
@@ -32,6 +32,45 @@ def test_encoder_equals_library(library):
         assert np.frombuffer(b"".join(encoder._slice(x) for x in tokens.slices(text, 5) if x), "<u4").tolist() == expected
 
 
+@pytest.mark.parametrize("size,letters", [(40, 10_000), (10_000, 60)])
+def test_lengths_equal_library(library, size, letters):
+    random.seed(size)
+    lengths = tokens.Lengths(V, R, {" the": 1, "a": 1}, size, letters)
+    alphabet = [*"ab '\n\t ,.1é\x1c\U0001f600中sßx÷ ", "<|endoftext|>", "  ", " the", "\r\n", "'s", " foo.bar(baz)", " 字字。"]
+    for _ in range(3000):
+        text = "".join(random.choice(alphabet) for _ in range(random.randint(0, 40)))
+        assert lengths.count(text) == len(ids(library, text))
+        assert sum(lengths._slice(x) for x in tokens.slices(text, 5) if x) == len(ids(library, text))
+        assert "".join(tokens.pieces_of(text)) == text
+    assert len(lengths.known) <= size + 2 and lengths.known.letters <= letters + 64
+
+
+def test_text_without_spaces_is_looked_up_by_pre_tokens(library):
+    code = "foo.bar(baz);" * 4000
+    lengths = tokens.Lengths(V, R, {})
+    assert lengths.count(code) == len(ids(library, code))
+    assert lengths.known.misses < 12
+    chinese = "中文字，" * 3000
+    assert lengths.count(chinese) == len(ids(library, chinese))
+
+
+def test_frequent_pre_tokens_of_a_sample(spark, docs):
+    rows = docs([(k, "common words, common words " + f"rare{'abcdefghij'[k % 10]} " * 2) for k in range(400)]).select("text")
+    table = tokens.frequent_lengths(rows, V, R, most=4)
+    assert {" common", " words", ","} <= set(table)
+    assert table[","] == 1 and len(table) == 4
+    assert tokens.frequent_lengths(rows.limit(0), V, R) == {}
+
+
+def test_tables_are_kept_apart_in_a_worker(spark, docs, library):
+    texts = [(k, t) for k, t in enumerate(TEXTS)]
+    packing.pack_documents(docs(texts), V, R, end_id=2, capacity=64).collect()  # its workers have encoders of their own
+    a, b = tokens.Lengths.of_worker(V, R, "a", {"x": 1}), tokens.Lengths.of_worker(V, R, "b", {"y": 1})
+    assert "x" in a.known and "y" in b.known and tokens.Lengths.of_worker(V, R, "b", {}) is b
+    got = {r.doc_id: r.n_tokens for r in tokens.count_tokens(docs(texts), V, R, sample=3).collect()}
+    assert got == {k: len(ids(library, t)) for k, t in texts}
+
+
 def test_count_tokens(spark, docs, library):
     rows = [*enumerate(TEXTS), (None, "no id"), (3, "again")]
     got = sorted(map(tuple, tokens.count_tokens(docs(rows), V, R).collect()), key=str)
