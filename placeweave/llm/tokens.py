@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from placeweave.llm.common import importable, text_rows
 
 #: Pieces that a worker remembers, and their letters, in each of two generations.
-CACHE_PIECES, CACHE_LETTERS = 250_000, 4_000_000
+CACHE_PIECES, CACHE_LETTERS = 400_000, 8_000_000
 #: Rows of the sample in which frequent pre-tokens are looked for, and how many the table has. They only save work.
 SAMPLE_ROWS, TABLE = 20_000, 50_000
 #: Characters of a text that are cut into pieces at once, so that long texts need no more memory.
