@@ -13,6 +13,9 @@ from placeweave.operators.inverted import Index
 from placeweave.sources.schemas import MATCH
 from placeweave.sources.scratch import scratch_path
 
+#: Near terms of a clause in the queries that ask for the best ones only.
+FUZZY_MAX_EXPANSIONS = 50
+
 WORDS = "regexp_extract_all(lower({}), '[\\p{{L}}\\p{{M}}\\p{{N}}_]+')"
 
 # ---- documents: every text is an activity whose headline is its first line, enriched with
@@ -24,7 +27,7 @@ docs AS (
   SELECT d.doc_id,
     CASE WHEN split_part(d.text, chr(10), 1) <> '' THEN split_part(d.text, chr(10), 1) ELSE d.source END AS title,
     concat_ws(' ', d.text, concat_ws(' ', d.source, d.lang), '', CASE WHEN p.page_id IS NULL THEN '' ELSE d.source END, '') AS click_text,
-    coalesce(regexp_extract(p.html, '<h1[^>]*>(.*?)</h1>', 1), '') AS wiki_text,
+    coalesce(regexp_replace(p.html, '<[^>]+>', ' ', 'g'), '') AS wiki_text,
     CASE WHEN d.lang <> 'de' THEN d.lang WHEN p.page_id IS NOT NULL AND p.url <> '' THEN lower(p.url) END AS city,
     concat('doc/', d.doc_id) AS url,
     CASE WHEN p.page_id IS NOT NULL THEN d.source END AS architect, NULL::VARCHAR AS style,
@@ -39,7 +42,7 @@ def enriched(spark: SparkSession, sf: str) -> DataFrame:
     pages = table(spark, sf, "pages").select(
         F.col("page_id").alias("doc_id"),
         F.col("url").alias("page_url"),
-        F.regexp_extract("html", "<h1[^>]*>(.*?)</h1>", 1).alias("h1"),
+        F.regexp_replace("html", "<[^>]+>", " ").alias("page_text"),
     )
     joined = (
         texts(spark, sf, "documents")
@@ -50,7 +53,7 @@ def enriched(spark: SparkSession, sf: str) -> DataFrame:
     match = F.struct(
         F.col("page_url").alias("wiki_title"),
         F.when(F.col("lang") == "de", "city").otherwise("museum").alias("wiki_type"),
-        F.col("h1").alias("wiki_abstract"),
+        F.col("page_text").alias("wiki_abstract"),
         F.col("source").alias("wiki_architect"),
         F.lit("").alias("wiki_style"),
     ).cast(MATCH)
@@ -142,12 +145,12 @@ fstat AS (SELECT field, count(*) AS n_docs, avg(length(l)) AS avgdl FROM lists W
     CASE WHEN field = 'title' THEN array_to_string(positions, ' ') END AS positions FROM post"""
 )
 def postings(spark, sf):
-    return index(spark, sf).postings.withColumn("positions", F.array_join("positions", " "))
+    return index(spark, sf).postings.drop("bucket").withColumn("positions", F.array_join("positions", " "))
 
 
 @query(f"WITH {INDEX_SQL} SELECT * FROM tstat")
 def term_stats(spark, sf):
-    return index(spark, sf).term_stats
+    return index(spark, sf).term_stats.drop("bucket")
 
 
 @query(f"WITH {INDEX_SQL} SELECT field, doc_id, length(l)::INT AS dl FROM lists WHERE length(l) > 0")
@@ -221,7 +224,7 @@ def letters_sql(c: str) -> str:
     return f"translate({c}, 'ßäçèéêíñóöü', 'ABCDEFGHIJK')"
 
 
-def near_sql(name: str, source: str, fields: list[str], k: int, most: int | None = fixed.FUZZY_MAX_EXPANSIONS) -> str:
+def near_sql(name: str, source: str, fields: list[str], k: int, most: int | None = None) -> str:
     listed = ", ".join(f"'{f}'" for f in fields)
     return f"""
 {name}_near AS (SELECT t.token, v.field, v.term, v.df, damerau_levenshtein({letters_sql('t.token')}, {letters_sql('v.term')}) AS edits
@@ -250,7 +253,7 @@ def scored_sql(tag: str, clauses: list[str], phrase: bool) -> str:
 {tag}clauses AS ({' UNION ALL '.join(clauses)}),
 {tag}hits AS (SELECT c.query_id, c.ord, c.clause, c.kind, c.n_terms, c.field, c.term, p.doc_id,
   ln(1 + (f.n_docs - coalesce(c.clause_df, s.df) + 0.5) / (coalesce(c.clause_df, s.df) + 0.5)) AS idf, {norm} AS norm,
-  c.weight * ln(1 + (f.n_docs - coalesce(c.clause_df, s.df) + 0.5) / (coalesce(c.clause_df, s.df) + 0.5)) * p.tf / (p.tf + {norm}) AS score
+  floor({search.UNIT} * (c.weight * ln(1 + (f.n_docs - coalesce(c.clause_df, s.df) + 0.5) / (coalesce(c.clause_df, s.df) + 0.5)) * p.tf / (p.tf + {norm})))::BIGINT AS score
   FROM {tag}clauses c JOIN post p ON p.field = c.field AND p.term = c.term
   JOIN tstat s ON s.field = c.field AND s.term = c.term JOIN fstat f ON f.field = c.field),
 {tag}whole AS (SELECT query_id, doc_id, ord, clause, kind, field, sum(score) AS score FROM {tag}hits
@@ -259,7 +262,7 @@ def scored_sql(tag: str, clauses: list[str], phrase: bool) -> str:
   JOIN (SELECT DISTINCT query_id, any_token, n_tokens FROM tokens) t ON t.query_id = w.query_id
   GROUP BY w.query_id, w.doc_id, any_token, n_tokens HAVING any_token OR count(DISTINCT ord) = n_tokens)"""
     if not phrase:
-        return parts + f", {tag}scored AS (SELECT query_id, doc_id, round(score, 6) AS text_score FROM {tag}matched)"
+        return parts + f", {tag}scored AS (SELECT query_id, doc_id, score / {search.UNIT}::DOUBLE AS text_score FROM {tag}matched)"
     return parts + f""",
 {tag}places AS (SELECT h.query_id, h.doc_id, h.ord, h.idf, h.norm, unnest(p.positions) - h.ord AS shift FROM {tag}hits h
   JOIN post p ON p.field = 'title' AND p.term = h.term AND p.doc_id = h.doc_id WHERE h.kind = 'exact' AND h.field = 'title'),
@@ -274,7 +277,7 @@ def scored_sql(tag: str, clauses: list[str], phrase: bool) -> str:
 {tag}idfs AS (SELECT query_id, doc_id, sum(idf) AS idf, min(norm) AS norm FROM
   (SELECT DISTINCT query_id, doc_id, ord, idf, norm FROM {tag}places) GROUP BY query_id, doc_id),
 {tag}scored AS (SELECT m.query_id, m.doc_id,
-  round(m.score + coalesce({fixed.PHRASE_BOOST} * i.idf * p.tf / (p.tf + i.norm), 0), 6) AS text_score
+  (m.score + coalesce(floor({search.UNIT} * ({fixed.PHRASE_BOOST} * i.idf * p.tf / (p.tf + i.norm)))::BIGINT, 0)) / {search.UNIT}::DOUBLE AS text_score
   FROM {tag}matched m LEFT JOIN {tag}phrases p ON p.query_id = m.query_id AND p.doc_id = m.doc_id
   LEFT JOIN {tag}idfs i ON i.query_id = m.query_id AND i.doc_id = m.doc_id)"""
 
@@ -284,10 +287,18 @@ def top_sql(tag: str, n: int = fixed.CANDIDATES) -> str:
   ORDER BY text_score DESC, doc_id) AS rn FROM {tag}scored) WHERE rn <= {n})"""
 
 
+#: Ranks come from exact sums; scores are rounded for the comparison alone.
+SHOW_TEXT_SCORE = "* REPLACE (round(text_score, 6) AS text_score)"
+
+
+def six_places(df: DataFrame) -> DataFrame:
+    return df.withColumns({c: F.round(c, 6) for c in ("text_score", "final_score") if c in df.columns})
+
+
 def exact_only(spark, sf, queries):
     built, tokens = index(spark, sf), search.query_tokens(queries)
-    scored = search.combine(search.exact_clauses(tokens), built, phrase=False)
-    return search.top_hits(scored, "text_score", fixed.CANDIDATES).drop("rank")
+    scored = search.combine(tokens, search.exact_clauses(tokens), built, phrase=False)
+    return six_places(search.top_hits(scored, "text_score", fixed.CANDIDATES).drop("rank"))
 
 
 @query(f"WITH {PASSAGES_SQL}, {TOKENS_SQL} SELECT query_id, any_token, n_tokens::INT AS n_tokens, token, ord::INT AS ord FROM tokens")
@@ -295,32 +306,32 @@ def query_tokens(spark, sf):
     return search.query_tokens(passages(spark, sf))
 
 
-@query(f"WITH {INDEX_SQL}, {PASSAGES_SQL}, {TOKENS_SQL}, {scored_sql('', [EXACT], False)}, {top_sql('')} SELECT * FROM top")
+@query(f"WITH {INDEX_SQL}, {PASSAGES_SQL}, {TOKENS_SQL}, {scored_sql('', [EXACT], False)}, {top_sql('')} SELECT {SHOW_TEXT_SCORE} FROM top")
 def bm25_and(spark, sf):
     return exact_only(spark, sf, passages(spark, sf))
 
 
-@query(f"WITH {INDEX_SQL}, {ANY_WORD_SQL}, {TOKENS_SQL}, {scored_sql('', [EXACT], False)}, {top_sql('')} SELECT * FROM top")
+@query(f"WITH {INDEX_SQL}, {ANY_WORD_SQL}, {TOKENS_SQL}, {scored_sql('', [EXACT], False)}, {top_sql('')} SELECT {SHOW_TEXT_SCORE} FROM top")
 def bm25_or(spark, sf):
     return exact_only(spark, sf, any_word(spark, sf))
 
 
 @query(
     f"""WITH {INDEX_SQL}, {NEIGHBOURS_SQL}, {TOKENS_SQL}, {SYNONYMS_SQL}, {scored_sql('', [EXACT, SYNONYM], False)}, {top_sql('')}
-    SELECT * FROM top"""
+    SELECT {SHOW_TEXT_SCORE} FROM top"""
 )
 def synonyms(spark, sf):
     built, tokens = index(spark, sf), search.query_tokens(neighbours(spark, sf))
     table_of = search.synonym_table(spark, SYNONYMS)
     clauses = search.exact_clauses(tokens).unionByName(search.synonym_clauses(tokens, table_of))
-    return search.top_hits(search.combine(clauses, built, phrase=False), "text_score", fixed.CANDIDATES).drop("rank")
+    return six_places(search.top_hits(search.combine(tokens, clauses, built, phrase=False), "text_score", fixed.CANDIDATES).drop("rank"))
 
 
-@query(f"WITH {INDEX_SQL}, {NEIGHBOURS_SQL}, {TOKENS_SQL}, {scored_sql('', [EXACT], True)}, {top_sql('')} SELECT * FROM top")
+@query(f"WITH {INDEX_SQL}, {NEIGHBOURS_SQL}, {TOKENS_SQL}, {scored_sql('', [EXACT], True)}, {top_sql('')} SELECT {SHOW_TEXT_SCORE} FROM top")
 def phrase(spark, sf):
     built, tokens = index(spark, sf), search.query_tokens(neighbours(spark, sf))
-    scored = search.combine(search.exact_clauses(tokens), built, phrase=True)
-    return search.top_hits(scored, "text_score", fixed.CANDIDATES).drop("rank")
+    scored = search.combine(tokens, search.exact_clauses(tokens), built, phrase=True)
+    return six_places(search.top_hits(scored, "text_score", fixed.CANDIDATES).drop("rank"))
 
 
 @query(
@@ -333,17 +344,17 @@ def fuzzy1(spark, sf):
 
 
 @query(
-    f"""WITH {INDEX_SQL}, {NAMES_SQL}, {TOKENS_SQL}, {near_sql('far', '', ['title', 'click_text'], 2)}
+    f"""WITH {INDEX_SQL}, {NAMES_SQL}, {TOKENS_SQL}, {near_sql('far', '', ['title', 'click_text'], 2, FUZZY_MAX_EXPANSIONS)}
     SELECT token, field, term, round(factor, 6) AS factor, clause_df FROM far_kept"""
 )
 def fuzzy2(spark, sf):
     words = index(spark, sf).term_stats.where(F.col("field").isin("title", "click_text"))
-    near = fuzzy.expansions(search.query_tokens(names(spark, sf)), words, 2, fixed.FUZZY_MAX_EXPANSIONS)
+    near = fuzzy.expansions(search.query_tokens(names(spark, sf)), words, 2, FUZZY_MAX_EXPANSIONS)
     return near.select("token", "field", "term", F.round("factor", 6).alias("factor"), "clause_df")
 
 
 @query(
-    f"""WITH {INDEX_SQL}, {NAMES_SQL}, {TOKENS_SQL}, {near_sql('far', '', ['title', 'click_text'], 2, None)}
+    f"""WITH {INDEX_SQL}, {NAMES_SQL}, {TOKENS_SQL}, {near_sql('far', '', ['title', 'click_text'], 2)}
     SELECT token, field, term, round(factor, 6) AS factor, clause_df FROM far_kept"""
 )
 def fuzzy2_all(spark, sf):
@@ -365,54 +376,56 @@ answers AS (SELECT *, false AS did_you_mean FROM first_top UNION ALL
   SELECT *, true FROM second_top WHERE query_id NOT IN (SELECT query_id FROM first_top))"""
 
 
-@query(f"WITH {FALLBACK_SQL} SELECT * FROM answers")
+@query(f"WITH {FALLBACK_SQL} SELECT {SHOW_TEXT_SCORE} FROM answers")
 def fallback(spark, sf):
-    return search.candidates_with_fallback(
-        names(spark, sf), index(spark, sf), search.synonym_table(spark, SYNONYMS), most_near=fixed.FUZZY_MAX_EXPANSIONS
-    )
+    return six_places(search.candidates_with_fallback(names(spark, sf), index(spark, sf), search.synonym_table(spark, SYNONYMS)))
 
 
 RERANK_SQL = f"""
 shown AS (SELECT t.*, CASE WHEN d.title <> '' THEN d.title ELSE 'Unknown' END AS title, coalesce(d.city, 'N/A') AS city, d.url, d.architect, d.style,
   coalesce(d.rating, 0) AS rating, coalesce(d.review_count, 0) AS reviews,
-  round(t.text_score * (1 + CASE WHEN coalesce(d.review_count, 0) > 0 THEN log10(d.review_count + 1) ELSE 0 END)
-    * CASE WHEN coalesce(d.rating, 0) > 0 THEN d.rating / 5.0 ELSE 0.5 END, 8) AS final_score
+  t.text_score * (1 + CASE WHEN coalesce(d.review_count, 0) > 0 THEN log10(d.review_count + 1) ELSE 0 END)
+    * CASE WHEN coalesce(d.rating, 0) > 0 THEN d.rating / 5.0 ELSE 0.5 END AS final_score
   FROM {{found}} t JOIN docs d USING (doc_id)),
 page AS (SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY final_score DESC, doc_id))::INT AS rank FROM shown)
-SELECT * FROM page WHERE rank <= {fixed.PAGE_SIZE}"""
+SELECT * REPLACE (round(text_score, 6) AS text_score, round(final_score, 6) AS final_score) FROM page WHERE rank <= {fixed.PAGE_SIZE}"""
+
 
 
 @query(f"WITH {FALLBACK_SQL}, {RERANK_SQL.format(found='answers')}")
 def misspelt_pages(spark, sf):
     """Result pages of queries most of which need the second try."""
-    return search.search(
-        names(spark, sf), index(spark, sf), search.synonym_table(spark, SYNONYMS), most_near=fixed.FUZZY_MAX_EXPANSIONS
-    )
+    return six_places(search.search(names(spark, sf), index(spark, sf), search.synonym_table(spark, SYNONYMS)))
 
 
-STANDARD_SQL = f"""{INDEX_SQL}, {NEIGHBOURS_SQL}, {TOKENS_SQL}, {SYNONYMS_SQL},
-{near_sql('weak', f'WHERE length(token) >= {fixed.WEAK_FUZZY_MIN_LENGTH}', ['title'], 1)},
+def standard_sql(most: int | None) -> str:
+    return f"""{INDEX_SQL}, {NEIGHBOURS_SQL}, {TOKENS_SQL}, {SYNONYMS_SQL},
+{near_sql('weak', f'WHERE length(token) >= {fixed.WEAK_FUZZY_MIN_LENGTH}', ['title'], 1, most)},
 {scored_sql('', [EXACT, SYNONYM, FUZZY.format('weak') + f' WHERE length(token) >= {fixed.WEAK_FUZZY_MIN_LENGTH}'], True)}, {top_sql('')}"""
 
 
-@query(f"WITH {STANDARD_SQL}, {RERANK_SQL.format(found='top')}")
+def pages_of_neighbours(spark, sf, **settings):
+    built = index(spark, sf)
+    found = search.candidates(neighbours(spark, sf), built, search.synonym_table(spark, SYNONYMS), **settings)
+    return six_places(search.rerank(found, built.docs))
+
+
+@query(f"WITH {standard_sql(None)}, {RERANK_SQL.format(found='top')}")
 def rerank(spark, sf):
     """Result pages of all pairs of neighbouring words, with every kind of clause."""
-    built = index(spark, sf)
-    found = search.candidates(
-        neighbours(spark, sf), built, search.synonym_table(spark, SYNONYMS), most_near=fixed.FUZZY_MAX_EXPANSIONS
-    )
-    return search.rerank(found, built.docs)
+    return pages_of_neighbours(spark, sf)
 
 
-@query(f"WITH {STANDARD_SQL}, {RERANK_SQL.format(found='top')}")
+@query(f"WITH {standard_sql(None)}, {RERANK_SQL.format(found='top')}")
 def rerank_split(spark, sf):
     """The same with terms split that have more than 20 documents."""
-    built = index(spark, sf)
-    found = search.candidates(
-        neighbours(spark, sf), built, search.synonym_table(spark, SYNONYMS), rows_per_slice=20, most_near=fixed.FUZZY_MAX_EXPANSIONS
-    )
-    return search.rerank(found, built.docs)
+    return pages_of_neighbours(spark, sf, rows_per_slice=20)
+
+
+@query(f"WITH {standard_sql(FUZZY_MAX_EXPANSIONS)}, {RERANK_SQL.format(found='top')}")
+def rerank_best_near(spark, sf):
+    """The same with the best near terms only."""
+    return pages_of_neighbours(spark, sf, most_near=FUZZY_MAX_EXPANSIONS)
 
 
 # ---- evaluation: the texts of a source, in the order of their numbers, judged by their label

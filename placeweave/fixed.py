@@ -40,7 +40,6 @@ FUZZY_BOOST = 1.0
 PHRASE_BOOST = 4.0
 PHRASE_SLOP = 10
 WEAK_FUZZY_MIN_LENGTH = 4
-FUZZY_MAX_EXPANSIONS = 50
 CANDIDATES = 50
 PAGE_SIZE = 10
 

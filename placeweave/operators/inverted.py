@@ -1,23 +1,31 @@
 """Inverted index as tables.
 
 ``documents``    texts as they are searched, what a hit shows and what ranks it
-``postings``     field, term, doc_id, tf, dl (length of the field in the document), positions
-``term_stats``   field, term, df
+``postings``     field, term, doc_id, tf, dl (length of the field in the document), positions, bucket
+``term_stats``   field, term, df, bucket
 ``field_stats``  field, n_docs, avgdl
+``versions``     one row for each complete build of these: number, folder, buckets
+
+A build writes a folder of its own and adds its row to ``versions`` last, so readers see whole
+indexes only, and one that was opened stays as it is while others are built.
 """
 
 from __future__ import annotations
 
+import time
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placeweave.functions.text import ANALYSED_WORD, analysed_terms
+from placeweave.functions.text import ANALYSED_WORD, analysed_terms, bind
 
 TEXT_FIELDS = ["title", "click_text", "wiki_text"]
 ALL_FIELDS = [*TEXT_FIELDS, "city"]
 SHOWN = ["doc_id", "title", "city", "url", "architect", "style", "rating", "review_count"]
+# Buckets of terms: one for so many documents, within these bounds.
+DOCS_PER_BUCKET, LEAST_BUCKETS, MOST_BUCKETS = 5_000, 16, 4096
 
 
 @dataclass
@@ -26,6 +34,19 @@ class Index:
     postings: DataFrame
     term_stats: DataFrame
     field_stats: DataFrame
+    buckets: int | None = None  # of the terms in a written index
+
+    def with_bucket(self, terms: DataFrame) -> DataFrame:
+        """A table with ``term`` and the bucket that a written index keeps it in, for joins that read no other."""
+        return terms if self.buckets is None else terms.withColumn("bucket", bucket_of(F.col("term"), self.buckets))
+
+    @property
+    def term_keys(self) -> list[str]:
+        return ["field", "term"] if self.buckets is None else ["field", "bucket", "term"]
+
+
+def bucket_of(term: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
 
 
 def field_terms(documents: DataFrame, split_city: bool = False, only: list[str] | None = None) -> DataFrame:
@@ -52,33 +73,47 @@ def field_terms(documents: DataFrame, split_city: bool = False, only: list[str]
     return rows.where("n_parts = 1").select(*columns).unionByName(parted.select(*columns))
 
 
-def postings(documents: DataFrame, positional: list[str] | None = None, split_city: bool = False) -> DataFrame:
-    """One row per field, term and document.
+def counted_terms(terms: Column, with_positions: Column) -> Column:
+    """Each distinct term of a list with its number (``tf``) and its ascending places, where they are wanted.
 
-    Documents are dealt out by their id before they are taken apart; everything after that
-    stays within a document and needs no shuffle, and a term that every document has is
-    spread like any other.  Positions are kept for the ``positional`` fields, the ones
-    phrases look at.
+    Terms are sorted with their places, and a run of equal ones is a term: no row leaves its document.
     """
-    documents = documents.repartition("doc_id")
-    positional = ["title"] if positional is None else positional
-    others = [f for f in ALL_FIELDS if f not in positional]
-    keys = ["field", "term", "doc_id", "dl"]
+    placed = F.array_sort(F.transform(terms, lambda t, i: F.struct(t.alias("term"), i.alias("pos"))))
 
-    def occurrences(fields: list[str]) -> DataFrame:
-        return field_terms(documents, split_city, fields).select(
-            "field", "doc_id", "dl", F.posexplode("terms").alias("pos", "term")
+    def runs(sorted_terms: Column) -> Column:
+        begins = F.filter(
+            F.sequence(F.lit(0), F.size(sorted_terms) - 1),
+            lambda i: (i == 0) | (F.get(sorted_terms, i)["term"] != F.get(sorted_terms, i - 1)["term"]),
         )
+        return bind(begins, lambda starts: F.transform(starts, lambda at, k: run(sorted_terms, starts, at, k)))
 
-    counted = occurrences(others).groupBy(*keys).agg(
-        F.count("*").cast("int").alias("tf"), F.lit(None).cast("array<int>").alias("positions")
-    )
-    if not positional:
+    def run(sorted_terms: Column, starts: Column, at: Column, k: Column) -> Column:
+        tf = F.coalesce(F.get(starts, k + 1), F.size(sorted_terms)) - at
+        places = F.when(with_positions, F.transform(F.slice(sorted_terms, at + 1, tf), lambda p: p["pos"]))
+        return F.struct(F.get(sorted_terms, at)["term"].alias("term"), tf.alias("tf"), places.alias("positions"))
+
+    return bind(placed, runs)
+
+
+def postings(documents: DataFrame, positional: list[str] | None = None, split_city: bool = False) -> DataFrame:
+    """One row per field, term and document: field, term, doc_id, dl, tf, positions.
+
+    They are made within the row of a document, so texts are not shuffled. Positions are kept for the
+    ``positional`` fields, the ones phrases look at.  A document whose matches came in several
+    parts has the terms of its parts added up; positions are of its first part alone.
+    """
+    positional = ["title"] if positional is None else positional
+    terms = field_terms(documents, split_city)
+    counted = terms.select(
+        "field", "doc_id", "dl", F.inline(counted_terms(F.col("terms"), F.col("field").isin(positional)))
+    ).select("field", "term", "doc_id", "dl", "tf", "positions")
+    if "n_parts" not in documents.columns:
         return counted
-    placed = occurrences(positional).groupBy(*keys).agg(
-        F.count("*").cast("int").alias("tf"), F.sort_array(F.collect_list("pos")).alias("positions")
-    )
-    return placed.unionByName(counted)
+    parted = documents.where("n_parts > 1").select("doc_id").distinct()
+    whole = counted.join(parted, "doc_id", "left_anti")
+    keys = ["field", "term", "doc_id", "dl"]
+    added = counted.join(parted, "doc_id", "left_semi").groupBy(*keys).agg(F.sum("tf").cast("int").alias("tf"), F.first("positions", True).alias("positions"))
+    return whole.unionByName(added)
 
 
 def doc_lengths(terms: DataFrame) -> DataFrame:
@@ -108,35 +143,56 @@ def field_stats(posted: DataFrame, documents: DataFrame, split_city: bool = Fals
 
 
 def write_index(
-    documents: DataFrame, path: str, positional: list[str] | None = None, split_city: bool = False
-) -> None:
-    """Replace the index at ``path``.
-
-    Postings are laid out by field and by document, and sorted by term inside each file: a
-    search reads only the fields it asks for, skips row groups without its terms, and finds
-    all terms of a document in one place, where its scores add up before any shuffle.
+    documents: DataFrame,
+    path: str,
+    positional: list[str] | None = None,
+    split_city: bool = False,
+    buckets: int | None = None,
+) -> str:
+    """Build an index of ``documents`` at ``path``; from its end on, it is the one that readers get. Returns its folder.
+
+    Postings lie in folders by field and bucket (a hash of the term) and are sorted by term in each
+    file: a search reads only the buckets of its terms.  Adaptive execution splits buckets that are large, as
+    those of common terms are, by documents, and joins small ones.
     """
     spark = documents.sparkSession
+    folder = f"build-{time.time_ns()}-{uuid.uuid4().hex[:8]}"
+    base = f"{path}/{folder}"
     # What documents are made of may be a long plan of joins; it runs once.
-    documents.write.mode("overwrite").parquet(f"{path}/documents")
-    documents = spark.read.parquet(f"{path}/documents")
-    (
-        postings(documents, positional, split_city)
-        .sortWithinPartitions("field", "term")
-        .write.mode("overwrite")
-        .partitionBy("field")
-        .parquet(f"{path}/postings")
-    )
-    posted = spark.read.parquet(f"{path}/postings")
-    term_stats(posted).write.mode("overwrite").partitionBy("field").parquet(f"{path}/term_stats")
-    field_stats(posted, documents, split_city).write.mode("overwrite").parquet(f"{path}/field_stats")
-
-
-def read_index(spark: SparkSession, path: str) -> Index:
+    documents.write.parquet(f"{base}/documents")
+    documents = spark.read.parquet(f"{base}/documents")
+    if buckets is None:
+        buckets = min(max(documents.count() // DOCS_PER_BUCKET, LEAST_BUCKETS), MOST_BUCKETS)
+
+    def laid_out(table: DataFrame, name: str, *order: str) -> None:
+        with_bucket = table.withColumn("bucket", bucket_of(F.col("term"), buckets))
+        dealt = with_bucket.hint("rebalance", "field", "bucket").sortWithinPartitions("field", "bucket", *order)
+        dealt.write.partitionBy("field", "bucket").parquet(f"{base}/{name}")
+
+    laid_out(postings(documents, positional, split_city), "postings", "term", "doc_id")
+    posted = spark.read.parquet(f"{base}/postings")
+    laid_out(term_stats(posted), "term_stats", "term")
+    field_stats(posted, documents, split_city).write.parquet(f"{base}/field_stats")
+    done = spark.createDataFrame([(time.time_ns(), folder, buckets)], "number long, folder string, buckets int")
+    done.coalesce(1).write.mode("append").parquet(f"{path}/versions")
+    return folder
+
+
+def versions(spark: SparkSession, path: str) -> DataFrame:
+    """Complete builds at ``path`` (number, folder, buckets); the largest number is the latest."""
+    return spark.read.schema("number long, folder string, buckets int").parquet(f"{path}/versions")
+
+
+def read_index(spark: SparkSession, path: str, folder: str | None = None) -> Index:
+    """The latest build at ``path``, or that of ``folder``."""
+    found = versions(spark, path)
+    chosen = (found if folder is None else found.where(F.col("folder") == folder)).orderBy(F.desc("number")).first()
+    if chosen is None:
+        raise ValueError(f"no complete index at {path}")
     documents, *others = [
-        spark.read.parquet(f"{path}/{t}") for t in ("documents", "postings", "term_stats", "field_stats")
+        spark.read.parquet(f"{path}/{chosen.folder}/{t}") for t in ("documents", "postings", "term_stats", "field_stats")
     ]
-    return Index(_shown(documents), *others)
+    return Index(_shown(documents), *others, buckets=chosen.buckets)
 
 
 def _shown(documents: DataFrame) -> DataFrame:

@@ -3,10 +3,18 @@
 A query is a list of tokens.  Each token is a group of alternatives (clauses): the term in
 each field, near terms, synonyms.  A document matches if all groups (or, with "or", any
 group) have a clause in it; its score is the sum over its clauses.
+
+What a token earns in a document is the same for every query that has it.  So a batch of queries
+reads the postings once, for its distinct clauses; the postings found are written down, added up by
+token and document, and everything else (which documents match, scores, phrases) comes from these tables.
+
+Scores are added as whole numbers of 1/UNIT, so that sums, and with them ranks, don't depend on their order.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -19,11 +27,12 @@ from placeweave.sources.scratch import scratch_path
 
 # Tokens of a query are the bits of one number; longer queries count their tokens instead.
 MASK_BITS = 62
-# Checking a document for a clause costs a shuffle, adding up a posting does not.
+# Checking a document for a token costs a shuffle, adding up a hit does not.
 CHECK_COST = 4
+UNIT = 10**12
 
 QUERY = ["query_id", "any_token", "n_tokens"]
-CLAUSE = [*QUERY, "ord", "kind", "clause", "n_terms", "field", "term", "weight", "clause_df"]
+CLAUSE = ["token", "kind", "clause", "n_terms", "field", "term", "weight", "clause_df"]
 
 
 def query_tokens(queries: DataFrame) -> DataFrame:
@@ -50,25 +59,25 @@ def _boosted(boosts: dict[str, float]) -> Column:
 
 
 def exact_clauses(tokens: DataFrame) -> DataFrame:
-    return tokens.select(
-        *QUERY, "ord", F.lit("exact").alias("kind"), F.col("token").alias("clause"), F.lit(1).alias("n_terms"),
+    return tokens.select("token").distinct().select(
+        "token", F.lit("exact").alias("kind"), F.col("token").alias("clause"), F.lit(1).alias("n_terms"),
         F.col("token").alias("term"), F.lit(None).cast("bigint").alias("clause_df"), F.inline(_boosted(fixed.FIELD_BOOSTS)),
     ).select(*CLAUSE)
 
 
 def fuzzy_clauses(tokens: DataFrame, vocabulary: DataFrame, k: int, most: int | None = None) -> DataFrame:
-    near = expansions(tokens, vocabulary, k, most)
-    return tokens.join(near, "token").select(
-        *QUERY, "ord", F.lit("fuzzy").alias("kind"), F.col("token").alias("clause"), F.lit(1).alias("n_terms"),
+    return expansions(tokens, vocabulary, k, most).select(
+        "token", F.lit("fuzzy").alias("kind"), F.col("token").alias("clause"), F.lit(1).alias("n_terms"),
         "field", "term", (F.lit(fixed.FUZZY_BOOST) * F.col("factor")).alias("weight"), "clause_df",
     )
 
 
 def synonym_clauses(tokens: DataFrame, synonyms: DataFrame) -> DataFrame:
     """Synonyms are analysed like any text; one of several words needs all of them in the field."""
-    found = tokens.join(synonyms, "token").withColumn("terms", F.array_distinct(analysed_terms(F.col("syn"))))
+    asked = tokens.select("token").distinct()
+    found = asked.join(synonyms, "token").withColumn("terms", F.array_distinct(analysed_terms(F.col("syn"))))
     return found.select(
-        *QUERY, "ord", F.lit("synonym").alias("kind"), F.col("syn").alias("clause"),
+        "token", F.lit("synonym").alias("kind"), F.col("syn").alias("clause"),
         F.size("terms").alias("n_terms"), F.explode("terms").alias("term"),
         F.lit(None).cast("bigint").alias("clause_df"), _boosted(fixed.SYNONYM_BOOSTS).alias("boosts"),
     ).select("*", F.inline("boosts")).select(*CLAUSE)
@@ -90,162 +99,193 @@ def spelling_clauses(tokens: DataFrame, index: Index, synonyms: DataFrame, most_
     return fuzzy_clauses(tokens, words, 2, most_near).unionByName(synonym_clauses(tokens, synonyms))
 
 
+def _length_norm() -> Column:
+    k1, b = fixed.BM25_K1, fixed.BM25_B
+    return k1 * (1 - b + b * F.col("dl") / F.col("avgdl"))
+
+
+def _units(score: Column) -> Column:
+    return F.floor(score * UNIT).cast("bigint")
+
+
+def _written(table: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(table.sparkSession, name)
+    table.write.parquet(path)
+    return table.sparkSession.read.schema(table.schema).parquet(path)
+
+
 def _with_idf(clauses: DataFrame, index: Index) -> DataFrame:
-    """Clauses whose term occurs at all, with what BM25 needs to know about term and field."""
-    stats = index.term_stats.select("field", "term", "df")
+    """Distinct clauses whose term occurs, with what BM25 needs to know about term and field, as a written table."""
+    stats = index.term_stats.select(*index.term_keys, "df")
     n, df = F.col("n_docs"), F.coalesce("clause_df", "df")
-    return (
-        clauses.join(stats, ["field", "term"])
-        .join(index.field_stats, "field")
+    found = (
+        stats.join(_for_lookup(index.with_bucket(clauses), index), index.term_keys)
+        .join(F.broadcast(index.field_stats), "field")  # one row for each field
         .withColumn("idf", F.log1p((n - df + 0.5) / (df + 0.5)))
         .drop("n_docs", "clause_df")
     )
+    return _written(found, "clauses")
 
 
-def _length_norm() -> Column:
-    k1, b = fixed.BM25_K1, fixed.BM25_B
-    return k1 * (1 - b + b * F.col("dl") / F.col("avgdl"))
+def _for_lookup(clauses: DataFrame, index: Index) -> DataFrame:
+    """Clauses to be joined with tables in buckets; the (true) condition lets Spark read the wanted buckets only."""
+    return clauses if index.buckets is None else clauses.where(F.col("bucket") >= 0)
 
 
-def planned_clauses(clauses: DataFrame, index: Index) -> DataFrame:
-    """Clauses of the queries that can match at all, as a written table with a ``way`` to score them.
+def fetched_postings(clauses: DataFrame, index: Index, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
+    """Documents with a clause's term and what it earns there, as a written table: the one reading of the postings.
 
-    Clauses are few next to postings and are asked for several times; once written, their
-    number is known too.  ``lead`` is the token of a query with the fewest postings.  A query
-    that needs all its tokens goes the way "lead" (look only at documents that have the lead)
-    if that touches fewer postings than simply adding up all of them, the way "all".
+    Few clauses (the number is known) travel to the postings, of which only their buckets are read.  Otherwise
+    both sides are shuffled and split, since nearly every document may have a common term.
     """
-    spark = clauses.sparkSession
-    path = scratch_path(spark, "clauses")
-    of_query, of_token = Window.partitionBy("query_id"), Window.partitionBy("query_id", "ord")
-    lead_df = F.col("rarest")["group_df"]
-    checks = lead_df * F.count("*").over(of_query)
-    led = (F.col("n_tokens") > MASK_BITS) | (checks * CHECK_COST < F.sum("df").over(of_query))
-    (
-        _with_idf(clauses, index)
-        .withColumn("group_df", F.sum("df").over(of_token))
-        .withColumn("rarest", F.min(F.struct("group_df", "ord")).over(of_query))
-        .withColumn("n_groups", F.size(F.collect_set("ord").over(of_query)))
-        .withColumn("way", F.when(F.col("any_token"), "any").when(led, "lead").otherwise("all"))
-        .where("any_token OR n_groups = n_tokens")
-        .withColumn("lead", F.col("rarest")["ord"])
-        .drop("df", "group_df", "n_groups", "rarest")
-        .write.parquet(path)
+    known = _with_idf(clauses, index)
+    keys = index.term_keys
+    if known.count() <= rows_per_slice:
+        hits = index.postings.join(F.broadcast(_for_lookup(known, index)), keys)
+    else:
+        hot = hot_keys(index.term_stats, keys, rows_per_slice, "_rn", count="df")
+        hits = split_hot_join(known, index.postings, keys, ["token", "clause"], ["doc_id"], rows_per_slice, right_hot=hot)
+    in_title = (F.col("kind") == "exact") & (F.col("field") == "title")
+    score = F.col("weight") * F.col("idf") * F.col("tf") / (F.col("tf") + _length_norm())
+    place = F.struct("positions", "idf", _length_norm().alias("norm"))
+    return _written(
+        hits.select("token", "clause", "field", "n_terms", "doc_id", _units(score).alias("units"), F.when(in_title, place).alias("place")),
+        "fetched",
     )
-    return spark.read.parquet(path)
 
 
-def clause_hits(clauses: DataFrame, n_clauses: int, index: Index, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
-    """Clauses with the documents that have their term.
+def token_hits(fetched: DataFrame) -> DataFrame:
+    """(token, doc_id, units): what all clauses of a token earn in a document.
 
-    Few clauses (the number is known) travel to the postings.  Otherwise both sides are
-    shuffled and split: nearly every document may have a common term and many queries may
-    ask for one.
+    A clause of several words counts if all are there.
     """
-    if n_clauses <= rows_per_slice:
-        return index.postings.join(F.broadcast(clauses), ["field", "term"])
-    hot = hot_keys(index.term_stats, ["field", "term"], rows_per_slice, "_rn", count="df")
-    return split_hot_join(
-        clauses, index.postings, ["field", "term"], ["query_id", "ord"], ["doc_id"], rows_per_slice, right_hot=hot
+    single = fetched.where("n_terms = 1").select("token", "doc_id", "units")
+    complete = (
+        fetched.where("n_terms > 1").groupBy("token", "doc_id", "clause", "field", "n_terms")
+        .agg(F.sum("units").alias("units"), F.count("*").alias("n")).where("n = n_terms")
     )
+    both = single.unionByName(complete.select("token", "doc_id", "units"))
+    return _written(both.groupBy("token", "doc_id").agg(F.sum("units").alias("units")), "token-hits")
 
 
-def _led_hits(clauses: DataFrame, n_clauses: int, index: Index, rows_per_slice: int) -> DataFrame:
-    """Hits in the documents that have the lead of their query."""
-    leading = clauses.where("ord = lead").select("query_id", "ord", "field", "term")
-    found = clause_hits(leading, n_clauses, index, rows_per_slice).select("query_id", "doc_id").distinct()
-    return _hits_in(found, clauses, n_clauses, index, rows_per_slice)
+@dataclass
+class Hits:
+    """Documents of tokens, and how many each token has (``df``; tokens without any are not in it)."""
 
+    rows: DataFrame
+    counts: DataFrame
 
-def _hits_in(found: DataFrame, clauses: DataFrame, n_clauses: int, index: Index, rows_per_slice: int) -> DataFrame:
-    """Hits of clauses in the documents found for their query (query_id, doc_id)."""
-    few = n_clauses <= rows_per_slice
-    wanted = clauses.select("field", "term").distinct()
-    asked = index.postings.join(F.broadcast(wanted) if few else wanted, ["field", "term"], "left_semi")
-    checks = found.join(F.broadcast(clauses) if few else clauses, "query_id")
-    return checks.join(asked, ["field", "term", "doc_id"])
+    def of(self, asked: DataFrame, n_asked: int, rows_per_slice: int) -> DataFrame:
+        """Rows of ``asked`` tokens with the documents; many queries may ask for a token that many documents have."""
+        if n_asked <= rows_per_slice:
+            return self.rows.join(F.broadcast(asked), "token")
+        hot = hot_keys(self.counts, ["token"], rows_per_slice, "_rn", count="df")
+        return split_hot_join(asked, self.rows, ["token"], ["query_id", "ord"], ["doc_id"], rows_per_slice, right_hot=hot)
 
+    def in_documents(self, found: DataFrame, asked: DataFrame, n_asked: int, rows_per_slice: int) -> DataFrame:
+        """Rows of the tokens of a query in the documents found for it (query_id, doc_id)."""
+        few = n_asked <= rows_per_slice
+        checks = found.join(F.broadcast(asked) if few else asked, "query_id")
+        wanted = asked.select("token").distinct()
+        rows = self.rows.join(F.broadcast(wanted) if few else wanted, "token", "left_semi")
+        return checks.join(rows, ["token", "doc_id"])
+
+
+def hits_of(rows: DataFrame) -> Hits:
+    return Hits(rows, _written(rows.groupBy("token").agg(F.count("*").alias("df")), "token-counts"))
 
-def _whole_clauses(hits: DataFrame, several: bool) -> DataFrame:
-    """One row per clause and document; a clause of several words counts if all are there."""
-    columns = [*QUERY, "doc_id", "ord", "score"]
-    single = hits.where("n_terms = 1").select(*columns)
-    if not several:
-        return single
-    complete = hits.where("n_terms > 1").groupBy(*QUERY, "doc_id", "ord", "clause", "field", "n_terms").agg(
-        F.sum("score").alias("score"), F.count("*").alias("n")
-    )
-    return single.unionByName(complete.where("n = n_terms").select(*columns))
 
+def planned_tokens(tokens: DataFrame, hits: Hits) -> DataFrame:
+    """Tokens of the queries that can match at all, as a written table with a ``way`` to find their documents.
 
-def _score() -> Column:
-    return F.col("weight") * F.col("idf") * F.col("tf") / (F.col("tf") + _length_norm())
+    ``lead`` is the token of a query with the fewest documents.  A query that needs all its tokens goes
+    the way "lead" (look only at documents that have the lead) if that touches fewer rows than
+    simply adding up all of them, the way "all".
+    """
+    of_query = Window.partitionBy("query_id")
+    rarest = F.col("rarest")
+    led = (F.col("n_tokens") > MASK_BITS) | (rarest["df"] * F.col("n_tokens") * CHECK_COST < F.sum("df").over(of_query))
+    planned = (
+        tokens.select(*QUERY, "ord", "token")
+        .join(hits.counts, "token")
+        .withColumn("rarest", F.min(F.struct("df", "ord")).over(of_query))
+        .withColumn("n_found", F.count("*").over(of_query))
+        .where("any_token OR n_found = n_tokens")
+        .withColumn("way", F.when(F.col("any_token"), "any").when(led, "lead").otherwise("all"))
+        .withColumn("lead", rarest["ord"])
+        .drop("df", "rarest", "n_found")
+    )
+    return _written(planned, "tokens")
 
 
 def combine(
-    clauses: DataFrame, index: Index, phrase: bool, rows_per_slice: int = ROWS_PER_SLICE
+    tokens: DataFrame, clauses: DataFrame, index: Index, phrase: bool, rows_per_slice: int = ROWS_PER_SLICE
 ) -> DataFrame:
-    """Matching documents of each query with their text score."""
-    planned = planned_clauses(clauses, index)
-    stats = {r["way"]: r for r in planned.groupBy("way").agg(F.count("*").alias("n"), F.max("n_terms").alias("terms")).collect()}
+    """Matching documents of each query with their text score. tokens: ``query_tokens``; clauses: of their distinct tokens."""
+    tokens = _written(tokens, "query-tokens")
+    fetched = fetched_postings(clauses, index, rows_per_slice)
+    hits = hits_of(token_hits(fetched))
+    planned = planned_tokens(tokens, hits)
+    sizes = {r["way"]: r["n"] for r in planned.groupBy("way").agg(F.count("*").alias("n")).collect()}
     of_document = ["query_id", "doc_id"]
     ways = []
-    for way, facts in stats.items():
-        wanted, n = planned.where(F.col("way") == way), facts["n"]
-        get = _led_hits if way == "lead" else clause_hits
-        hits = _whole_clauses(get(wanted, n, index, rows_per_slice).withColumn("score", _score()), facts["terms"] > 1)
+    for way, n in sizes.items():
+        asked = planned.where(F.col("way") == way).select("query_id", "n_tokens", "ord", "token", "lead")
         if way == "any":
-            matched = hits.groupBy(*of_document).agg(F.sum("score").alias("score"))
+            matched = hits.of(asked, n, rows_per_slice).groupBy(*of_document).agg(F.sum("units").alias("units"))
         elif way == "all":
             # Which tokens a document has is one bit each, so rows add up before they are shuffled.
             bit = F.expr("shiftleft(1L, ord)")
             matched = (
-                hits.groupBy(*of_document, "n_tokens")
-                .agg(F.sum("score").alias("score"), F.bit_or(bit).alias("tokens"))
-                .where(F.bit_count("tokens") == F.col("n_tokens"))
+                hits.of(asked, n, rows_per_slice)
+                .groupBy(*of_document, "n_tokens")
+                .agg(F.sum("units").alias("units"), F.bit_or(bit).alias("bits"))
+                .where(F.bit_count("bits") == F.col("n_tokens"))
             )
         else:
-            per_token = hits.repartition(*of_document).groupBy(*QUERY, "doc_id", "ord").agg(F.sum("score").alias("score"))
+            found = hits.of(asked.where("ord = lead"), n, rows_per_slice).select(*of_document)
             matched = (
-                per_token.groupBy(*of_document, "n_tokens")
-                .agg(F.sum("score").alias("score"), F.count("*").alias("n"))
+                hits.in_documents(found, asked, n, rows_per_slice)
+                .groupBy(*of_document, "n_tokens")
+                .agg(F.sum("units").alias("units"), F.count("*").alias("n"))
                 .where("n = n_tokens")
             )
-        ways.append(matched.select(*of_document, "score"))
+        ways.append(matched.select(*of_document, "units"))
     if not ways:
         return planned.select("query_id", F.lit(0).cast("bigint").alias("doc_id"), F.lit(0.0).alias("text_score"))
     matched = ways[0]
     for other in ways[1:]:
         matched = matched.unionByName(other)
     if phrase:
-        near = phrase_scores(planned, index, rows_per_slice)
-        matched = matched.join(near, of_document, "left").withColumn(
-            "score", F.col("score") + F.coalesce("phrase_score", F.lit(0.0))
+        matched = matched.join(phrase_scores(planned, fetched, rows_per_slice), of_document, "left").withColumn(
+            "units", F.col("units") + F.coalesce("phrase_units", F.lit(0))
         )
-    return matched.select(*of_document, F.round("score", 6).alias("text_score"))
+    return matched.select(*of_document, (F.col("units") / UNIT).alias("text_score"))
 
 
-def phrase_scores(planned: DataFrame, index: Index, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
+def phrase_scores(planned: DataFrame, fetched: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
     """What documents earn whose title has all words of a query close together."""
-    words = planned.where("kind = 'exact' AND field = 'title' AND n_tokens > 1")
-    complete = words.groupBy("query_id", "n_tokens").count().where("count = n_tokens").select("query_id")
-    words = words.join(complete, "query_id", "left_semi")
+    places = fetched.where("place IS NOT NULL").select("token", "doc_id", "place.*")
+    titles = hits_of(places)
+    words = planned.where("n_tokens > 1").join(titles.counts, "token")
+    words = words.withColumn("n_found", F.count("*").over(Window.partitionBy("query_id"))).where("n_found = n_tokens")
+    words = _written(words.select("query_id", "n_tokens", "ord", "token"), "phrase-words")
     n = words.count()
-    # Positions are fetched only where all words are; a title has one posting per word of the query.
+    # Positions are fetched only where all words are; a title has one row per word of the query.
     complete = (
-        clause_hits(words, n, index, rows_per_slice)
+        Hits(places.select("token", "doc_id"), titles.counts).of(words, n, rows_per_slice)
         .groupBy("query_id", "doc_id", "n_tokens")
         .agg(F.count("*").alias("n_found"))
         .where("n_found = n_tokens")
         .select("query_id", "doc_id")
     )
-    place = F.struct("ord", "positions", "idf", _length_norm().alias("norm"))
-    titles = (
-        _hits_in(complete, words, n, index, rows_per_slice)
+    place = F.struct("ord", "positions", "idf", "norm")
+    found = (
+        titles.in_documents(complete, words, n, rows_per_slice)
         .groupBy("query_id", "doc_id")
         .agg(F.sort_array(F.collect_list(place)).alias("places"))
     )
-    return titles.select("query_id", "doc_id", bind(F.col("places"), phrase_score).alias("phrase_score"))
+    return found.select("query_id", "doc_id", _units(bind(F.col("places"), phrase_score)).alias("phrase_units"))
 
 
 def phrase_frequency(places: Column, slop: int = fixed.PHRASE_SLOP) -> Column:
@@ -306,9 +346,8 @@ def candidates(
 ) -> DataFrame:
     """The best documents of each query by text score, without a second try."""
     tokens = query_tokens(queries)
-    return top_hits(
-        combine(standard_clauses(tokens, index, synonyms, most_near), index, True, rows_per_slice), "text_score", n
-    ).drop("rank")
+    clauses = standard_clauses(tokens, index, synonyms, most_near)
+    return top_hits(combine(tokens, clauses, index, True, rows_per_slice), "text_score", n).drop("rank")
 
 
 def respelled_candidates(
@@ -321,9 +360,8 @@ def respelled_candidates(
 ) -> DataFrame:
     """The best documents when every token may be misspelt by up to two letters."""
     tokens = query_tokens(queries)
-    return top_hits(
-        combine(spelling_clauses(tokens, index, synonyms, most_near), index, False, rows_per_slice), "text_score", n
-    ).drop("rank")
+    clauses = spelling_clauses(tokens, index, synonyms, most_near)
+    return top_hits(combine(tokens, clauses, index, False, rows_per_slice), "text_score", n).drop("rank")
 
 
 def candidates_with_fallback(
@@ -360,7 +398,7 @@ def rerank(found: DataFrame, docs: DataFrame, n: int = fixed.PAGE_SIZE) -> DataF
         F.coalesce("url", F.lit("#")).alias("url"),
         "architect", "style",
         rating.alias("rating"), reviews.alias("reviews"),
-        F.round(F.col("text_score") * popularity * quality, 8).alias("final_score"),
+        (F.col("text_score") * popularity * quality).alias("final_score"),
     )
     return top_hits(shown, "final_score", n)
 

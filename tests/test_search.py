@@ -77,6 +77,44 @@ def test_modes(spark, index):
     assert rows["both"][0].reviews == 1000 and rows["far"][0].reviews == 0 and rows["far"][0].rating == 0
 
 
+def test_only_buckets_of_the_terms_are_read(spark, index, capsys):
+    tokens = search.query_tokens(spark.createDataFrame([("q", "flamenco show")], QUERY))
+    known = search._with_idf(search.exact_clauses(tokens), index)
+    hits = index.postings.join(F.broadcast(search._for_lookup(known, index)), index.term_keys)
+    hits.explain("formatted")
+    plan = capsys.readouterr().out
+    filters = [line for line in plan.splitlines() if "PartitionFilters" in line and "dynamicpruning" in line]
+    assert any("field" in line and "bucket" in line for line in filters)
+    assert "Exchange hashpartitioning" not in plan
+
+
+def test_readers_see_whole_builds_only(spark, tmp_path):
+    rows = lambda n: spark.createDataFrame([(k, f"word{k} tour", "text", "", None, f"u{k}", None, None, None, None) for k in range(n)], "doc_id long, title string, click_text string, wiki_text string, city string, url string, architect string, style string, rating double, review_count long")
+    path = str(tmp_path / "index")
+    first = inverted.write_index(rows(3), path)
+    opened = inverted.read_index(spark, path)
+    broken = rows(5).withColumn("title", F.raise_error(F.lit("lost")).cast("string"))
+    with pytest.raises(Exception, match="lost"):
+        inverted.write_index(broken, path)
+    assert inverted.read_index(spark, path).docs.count() == 3
+    second = inverted.write_index(rows(7), path, buckets=3)
+    latest = inverted.read_index(spark, path)
+    assert latest.docs.count() == 7 and latest.buckets == 3 and opened.docs.count() == 3
+    assert opened.postings.where("field = 'title' AND term = 'tour'").count() == 3
+    assert inverted.read_index(spark, path, first).docs.count() == 3 and first != second
+    with pytest.raises(ValueError):
+        inverted.read_index(spark, path, "none")
+
+
+def test_terms_counted_within_a_row(spark):
+    rng = random.Random(5)
+    lists = [[rng.choice("abcdé") for _ in range(rng.randint(1, 40))] for _ in range(50)]
+    df = spark.createDataFrame([(k, x) for k, x in enumerate(lists)], "k int, terms array<string>")
+    got = {r.k: {(t.term, t.tf, tuple(t.positions)) for t in r.c} for r in df.select("k", inverted.counted_terms(F.col("terms"), F.lit(True)).alias("c")).collect()}
+    for k, x in enumerate(lists):
+        assert got[k] == {(t, x.count(t), tuple(i for i, y in enumerate(x) if y == t)) for t in x}
+
+
 def test_any_token_never_loses_hits(spark, index):
     got, _ = urls(spark, index, one="barcelona or show", two="barcelona or show or paris")
     assert set(got["one"]) <= set(got["two"])
@@ -103,8 +141,9 @@ def test_ways_agree(spark, index, monkeypatch):
     for bits, cost, slice_rows in ((62, 4, 200_000), (0, 4, 200_000), (62, 0, 1), (62, 1e9, 1)):
         monkeypatch.setattr(search, "MASK_BITS", bits)
         monkeypatch.setattr(search, "CHECK_COST", cost)
-        clauses = search.standard_clauses(search.query_tokens(queries), index, search.synonym_table(spark))
-        results.append(sorted(map(tuple, search.combine(clauses, index, True, slice_rows).collect())))
+        tokens = search.query_tokens(queries)
+        clauses = search.standard_clauses(tokens, index, search.synonym_table(spark))
+        results.append(sorted(map(tuple, search.combine(tokens, clauses, index, True, slice_rows).collect())))
     assert results[0] == results[1] == results[2] == results[3] and results[0]
 
 
