@@ -273,7 +273,7 @@ FROM ranked GROUP BY crawler_url"""
 
 @query(NESTED_SQL.replace("{order}", "md5(string_agg(wiki_title, ',' ORDER BY rn))"))
 def nested_matches(spark, sf):
-    nested = enrich.nest(pairs(spark, sf), wiki_pages(spark, sf), per_row=1_000_000)
+    nested = enrich.nest(pairs(spark, sf), wiki_pages(spark, sf))
     return nested.select(
         "url", F.size("matches").cast("bigint").alias("n_matches"), F.col("primary_match.wiki_title").alias("primary_title"),
         F.col("primary_match.wiki_style").alias("primary_style"), "first_style", "first_city",
@@ -283,14 +283,14 @@ def nested_matches(spark, sf):
 
 @query(NESTED_SQL.replace("{order}", "md5(string_agg(wiki_title, ',' ORDER BY wiki_title))"))
 def nested_matches_in_parts(spark, sf):
-    """Activities cut into parts of about five matches hold the same matches."""
-    nested = enrich.nest(pairs(spark, sf), wiki_pages(spark, sf), per_row=5)
-    heads = nested.where("part = 0").select(
+    """The long table of ranked matches, of which the nested view is made, holds the same matches."""
+    matches = enrich.matches(pairs(spark, sf), wiki_pages(spark, sf))
+    heads = linkage.match_facts(matches).select(
         "url", F.col("primary_match.wiki_title").alias("primary_title"),
         F.col("primary_match.wiki_style").alias("primary_style"), "first_style", "first_city",
     )
-    titles = nested.select("url", F.explode("matches").alias("m")).groupBy("url").agg(
-        F.count("*").alias("n_matches"), F.md5(F.array_join(F.array_sort(F.collect_list("m.wiki_title")), ",")).alias("titles")
+    titles = matches.groupBy("url").agg(
+        F.max("rank").alias("n_matches"), F.md5(F.array_join(F.array_sort(F.collect_list("wiki_title")), ",")).alias("titles")
     )
     return heads.join(titles, "url")
 

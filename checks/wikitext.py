@@ -237,3 +237,20 @@ def wiki_stream(spark, sf):
         wiki_xml.write_pages(chunk, f"{base}/chunks", mode="append")
         extract_new_chunks(spark, f"{base}/chunks", f"{base}/records", f"{base}/checkpoint").awaitTermination()
     return flat_records(good_records(read_jsonl(spark, f"{base}/records", WIKI_PAGE)))
+
+
+@query(
+    f"""WITH r AS ({RECORDS_SQL.replace("SELECT doc_id, md5(title)", "SELECT md5(title)") + " WHERE title <> ''"})
+    SELECT 1 AS run, 0::BIGINT AS n_records UNION ALL SELECT 2, count(*) FROM r UNION ALL SELECT 3, count(*) FROM r"""
+)
+def wiki_stream_empty_chunk(spark, sf):
+    """Records there are after a chunk without any, after one with all, and after a run without a new chunk."""
+    base = scratch_path(spark, "stream")
+    pages, counts = wikitext(spark, sf), []
+    for chunk in (pages.withColumn("title", F.lit("")), pages, None):
+        if chunk is not None:
+            wiki_xml.write_pages(chunk, f"{base}/chunks", mode="append")
+        extract_new_chunks(spark, f"{base}/chunks", f"{base}/records", f"{base}/checkpoint").awaitTermination()
+        records = good_records(read_jsonl(spark, f"{base}/records", WIKI_PAGE))
+        counts.append(records.agg(F.lit(len(counts) + 1).alias("run"), F.count("*").alias("n_records")).collect()[0])
+    return spark.createDataFrame(counts, "run int, n_records long")

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placeweave.operators.skew import ROWS_PER_SLICE, hot_keys, split_hot_join
+from placeweave.operators.order import ranked
 
 
 def judge_hits(hits: DataFrame, judgments: DataFrame) -> DataFrame:
@@ -16,31 +16,20 @@ def judge_hits(hits: DataFrame, judgments: DataFrame) -> DataFrame:
     )
 
 
-def ndcg(judged: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
+def ndcg(judged: DataFrame) -> DataFrame:
     """DCG, ideal DCG and NDCG in percent for each query; ranks count 1, 2, 3, ...
 
-    Relevance is graded, so the ideal order of a query is fully described by the number of
-    hits per grade: hits of one grade fill a run of ranks.  Looking up the run a rank falls
-    in gives its ideal relevance, and no query's hits have to be sorted in one task.
+    The ideal rank of a hit is its place by relevance, which may be any number, among the hits of its query;
+    hits are sorted over all tasks, so those of one query need not fit into one.
     """
-    grades = judged.groupBy("query_id", "relevance").agg(F.count("*").alias("n"))
-    better = Window.partitionBy("query_id").orderBy(F.desc("relevance"))
-    runs = (
-        grades.withColumn("last", F.sum("n").over(better))
-        .groupBy("query_id")
+    discount = lambda rank: F.log2(F.col(rank) + 1)
+    best_first = ranked(judged.select("query_id", "rank", "relevance"), "query_id", [F.desc("relevance")], "ideal")
+    return (
+        best_first.groupBy("query_id")
         .agg(
-            F.sum("n").alias("n_hits"),
-            F.sort_array(F.collect_list(F.struct("last", F.col("relevance").alias("ideal")))).alias("runs"),
+            F.count("*").alias("n_hits"),
+            F.sum(F.col("relevance") / discount("rank")).alias("dcg"),
+            F.sum(F.col("relevance") / discount("ideal")).alias("idcg"),
         )
-    )
-    hot = hot_keys(judged.groupBy("query_id").count(), ["query_id"], rows_per_slice, "_ln")
-    none = hot.where("false").select("query_id", F.lit(1).alias("_rn"))
-    ranked = split_hot_join(
-        judged, runs, ["query_id"], ["rank"], ["query_id"], left_hot=hot, right_hot=none
-    ).withColumn("ideal", F.get(F.filter("runs", lambda r: r["last"] >= F.col("rank")), F.lit(0))["ideal"])
-    discount = F.log2(F.col("rank") + 1)
-    return (
-        ranked.groupBy("query_id", "n_hits")
-        .agg(F.sum(F.col("relevance") / discount).alias("dcg"), F.sum(F.col("ideal") / discount).alias("idcg"))
         .withColumn("ndcg", F.when(F.col("idcg") > 0, 100 * F.col("dcg") / F.col("idcg")).otherwise(F.lit(0.0)))
     )

@@ -16,7 +16,8 @@ import time
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from placeweave.functions.text import ANALYSED_WORD, analysed_terms, bind
@@ -52,25 +53,13 @@ def bucket_of(term: Column, buckets: int) -> Column:
 def field_terms(documents: DataFrame, split_city: bool = False, only: list[str] | None = None) -> DataFrame:
     """Terms of each field of a document in text order, and the field's length; an empty field has no row.
 
-    The city is one term as it stands, or its words with ``split_city``.  A document whose
-    matches came in several parts has one row per part, all with the length of the whole.
+    The city is one term as it stands, or its words with ``split_city``.
     """
     city = analysed_terms(F.col("city")) if split_city else F.filter(F.array("city"), lambda c: c != "")
-    terms = {f: analysed_terms(F.col(f)) for f in TEXT_FIELDS} | {"city": city}
+    terms = {f: analysed_terms(F.col(f)) for f in TEXT_FIELDS if f in documents.columns} | {"city": city}
     fields = [F.struct(F.lit(f).alias("field"), t.alias("terms")) for f, t in terms.items() if only is None or f in only]
-    n_parts = F.col("n_parts") if "n_parts" in documents.columns else F.lit(1)
-    rows = (
-        documents.select("doc_id", n_parts.alias("n_parts"), F.inline(F.array(*fields)))
-        .where(F.size("terms") > 0)
-        .withColumn("dl", F.size("terms"))
-    )
-    columns = ["doc_id", "field", "terms", "dl"]
-    if "n_parts" not in documents.columns:
-        return rows.select(*columns)
-    parted = rows.where("n_parts > 1")
-    whole = parted.groupBy("doc_id", "field").agg(F.sum("dl").cast("int").alias("total"))
-    parted = parted.join(whole, ["doc_id", "field"]).withColumn("dl", F.col("total"))
-    return rows.where("n_parts = 1").select(*columns).unionByName(parted.select(*columns))
+    rows = documents.select("doc_id", F.inline(F.array(*fields))).where(F.size("terms") > 0)
+    return rows.select("doc_id", "field", "terms", F.size("terms").alias("dl"))
 
 
 def counted_terms(terms: Column, with_positions: Column) -> Column:
@@ -95,25 +84,39 @@ def counted_terms(terms: Column, with_positions: Column) -> Column:
     return bind(placed, runs)
 
 
-def postings(documents: DataFrame, positional: list[str] | None = None, split_city: bool = False) -> DataFrame:
+def postings(
+    documents: DataFrame, positional: list[str] | None = None, split_city: bool = False, pieces: DataFrame | None = None
+) -> DataFrame:
     """One row per field, term and document: field, term, doc_id, dl, tf, positions.
 
     They are made within the row of a document, so texts are not shuffled. Positions are kept for the
-    ``positional`` fields, the ones phrases look at.  A document whose matches came in several
-    parts has the terms of its parts added up; positions are of its first part alone.
+    ``positional`` fields, the ones phrases look at.  The text of a matched page may come in ``pieces``
+    (doc_id, rank, wiki_text) instead of a column.
     """
     positional = ["title"] if positional is None else positional
     terms = field_terms(documents, split_city)
+    columns = ["field", "term", "doc_id", "dl", "tf", "positions"]
     counted = terms.select(
         "field", "doc_id", "dl", F.inline(counted_terms(F.col("terms"), F.col("field").isin(positional)))
-    ).select("field", "term", "doc_id", "dl", "tf", "positions")
-    if "n_parts" not in documents.columns:
+    ).select(*columns)
+    if pieces is None:
         return counted
-    parted = documents.where("n_parts > 1").select("doc_id").distinct()
-    whole = counted.join(parted, "doc_id", "left_anti")
-    keys = ["field", "term", "doc_id", "dl"]
-    added = counted.join(parted, "doc_id", "left_semi").groupBy(*keys).agg(F.sum("tf").cast("int").alias("tf"), F.first("positions", True).alias("positions"))
-    return whole.unionByName(added)
+    return counted.unionByName(_postings_of_pieces(pieces, "wiki_text" in positional).select(*columns))
+
+
+def _postings_of_pieces(pieces: DataFrame, positional: bool) -> DataFrame:
+    """Postings of a field that comes in pieces: counts add up, and places go on from piece to piece."""
+    terms = pieces.select("doc_id", "rank", analysed_terms(F.col("wiki_text")).alias("terms")).where(F.size("terms") > 0)
+    before = F.lit(0)
+    if positional:
+        earlier = Window.partitionBy("doc_id").orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
+        terms = terms.withColumn("before", F.coalesce(F.sum(F.size("terms")).over(earlier), F.lit(0)).cast("int"))
+        before = F.col("before")
+    counted = terms.select("doc_id", before.alias("before"), F.inline(counted_terms(F.col("terms"), F.lit(positional))))
+    places = F.sort_array(F.flatten(F.collect_list(F.transform("positions", lambda p: p + F.col("before"))))) if positional else F.lit(None).cast("array<int>")
+    added = counted.groupBy("doc_id", "term").agg(F.sum("tf").cast("int").alias("tf"), places.alias("positions"))
+    lengths = terms.groupBy("doc_id").agg(F.sum(F.size("terms")).cast("int").alias("dl"))
+    return added.join(lengths, "doc_id").withColumn("field", F.lit("wiki_text"))
 
 
 def doc_lengths(terms: DataFrame) -> DataFrame:
@@ -124,20 +127,21 @@ def term_stats(posted: DataFrame) -> DataFrame:
     return posted.groupBy("field", "term").agg(F.count("*").alias("df"))
 
 
-def field_stats(posted: DataFrame, documents: DataFrame, split_city: bool = False) -> DataFrame:
+def field_stats(posted: DataFrame, documents: DataFrame, split_city: bool = False, pieces: DataFrame | None = None) -> DataFrame:
     """Documents that have the field and its mean length in them.
 
     Term frequencies add up to the lengths, and whether a document has a field shows in its
-    text, so neither number needs a grouping by document.
+    text, so neither number needs a grouping by document (but for a field in pieces).
     """
-    has = {f: F.col(f).rlike(ANALYSED_WORD) for f in TEXT_FIELDS}
+    has = {f: F.col(f).rlike(ANALYSED_WORD) for f in TEXT_FIELDS if f in documents.columns}
     has["city"] = F.col("city").rlike(ANALYSED_WORD) if split_city else F.col("city") != ""
-    counts = documents.agg(*[F.count_distinct(F.when(c, F.col("doc_id"))).alias(f) for f, c in has.items()]) if (
-        "n_parts" in documents.columns
-    ) else documents.agg(*[F.count_if(c).alias(f) for f, c in has.items()])
+    counts = documents.agg(*[F.count_if(c).alias(f) for f, c in has.items()])
     n_docs = counts.select(
         F.inline(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("n_docs")) for f in has]))
     )
+    if pieces is not None:
+        with_text = pieces.where(F.col("wiki_text").rlike(ANALYSED_WORD))
+        n_docs = n_docs.unionByName(with_text.agg(F.count_distinct("doc_id").alias("n_docs")).select(F.lit("wiki_text").alias("field"), "n_docs"))
     lengths = posted.groupBy("field").agg(F.sum("tf").alias("n_terms"))
     return lengths.join(n_docs, "field").select("field", "n_docs", (F.col("n_terms") / F.col("n_docs")).alias("avgdl"))
 
@@ -148,9 +152,14 @@ def write_index(
     positional: list[str] | None = None,
     split_city: bool = False,
     buckets: int | None = None,
+    pieces: DataFrame | None = None,
+    numbers: DataFrame | None = None,
 ) -> str:
     """Build an index of ``documents`` at ``path``; from its end on, it is the one that readers get. Returns its folder.
 
+    ``pieces``: texts of matched pages, if documents have no column of them. ``numbers``: what the documents'
+    numbers stand for, kept beside the index for the next build.
+
     Postings lie in folders by field and bucket (a hash of the term) and are sorted by term in each
     file: a search reads only the buckets of its terms.  Adaptive execution splits buckets that are large, as
     those of common terms are, by documents, and joins small ones.
@@ -161,6 +170,11 @@ def write_index(
     # What documents are made of may be a long plan of joins; it runs once.
     documents.write.parquet(f"{base}/documents")
     documents = spark.read.parquet(f"{base}/documents")
+    if pieces is not None:
+        pieces.write.parquet(f"{base}/pieces")
+        pieces = spark.read.parquet(f"{base}/pieces")
+    if numbers is not None:
+        numbers.write.parquet(f"{base}/numbers")
     if buckets is None:
         buckets = min(max(documents.count() // DOCS_PER_BUCKET, LEAST_BUCKETS), MOST_BUCKETS)
 
@@ -169,10 +183,10 @@ def write_index(
         dealt = with_bucket.hint("rebalance", "field", "bucket").sortWithinPartitions("field", "bucket", *order)
         dealt.write.partitionBy("field", "bucket").parquet(f"{base}/{name}")
 
-    laid_out(postings(documents, positional, split_city), "postings", "term", "doc_id")
+    laid_out(postings(documents, positional, split_city, pieces), "postings", "term", "doc_id")
     posted = spark.read.parquet(f"{base}/postings")
     laid_out(term_stats(posted), "term_stats", "term")
-    field_stats(posted, documents, split_city).write.parquet(f"{base}/field_stats")
+    field_stats(posted, documents, split_city, pieces).write.parquet(f"{base}/field_stats")
     done = spark.createDataFrame([(time.time_ns(), folder, buckets)], "number long, folder string, buckets int")
     done.coalesce(1).write.mode("append").parquet(f"{path}/versions")
     return folder
@@ -183,24 +197,37 @@ def versions(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("number long, folder string, buckets int").parquet(f"{path}/versions")
 
 
+def latest(spark: SparkSession, path: str, folder: str | None = None) -> Row | None:
+    """The row of ``versions`` with the largest number, or that of ``folder``."""
+    try:
+        found = versions(spark, path)
+        return (found if folder is None else found.where(F.col("folder") == folder)).orderBy(F.desc("number")).first()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def read_numbers(spark: SparkSession, path: str) -> DataFrame | None:
+    """Numbers of documents of the latest build, None before the first."""
+    chosen = latest(spark, path)
+    return chosen and spark.read.parquet(f"{path}/{chosen.folder}/numbers")
+
+
 def read_index(spark: SparkSession, path: str, folder: str | None = None) -> Index:
     """The latest build at ``path``, or that of ``folder``."""
-    found = versions(spark, path)
-    chosen = (found if folder is None else found.where(F.col("folder") == folder)).orderBy(F.desc("number")).first()
+    chosen = latest(spark, path, folder)
     if chosen is None:
         raise ValueError(f"no complete index at {path}")
     documents, *others = [
         spark.read.parquet(f"{path}/{chosen.folder}/{t}") for t in ("documents", "postings", "term_stats", "field_stats")
     ]
-    return Index(_shown(documents), *others, buckets=chosen.buckets)
-
-
-def _shown(documents: DataFrame) -> DataFrame:
-    one_each = documents.where("part = 0") if "part" in documents.columns else documents
-    return one_each.select(*SHOWN)
+    return Index(documents.select(*SHOWN), *others, buckets=chosen.buckets)
 
 
-def in_memory_index(documents: DataFrame, positional: list[str] | None = None, split_city: bool = False) -> Index:
+def in_memory_index(
+    documents: DataFrame, positional: list[str] | None = None, split_city: bool = False, pieces: DataFrame | None = None
+) -> Index:
     """The same tables as plans, for small inputs and tests."""
-    posted = postings(documents, positional, split_city)
-    return Index(_shown(documents), posted, term_stats(posted), field_stats(posted, documents, split_city))
+    posted = postings(documents, positional, split_city, pieces)
+    return Index(documents.select(*SHOWN), posted, term_stats(posted), field_stats(posted, documents, split_city, pieces))

@@ -12,8 +12,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from placeweave.functions import text as T
+from placeweave.operators.order import ranked
 from placeweave.operators.skew import ROWS_PER_SLICE, hot_keys, split_hot_join, split_hot_lookup
 from placeweave.sources.scratch import scratch_path
+from placeweave.sources.tables import evened
 
 CITY_PAGE_TOKEN = ""  # no tokeniser yields it, so it can stand for "whatever the name says"
 
@@ -21,8 +23,9 @@ CITY_PAGE_TOKEN = ""  # no tokeniser yields it, so it can stand for "whatever th
 def _pairs_at_first_shared(
     c: DataFrame, w: DataFrame, c_keys: Column, w_keys: Column, rows_per_slice: int
 ) -> DataFrame:
-    left = c.withColumn("keys_c", F.array_distinct(c_keys)).withColumn("token", F.explode("keys_c"))
-    right = w.withColumn("keys_w", F.array_distinct(w_keys)).withColumn("token", F.explode("keys_w"))
+    # Written, so that the inputs are read and cut into tokens once; the join counts its keys before it is done.
+    left = evened(written(c.withColumn("keys_c", F.array_distinct(c_keys)), "activities")).withColumn("token", F.explode("keys_c"))
+    right = evened(written(w.withColumn("keys_w", F.array_distinct(w_keys)), "pages")).withColumn("token", F.explode("keys_w"))
     joined = split_hot_join(
         left, right, ["city_norm", "token"], ["crawler_url"], ["wiki_url"], rows_per_slice
     )
@@ -33,11 +36,11 @@ def _overlap(a: str, b: str) -> Column:
     return F.size(F.array_intersect(a, b))
 
 
-def written(pairs: DataFrame) -> DataFrame:
-    """Pairs as a written table, for steps that look at them more than once."""
-    path = scratch_path(pairs.sparkSession, "pairs")
-    pairs.write.parquet(path)
-    return pairs.sparkSession.read.parquet(path)
+def written(table: DataFrame, name: str = "pairs") -> DataFrame:
+    """A written table, for steps that look at it more than once."""
+    path = scratch_path(table.sparkSession, name)
+    table.write.parquet(path)
+    return table.sparkSession.read.schema(table.schema).parquet(path)
 
 
 def attach(
@@ -76,63 +79,77 @@ def link_v1(activities: DataFrame, pages: DataFrame, rows_per_slice: int = ROWS_
     )
 
 
+def _classes(rows: DataFrame, number: str) -> tuple[DataFrame, DataFrame]:
+    """Rows with equal keys and tokens as one class: (classes with ``number``, ``keys``, ``names``, ``texts``; ``number`` with each row's columns).
+
+    Rows are read and cut into tokens once. A class is told by a digest of its content, counted
+    before the shuffle however many rows it has, and numbered for the joins that follow.
+    """
+    content = ["keys", "names", "texts"]
+    digest = F.unhex(F.sha2(F.to_json(F.struct(*content)), 256))
+    rows = written(rows.withColumn("digest", digest), "rows")
+    # min, not first: content is the same in all rows of a class
+    classes = rows.groupBy("digest").agg(*[F.min(c).alias(c) for c in content])
+    classes = written(classes.withColumn(number, F.monotonically_increasing_id()), "classes")
+    members = rows.drop(*content).join(classes.select("digest", number), "digest").drop("digest")
+    return classes.drop("digest"), members
+
+
 def link_v2(activities: DataFrame, pages: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
     """City key equal to the page's key or to one of its candidate keys, and at least one shared
     name token or two shared description tokens.
 
-    Description texts are long, so only ids travel through the join and shared tokens are counted.
-    Rows count, not urls: of rows with one url each is compared by itself, and equal rows, which
-    are compared once, give equal pairs.
+    Classes of rows with the same keys and tokens are compared, and rows attached last.
+    Description texts are long, so only numbers of classes travel through the join and shared
+    tokens are counted.  Rows count, not urls: of rows with one url each is compared by itself.
     """
-    activities = activities.withColumn("c_row", F.xxhash64("name", "city", "description", "highlights"))
-    pages = pages.withColumn("w_row", F.xxhash64("title", "type", "geo_parent", "abstract"))
-    c = activities.dropDuplicates(["url", "c_row"]).select(
-        F.col("url").alias("crawler_url"),
-        "c_row",
-        T.ascii_key(F.col("city")).alias("city_norm"),
-        F.array_distinct(T.split_tokens(F.col("name"))).alias("names"),
-        F.array_distinct(T.split_tokens(T.description_text(F.col("description"), F.col("highlights")))).alias("texts"),
+    c_classes, c_rows = _classes(
+        activities.select(
+            F.col("url").alias("crawler_url"),
+            F.col("name").alias("crawler_name"),
+            "city",
+            F.array(T.ascii_key(F.col("city"))).alias("keys"),
+            F.array_sort(F.array_distinct(T.split_tokens(F.col("name")))).alias("names"),
+            F.array_sort(F.array_distinct(T.split_tokens(T.description_text(F.col("description"), F.col("highlights"))))).alias("texts"),
+        ),
+        "c",
     )
-    w = pages.dropDuplicates(["url", "w_row"]).select(
-        F.col("url").alias("wiki_url"),
-        "w_row",
-        F.explode(
-            F.array_union(
+    w_classes, w_rows = _classes(
+        pages.select(
+            F.col("url").alias("wiki_url"),
+            F.col("title").alias("wiki_title"),
+            F.col("type").alias("wiki_type"),
+            F.array_sort(F.array_union(
                 F.array(T.ascii_key(T.geo_parent_at(F.col("geo_parent")))),
                 T.candidate_keys(F.col("geo_parent")),
-            )
-        ).alias("city_norm"),
-        F.array_distinct(T.split_tokens(F.col("title"))).alias("names"),
-        F.array_distinct(T.split_tokens(F.col("abstract"))).alias("texts"),
+            )).alias("keys"),
+            F.array_sort(F.array_distinct(T.split_tokens(F.col("title")))).alias("names"),
+            F.array_sort(F.array_distinct(T.split_tokens(F.col("abstract")))).alias("texts"),
+        ),
+        "w",
     )
 
-    def tokens(df: DataFrame, *ids: str) -> DataFrame:
+    def tokens(classes: DataFrame, number: str) -> DataFrame:
         tagged = F.concat(
             F.transform("names", lambda t: F.struct(F.lit(True).alias("in_name"), t.alias("token"))),
             F.transform("texts", lambda t: F.struct(F.lit(False).alias("in_name"), t.alias("token"))),
         )
-        return df.select(*ids, "city_norm", F.inline(tagged))
+        tagged = classes.select(number, "keys", F.inline(tagged))
+        return tagged.select(number, F.explode("keys").alias("city_norm"), "in_name", "token")
 
     shared = split_hot_join(
-        tokens(c, "crawler_url", "c_row"), tokens(w, "wiki_url", "w_row"), ["city_norm", "in_name", "token"],
-        ["crawler_url", "c_row"], ["wiki_url", "w_row"], rows_per_slice,
+        tokens(c_classes, "c"), tokens(w_classes, "w"), ["city_norm", "in_name", "token"], ["c"], ["w"], rows_per_slice
     )
     counted = (
-        shared.groupBy("crawler_url", "c_row", "wiki_url", "w_row")
+        shared.groupBy("c", "w")
         .agg(
             F.count_if("in_name").cast("int").alias("overlap_name"),
             F.count_if(~F.col("in_name")).cast("int").alias("overlap_desc"),
         )
         .where("overlap_name >= 1 OR overlap_desc >= 2")
     )
-    pairs = written(counted)
-    names = activities.select(F.col("url").alias("crawler_url"), "c_row", F.col("name").alias("crawler_name"), "city")
-    titles = pages.select(
-        F.col("url").alias("wiki_url"), "w_row", F.col("title").alias("wiki_title"), F.col("type").alias("wiki_type")
-    )
-    named = attach(pairs, names, "crawler_url", rows_per_slice, "c_row")
-    named = attach(named, titles, "wiki_url", rows_per_slice, "w_row")
-    return named.select(
+    # Plain equi-joins of large inputs: adaptive execution splits numbers with many pairs on either side.
+    return counted.join(c_rows, "c").join(w_rows, "w").select(
         "crawler_url", "crawler_name", "city", "wiki_title", "wiki_url", "wiki_type", "overlap_name", "overlap_desc"
     )
 
@@ -230,57 +247,40 @@ def match_details(pairs: DataFrame, pages: DataFrame) -> DataFrame:
     return attach(pairs, facts, "wiki_url")
 
 
-def nest_matches(details: DataFrame, per_row: int = 1000) -> DataFrame:
-    """Matches of each activity as an array in order of preference, with the best one apart.
+MATCH_FIELDS = ["wiki_title", "wiki_type", "wiki_abstract", "wiki_architect", "wiki_style"]
+
+
+def ranked_matches(details: DataFrame) -> DataFrame:
+    """The matches of each activity, one row each: url, rank (1 is the best), MATCH_FIELDS.
 
-    An activity with more than about ``per_row`` matches comes out as several rows (``part``
-    of ``n_parts``), so no task has to hold an unbounded group and no match is left out.
-    ``first_architect``, ``first_style`` and ``first_city`` are found over all parts.
+    This is the form for any number of matches; ``nest_matches`` and ``match_facts`` are made of it.
     """
-    match = F.struct("wiki_title", "wiki_type", "wiki_abstract", "wiki_architect", "wiki_style")
-    preferred = F.struct(*_preference(), match.alias("match"))
+    rows = details.select(F.col("crawler_url").alias("url"), *_preference(), F.struct(*MATCH_FIELDS).alias("match"))
+    order = ["fallback", "minus_score", "wiki_url", "match"]  # the last one for pages whose rows repeat
+    return ranked(rows, "url", order, "rank").select("url", "rank", "match.*")
 
-    # Only activities too large for one row need their head found beforehand.
-    counts = details.groupBy("crawler_url").agg(F.ceil(F.count("*") / per_row).cast("int").alias("n_parts"))
-    large = counts.where("n_parts > 1")
 
-    def least(wanted: Column) -> Column:
-        return F.min(F.when(wanted, preferred))["match"]
+def match_facts(matches: DataFrame) -> DataFrame:
+    """Per activity url: its best match, and the first architect, style and city title that any has, best first."""
+    match = F.struct(*MATCH_FIELDS)
 
-    heads = (
-        details.join(large, "crawler_url")
-        .groupBy("crawler_url", "n_parts")
-        .agg(
-            F.min(preferred).alias("best"),
-            least(F.col("wiki_architect") != "")["wiki_architect"].alias("head_architect"),
-            least(F.col("wiki_style") != "")["wiki_style"].alias("head_style"),
-            least(F.col("wiki_type") == "city")["wiki_title"].alias("head_city"),
-        )
-    )
-    by_hash = F.pmod(F.xxhash64("wiki_url"), F.coalesce("n_parts", F.lit(1))).cast("int")
-    rows = (
-        details.join(heads.select("crawler_url", "n_parts", F.col("best.wiki_url").alias("best_url")), "crawler_url", "left")
-        .withColumn("part", F.when(F.col("wiki_url") == F.col("best_url"), 0).otherwise(by_hash))  # part 0 always exists
-        .groupBy("crawler_url", "part")
-        .agg(F.sort_array(F.collect_list(preferred)).alias("ranked"))
-        .select("crawler_url", "part", F.transform("ranked", lambda r: r["match"]).alias("matches"))
-        .join(heads, "crawler_url", "left")
+    def first(value: Column, wanted: Column) -> Column:
+        return F.min_by(F.when(wanted, value), F.when(wanted, F.col("rank")))
+
+    return matches.groupBy("url").agg(
+        F.min_by(match, "rank").alias("primary_match"),
+        first(F.col("wiki_architect"), F.col("wiki_architect") != "").alias("first_architect"),
+        first(F.col("wiki_style"), F.col("wiki_style") != "").alias("first_style"),
+        first(F.col("wiki_title"), F.col("wiki_type") == "city").alias("first_city"),
     )
-    is_whole = F.col("n_parts").isNull()
-
-    def first(head: str, field: str, wanted) -> Column:
-        own = F.get(F.filter("matches", wanted), F.lit(0))[field]
-        return F.when(is_whole, own).otherwise(F.col(head))
-
-    return rows.select(
-        F.col("crawler_url").alias("url"),
-        "part",
-        F.coalesce("n_parts", F.lit(1)).alias("n_parts"),
-        F.when(is_whole, F.get("matches", F.lit(0))).otherwise(F.col("best.match")).alias("primary_match"),
-        first("head_architect", "wiki_architect", lambda m: m["wiki_architect"] != "").alias("first_architect"),
-        first("head_style", "wiki_style", lambda m: m["wiki_style"] != "").alias("first_style"),
-        first("head_city", "wiki_title", lambda m: m["wiki_type"] == "city").alias("first_city"),
-        "matches",
+
+
+def nest_matches(matches: DataFrame) -> DataFrame:
+    """A view with one row per activity: ``match_facts`` and all matches in one array, best first."""
+    match = F.struct("rank", F.struct(*MATCH_FIELDS).alias("match"))
+    arrays = matches.groupBy("url").agg(F.sort_array(F.collect_list(match)).alias("rows"))
+    return match_facts(matches).join(arrays, "url").select(
+        "url", "primary_match", "first_architect", "first_style", "first_city", F.transform("rows", lambda r: r["match"]).alias("matches")
     )
 
 

@@ -8,6 +8,8 @@ from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructTy
 
 from placeweave.functions.safe import rating_value, review_count
 from placeweave.functions.text import blank_to_null
+from placeweave.operators.linkage import match_facts
+from placeweave.operators.order import numbered
 
 
 def flat_text(c: Column, kind: DataType) -> Column:
@@ -44,43 +46,73 @@ def city_text(first_city: Column | None = None) -> Column:
     return F.coalesce(blank_to_null(F.lower("city")), blank_to_null(F.lower(first_city)))
 
 
-def doc_id(url: Column) -> Column:
-    """Stable id: the same for the same url whatever the partitioning."""
-    return F.xxhash64(url)
+def document_numbers(activities: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """(url, digest, doc_id): a number for each distinct row, digest being that of the whole row.
 
-
-def search_documents(enriched: DataFrame) -> DataFrame:
-    """Document rows: what is shown, what is searched and what ranks.
-
-    Rows beyond the first part of an activity only add the texts of their matches.
+    Rows in ``known`` (an earlier result) keep their number, so ids are stable over rebuilds; new
+    ones are numbered on, by url. Numbers are dense, and the same however the table is partitioned.
     """
-    parted = "n_parts" in enriched.columns
-    if parted:
-        architect, style = (F.coalesce(F.col(f"first_{n}"), F.lit("")) for n in ("architect", "style"))
-        city, n_parts = city_text(F.col("first_city")), F.coalesce("n_parts", F.lit(1))
-        part = F.coalesce("part", F.lit(0))
-    else:
-        architect, style = enriched_field("wiki_architect"), enriched_field("wiki_style")
-        city, n_parts, part = city_text(), F.lit(1), F.lit(0)
-    texts = [column_text(enriched, c) for c in ("description", "highlights", "featured_reviews")]
-    abstracts = F.filter(F.transform("matches", lambda m: m["wiki_abstract"]), lambda a: a != "")
-    staged = enriched.withColumns({"_architect": architect, "_style": style})
-    documents = staged.select(
-        doc_id(F.col("url")).alias("doc_id"),
-        title_text().alias("title"),
-        F.concat_ws(" ", *texts, "_architect", "_style").alias("click_text"),
-        F.coalesce(F.array_join(abstracts, " "), F.lit("")).alias("wiki_text"),
-        city.alias("city"),
+    rows = activities.select("url", row_digest(activities).alias("digest")).distinct()
+    if known is None:
+        return numbered(rows, ["url", "digest"], "doc_id")
+    new = rows.join(known, rows.url.eqNullSafe(known.url) & (rows.digest == known.digest), "left_anti")
+    last = known.agg(F.coalesce(F.max("doc_id"), F.lit(-1))).first()[0]
+    added = numbered(new, ["url", "digest"], "doc_id").withColumn("doc_id", F.col("doc_id") + F.lit(last + 1))
+    return known.select("url", "digest", "doc_id").unionByName(added)
+
+
+def row_digest(df: DataFrame) -> Column:
+    return F.sha2(F.to_json(F.struct(*sorted(df.columns))), 256)
+
+
+def _shown_and_searched(rows: DataFrame, doc_id: Column, architect: Column, style: Column, city: Column) -> DataFrame:
+    texts = [column_text(rows, c) for c in ("description", "highlights", "featured_reviews")]
+    return rows.withColumns({"_architect": architect, "_style": style}).select(
+        "*",
+        doc_id.alias("_doc_id"),
+        title_text().alias("_title"),
+        F.concat_ws(" ", *texts, "_architect", "_style").alias("_click_text"),
+        city.alias("_city"),
+    ).select(
+        F.col("_doc_id").alias("doc_id"),
+        F.col("_title").alias("title"),
+        F.col("_click_text").alias("click_text"),
+        *(["matches"] if "matches" in rows.columns else []),
+        F.col("_city").alias("city"),
         "url",
         blank_to_null(F.col("_architect")).alias("architect"),
         blank_to_null(F.col("_style")).alias("style"),
         rating_value(F.col("rating")).alias("rating"),
-        review_count(F.col("reviewCount"), isinstance(enriched.schema["reviewCount"].dataType, StringType)).alias("review_count"),
-        part.alias("part"),
-        n_parts.alias("n_parts"),
+        review_count(F.col("reviewCount"), isinstance(rows.schema["reviewCount"].dataType, StringType)).alias("review_count"),
     )
-    if not parted:
-        return documents.drop("part", "n_parts")
-    return documents.withColumns(
-        {c: F.when(F.col("part") == 0, F.col(c)) for c in ("title", "click_text", "city")}
+
+
+def search_documents(enriched: DataFrame, doc_id: Column | None = None) -> DataFrame:
+    """Document rows of activities with nested matches: what is shown, what is searched and what ranks.
+
+    Without ``doc_id`` the rows must have a column of that name (see ``document_numbers``).
+    """
+    number = F.col("doc_id") if doc_id is None else doc_id
+    documents = _shown_and_searched(enriched, number, enriched_field("wiki_architect"), enriched_field("wiki_style"), city_text())
+    abstracts = F.filter(F.transform("matches", lambda m: m["wiki_abstract"]), lambda a: a != "")
+    return documents.select(
+        "doc_id", "title", "click_text", F.coalesce(F.array_join(abstracts, " "), F.lit("")).alias("wiki_text"),
+        "city", "url", "architect", "style", "rating", "review_count",
     )
+
+
+def linked_documents(activities: DataFrame, matches: DataFrame, numbers: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Documents of activities and their ranked matches: (documents without ``wiki_text``, its pieces).
+
+    The text of the matched pages isn't put together: an activity may have any number of them. Its pieces
+    (doc_id, rank, wiki_text) go to the index as they are. Equal rows of ``activities`` are one document.
+    """
+    rows = activities.withColumn("digest", row_digest(activities)).dropDuplicates(["url", "digest"])
+    same = rows.url.eqNullSafe(numbers.url) & (rows.digest == numbers.digest)
+    rows = rows.join(numbers, same).drop(numbers.url, numbers.digest, rows.digest)
+    facts = match_facts(matches)
+    known = rows.join(facts, rows.url == facts.url, "left").drop(facts.url)
+    field = lambda n: F.coalesce(blank_to_null(F.col(f"primary_match.wiki_{n}")), F.col(f"first_{n}"), F.lit(""))
+    documents = _shown_and_searched(known, F.col("doc_id"), field("architect"), field("style"), city_text(F.col("first_city")))
+    pieces = matches.where("wiki_abstract <> ''").join(rows.select("url", "doc_id"), "url")
+    return documents, pieces.select("doc_id", "rank", F.col("wiki_abstract").alias("wiki_text"))

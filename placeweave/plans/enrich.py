@@ -5,9 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from placeweave.operators import linkage
-from placeweave.operators.inverted import Index, read_index, write_index
-from placeweave.operators.places import with_place
-from placeweave.operators.search_docs import search_documents
+from placeweave.operators.inverted import Index, read_index, read_numbers, write_index
+from placeweave.operators.places import backfill_city, with_place
+from placeweave.operators.search_docs import document_numbers, linked_documents
+
+
+def place(activities: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """Activities with their city filled in from the dictionary where it was blank; none is left out."""
+    return backfill_city(activities, dictionary)
 
 
 def link(
@@ -18,16 +23,25 @@ def link(
     return linkage.link_v3(placed, linkage.union_pages(landmarks, cities))
 
 
-def enrich(activities: DataFrame, pairs: DataFrame, pages: DataFrame, per_row: int = 1000) -> DataFrame:
-    """Activities with their matches nested; those without a match stay, with none."""
-    return activities.join(nest(pairs, pages, per_row), "url", "left")
+def matches(pairs: DataFrame, pages: DataFrame) -> DataFrame:
+    """Ranked matches of each activity as a written table (url, rank, page fields)."""
+    return linkage.written(linkage.ranked_matches(linkage.match_details(pairs, pages)), "matches")
 
 
-def nest(pairs: DataFrame, pages: DataFrame, per_row: int = 1000) -> DataFrame:
-    """Nested matches; nesting looks at the pairs several times, so they are written down first."""
-    return linkage.nest_matches(linkage.match_details(linkage.written(pairs), pages), per_row)
+def nest(pairs: DataFrame, pages: DataFrame) -> DataFrame:
+    """Nested matches, one row per activity that has any."""
+    return linkage.nest_matches(matches(pairs, pages))
+
+
+def enrich(activities: DataFrame, pairs: DataFrame, pages: DataFrame) -> DataFrame:
+    """Activities with their matches nested; those without a match stay, with none."""
+    return activities.join(nest(pairs, pages), "url", "left")
 
 
-def build_index(enriched: DataFrame, path: str) -> Index:
-    write_index(search_documents(enriched), path)
-    return read_index(enriched.sparkSession, path)
+def build_index(activities: DataFrame, ranked: DataFrame, path: str) -> Index:
+    """Index of activities (as ``place`` leaves them) and their ``matches``; rows indexed before keep their number."""
+    spark = activities.sparkSession
+    numbers = linkage.written(document_numbers(activities, read_numbers(spark, path)), "numbers")
+    documents, pieces = linked_documents(activities, ranked, numbers)
+    write_index(documents, path, pieces=pieces, numbers=numbers)
+    return read_index(spark, path)

@@ -17,3 +17,13 @@ def spread(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
+def evened(df: DataFrame) -> DataFrame:
+    """A table just written, dealt out anew if it is so small that its files are read several to a task.
+
+    Whatever has more tasks than there are cores is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    n = df.rdd.getNumPartitions()
+    return df if n > cores or len(df.inputFiles()) <= n == cores else df.repartition(cores)

@@ -1,6 +1,9 @@
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
-from placeweave.operators import linkage, places, profile
+from placeweave.operators import inverted, linkage, order, places, profile, search_docs, skew
 from placeweave.plans import enrich
 from placeweave.sources.schemas import WIKI_FIELDS
 
@@ -80,3 +83,80 @@ def test_only_first_and_second_geo_parent_profiles(spark):
     _, pages = world(spark)
     row = profile.page_profile(pages, geo_index=1).first()
     assert (row.n_rows, row.geo_null, row.geo_not_null, row.key_empty) == (6, 1, 5, 4)
+
+
+@pytest.mark.parametrize("rows,pairs", [(1000, 50), (3, 10**9), (7, 5), (1, 1)])
+def test_keys_are_cut_by_their_pairs(spark, rows, pairs):
+    left = spark.createDataFrame([(k, i) for k, n in (("a", 40), ("b", 1), ("c", 5), ("d", 3), (None, 2)) for i in range(n)], "k string, x int")
+    right = spark.createDataFrame([(k, i) for k, n in (("a", 2), ("b", 30), ("c", 5), ("e", 3), (None, 2)) for i in range(n)], "k string, y int")
+    cut = {r.k: (r._ln, r._rn) for r in skew.hot_pairs(left, right, ["k"], rows, pairs).collect()}
+    for k, n, m in (("a", 40, 2), ("b", 1, 30), ("c", 5, 5)):
+        a, b = cut.get(k, (1, 1))
+        side = max(1, -(-n // a)), max(1, -(-m // b))
+        assert max(side) <= rows and side[0] * side[1] <= max(pairs, 1) * 2
+    got = sorted(map(tuple, skew.split_hot_join(left, right, ["k"], ["x"], ["y"], rows, pairs_per_slice=pairs).collect()))
+    assert got == sorted(map(tuple, left.join(right, "k").collect())) and len(got) == 40 * 2 + 30 + 25
+
+
+@pytest.fixture
+def spread(spark):
+    """Without joining small partitions, so that small tables lie in many."""
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+
+
+def test_numbers_by_order(spark, spread):
+    rng = random.Random(3)
+    rows = [(rng.choice("aaaab") if rng.random() < 0.9 else None, rng.random()) for _ in range(300)]
+    df = spark.createDataFrame(rows, "g string, x double").repartition(7)
+    got = sorted(map(tuple, order.numbered(df, [F.desc("x")], "n").collect()), key=lambda r: r[2])
+    assert [r[2] for r in got] == list(range(300)) and [r[1] for r in got] == sorted((x for _, x in rows), reverse=True)
+    by = {}
+    for g, x, k in order.ranked(df, "g", ["x"], "k").collect():
+        by.setdefault(g, []).append((k, x))
+    for g, found in by.items():
+        assert sorted(found) == list(enumerate(sorted(x for h, x in rows if h == g), 1))
+    assert sum(map(len, by.values())) == 300
+    assert order.numbered(df.limit(0), ["x"], "n").count() == 0 and order.ranked(df.limit(0), "g", ["x"], "k").count() == 0
+
+
+RAW = "url string, title string, name string, city string, description string, highlights array<string>, featured_reviews array<string>, rating string, reviewCount string"
+
+
+def raw_activities(spark, names):
+    return spark.createDataFrame([(u, None, n, "Barcelona", "words", ["more words"], None, "4", "10") for u, n in names], RAW)
+
+
+def test_documents_keep_their_numbers(spark, spread):
+    first = raw_activities(spark, [("u3", "a"), ("u1", "b"), ("u1", "b"), ("u1", "c"), (None, "d")])
+    numbers = search_docs.document_numbers(first)
+    one = {(r.url, r.digest): r.doc_id for r in numbers.collect()}
+    assert sorted(one.values()) == [0, 1, 2, 3]
+    assert {(r.url, r.digest): r.doc_id for r in search_docs.document_numbers(first.repartition(5)).collect()} == one
+    more = first.where("name <> 'a'").unionByName(raw_activities(spark, [("u0", "new"), ("u3", "changed")]))
+    two = {(r.url, r.digest): r.doc_id for r in search_docs.document_numbers(more, numbers).collect()}
+    assert all(two[k] == n for k, n in one.items()) and sorted(two.values()) == [0, 1, 2, 3, 4, 5]
+    assert search_docs.document_numbers(first.limit(0)).count() == 0
+
+
+def test_texts_of_pages_in_pieces(spark, spread):
+    activities = raw_activities(spark, [("a1", "Sagrada Família tour"), ("a2", "Walking tour"), ("a3", "Nothing")])
+    details = spark.createDataFrame(
+        [("a1", f"w{k}", "landmark" if k % 2 else "city_page", k % 3, f"t{k}", "city" if k == 4 else "museum", f"text {k} text" if k != 3 else "", "" if k < 4 else f"arch {k}", "") for k in range(40)]
+        + [("a2", "w1", "landmark", 1, "t1", "museum", "Other text", None, "style")],
+        "crawler_url string, wiki_url string, match_type string, overlap_score int, wiki_title string, wiki_type string, wiki_abstract string, wiki_architect string, wiki_style string",
+    )
+    matches = linkage.ranked_matches(details)
+    nested = activities.join(linkage.nest_matches(matches), "url", "left").withColumn("matches", F.coalesce("matches", F.array().cast("array<struct<wiki_title:string,wiki_type:string,wiki_abstract:string,wiki_architect:string,wiki_style:string>>")))
+    assert {r.url: len(r.matches) for r in nested.collect()} == {"a1": 40, "a2": 1, "a3": 0}
+    numbers = search_docs.document_numbers(activities)
+    documents, pieces = search_docs.linked_documents(activities, matches, numbers)
+    whole = search_docs.search_documents(nested.join(numbers.select("url", "doc_id"), "url"))
+    assert sorted(map(str, documents.collect())) == sorted(map(str, whole.drop("wiki_text").collect()))
+    both = ["title", "wiki_text"]
+    a, b = inverted.in_memory_index(documents, both, pieces=pieces), inverted.in_memory_index(whole, both)
+    for table in ("postings", "term_stats", "field_stats"):
+        assert sorted(map(str, getattr(a, table).select(*getattr(b, table).columns).collect())) == sorted(map(str, getattr(b, table).collect()))
+    assert linkage.nest_matches(matches.limit(0)).count() == 0

@@ -52,7 +52,7 @@ def index(spark, tmp_path_factory):
     columns = [c.split()[0] for c in ENRICHED.replace("struct<", "\0").split(", ")]
     df = spark.createDataFrame([tuple(r[c] for c in columns) for r in rows], ENRICHED)
     path = str(tmp_path_factory.mktemp("index"))
-    inverted.write_index(search_documents(df), path)
+    inverted.write_index(search_documents(df, F.substr("url", F.lit(2)).cast("bigint")), path)
     return inverted.read_index(spark, path)
 
 
