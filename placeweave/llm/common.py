@@ -55,3 +55,14 @@ def text_rows(docs: DataFrame, key: str = "doc_id", text: str = "text", more: li
 def null_safe_key(c: Column | str) -> Column:
     """A long to hash by, for keys that may be null."""
     return F.xxhash64(F.col(c) if isinstance(c, str) else c)
+
+
+_stores: dict[str, dict] = {}
+
+
+def worker_store(name: str) -> dict:
+    """A dict that lives as long as the Python worker; those of other operators are emptied, so that a worker holds one's caches only."""
+    for other, store in _stores.items():
+        if other != name:
+            store.clear()
+    return _stores.setdefault(name, {})

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from placeweave.llm.common import importable, text_rows, written
+from placeweave.llm.common import importable, text_rows, worker_store, written
 
 BUCKETS, SIZE, WINDOW, SIGNS = 8192, 64, 2, 4
 FIT_ROWS, HIDDEN, SEED = 12_000, 24, 5
@@ -99,13 +99,11 @@ def add_contexts(sums: np.ndarray, marks: np.ndarray, text_of: np.ndarray) -> No
                 sums += signs[k] * np.bincount(x * SIZE + places[y, k], minlength=BUCKETS * SIZE)
 
 
-_vectors: list = []
-
-
 def index_vectors_of_worker() -> tuple[np.ndarray, np.ndarray]:
-    if not _vectors:
-        _vectors.append(index_vectors())
-    return _vectors[0]
+    own = worker_store("quality")
+    if "vectors" not in own:
+        own["vectors"] = index_vectors()
+    return own["vectors"]
 
 
 def contexts(texts: DataFrame) -> np.ndarray:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from placeweave.llm import blocks
-from placeweave.llm.common import importable, text_rows, written
+from placeweave.llm.common import importable, text_rows, worker_store, written
 from placeweave.llm.components import components
 
 SEGMENTS, SEGMENT_BITS, SEED = 4, 16, 42
@@ -59,6 +59,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", more:
     importable(docs.sparkSession)
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_store("simhash")
         for batch in batches:
             found = np.array([fingerprint(x.as_py()) for x in batch.column(1)], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found), *batch.columns[2:]], names=[key, "bits", *more])

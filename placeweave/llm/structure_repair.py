@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from placeweave.llm.common import importable, written
+from placeweave.llm.common import importable, worker_store, written
 
 #: Rows of a piece; rules of the grammar, which only save work; pairs looked at in a round.
 PIECE, RULES, ROUNDS, PAIRS = 1024, 4096, 40, 2000
@@ -151,14 +151,12 @@ class Grammar:
         return self.seen[marks]
 
 
-_of_worker: dict[tuple[str, ...], Grammar] = {}
-
-
 def _grammar_of(rules: tuple[str, ...]) -> Grammar:
-    if rules not in _of_worker:
-        _of_worker.clear()
-        _of_worker[rules] = Grammar(rules)
-    return _of_worker[rules]
+    own = worker_store("grammar")
+    if rules not in own:
+        own.clear()
+        own[rules] = Grammar(rules)
+    return own[rules]
 
 
 def pairs_of(marks: str) -> Counter:

@@ -23,10 +23,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placeweave.llm.common import importable, text_rows
+from placeweave.llm.common import importable, text_rows, worker_store
 
 #: Pieces that a worker remembers, and their letters, in each of two generations.
-CACHE_PIECES, CACHE_LETTERS = 400_000, 8_000_000
+CACHE_PIECES, CACHE_LETTERS = 300_000, 6_000_000
 #: Rows of the sample in which frequent pre-tokens are looked for, and how many the table has. They only save work.
 SAMPLE_ROWS, TABLE = 20_000, 50_000
 #: Characters of a text that are cut into pieces at once, so that long texts need no more memory.
@@ -37,9 +37,6 @@ SPECIAL = "<|endoftext|>"
 #: Before a single space between two other characters, where no pre-token goes on.
 BREAK = re.compile(r"(?<=\S)(?= \S)")
 
-_workers: dict[tuple, "Encoder"] = {}
-
-
 def slices(text: str, size: int = SLICE_CHARS) -> Iterator[str]:
     """Cuts a long text before single spaces between two other characters."""
     start = 0
@@ -96,10 +93,10 @@ class Encoder:
 
     @classmethod
     def of_worker(cls, vocabulary: str, ranks: str | None) -> "Encoder":
-        key = (vocabulary, ranks)
-        if key not in _workers:
-            _workers[key] = cls(vocabulary, ranks)
-        return _workers[key]
+        own, key = worker_store("ids"), (vocabulary, ranks)
+        if key not in own:
+            own[key] = cls(vocabulary, ranks)
+        return own[key]
 
     def encode(self, text: str) -> bytes:
         """By the library alone."""
@@ -183,8 +180,6 @@ class _Lengths(dict):
 class Lengths:
     """Token counts of texts, as ``tokenizers`` gives them: by pre-tokens where all are plain, else by the library."""
 
-    _of_worker: "dict[tuple, Lengths]" = {}
-
     def __init__(self, vocabulary: str, ranks: str | None, frequent: dict[str, int], size: int = CACHE_PIECES, letters: int = CACHE_LETTERS):
         self.encoder = Encoder(vocabulary, ranks, 0)
         self.known = _Lengths(self.encoder._piece, frequent, size, letters)
@@ -193,11 +188,11 @@ class Lengths:
     @classmethod
     def of_worker(cls, vocabulary: str, ranks: str | None, table: str, frequent: dict[str, int]) -> "Lengths":
         """The worker's own for this table (named by ``table``); that of another one leaves."""
-        key = (vocabulary, ranks, table)
-        if key not in cls._of_worker:
-            cls._of_worker.clear()
-            cls._of_worker[key] = cls(vocabulary, ranks, frequent)
-        return cls._of_worker[key]
+        own, key = worker_store("lengths"), (vocabulary, ranks, table)
+        if key not in own:
+            own.clear()
+            own[key] = cls(vocabulary, ranks, frequent)
+        return own[key]
 
     def _slice(self, text: str) -> int:
         if PLAIN.fullmatch(text) and SPECIAL not in text:

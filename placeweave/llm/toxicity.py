@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from placeweave.llm.common import importable, text_rows, written
+from placeweave.llm.common import importable, text_rows, worker_store, written
 
 LABELLED_ROWS, FIT_ROWS, TERMS = 12_000, 20_000, 2_000
 #: A term is in at least so many labelled toxic texts and this share of them, at these log odds.
@@ -74,7 +74,11 @@ def patterns(text: str, words: Counter) -> list[bool]:
 
 
 def _sample(rows: DataFrame, n: int, key: str) -> DataFrame:
-    return rows.orderBy(F.xxhash64(key), key).limit(n)
+    """At most n rows, chosen by a hash of their key: of larger tables, those under a threshold are sorted, and of ties any are taken."""
+    total = rows.count()
+    lot = F.pmod(F.xxhash64(key), F.lit(1 << 30))
+    some = rows.where(lot < int((1 << 30) * min(1.0, 1.2 * n / total))) if total > n else rows
+    return some.orderBy(lot, key).limit(n)
 
 
 def find_terms(labelled: DataFrame) -> list[str]:
@@ -132,6 +136,7 @@ def votes(rows: DataFrame, terms: list[str], key: str, text: str) -> DataFrame:
     share = rows.sparkSession.sparkContext.broadcast(known_terms(terms))
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_store("toxicity")
         for batch in batches:
             seen = [look(x.as_py(), share.value) for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([m for m, _ in seen], pa.int32()), pa.array([f for _, f in seen], pa.list_(pa.int32()))], names=[key, "mask", "found"])
@@ -144,6 +149,7 @@ def scored_rows(docs: DataFrame, terms: list[str], weights: np.ndarray, text: st
     share = docs.sparkSession.sparkContext.broadcast((known_terms(terms), weights))
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_store("toxicity")
         known, w = share.value
         for batch in batches:
             z = [w[-1] + w[look(x.as_py() or "", known)[1]].sum() for x in batch.column(0).field(text)]
@@ -210,6 +216,7 @@ def scores(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
     importable(docs.sparkSession)
     rows = text_rows(docs, key, text)
     known = labels.where(F.col(key).isNotNull() & F.col(label).isin(0, 1)).where(learnable(key)).groupBy(F.col(key).cast("long").alias(key)).agg(F.max(label).cast("long").alias("toxic"))
+    known = written(known.join(rows.select(key).distinct(), key, "left_semi"), "known")
     known = F.broadcast(written(_sample(known, LABELLED_ROWS, key), "labelled"))  # at most LABELLED_ROWS rows
     terms = find_terms(rows.join(known, key).select("text", "toxic"))
     terms += sorted(INSULTS.difference(terms))

@@ -70,3 +70,19 @@ def test_words_in_slices(monkeypatch):
     whole = toxicity.words_of(text)
     monkeypatch.setattr(toxicity, "SLICE_CHARS", 3)
     assert toxicity.words_of(text) == whole
+
+
+def test_bounded_sample(spark):
+    rows = spark.range(5000).withColumnRenamed("id", "k").repartition(9)
+    got = {r.k for r in toxicity._sample(rows, 700, "k").collect()}
+    assert len(got) == 700 and got == {r.k for r in toxicity._sample(rows.repartition(2), 700, "k").collect()}
+    assert toxicity._sample(rows, 9000, "k").count() == 5000 and toxicity._sample(rows.limit(0), 5, "k").count() == 0
+
+
+def test_labels_of_other_texts_use_up_no_room(spark, docs, monkeypatch):
+    monkeypatch.setattr(toxicity, "LABELLED_ROWS", 500)
+    data = rows()
+    others = [(10**6 + k, 0) for k in range(20_000)]
+    labels = spark.createDataFrame([(k, y) for k, _, y in data] + others, "doc_id long, toxic int")
+    got = {r.doc_id: r.predicted for r in toxicity.scores(docs([(k, t) for k, t, _ in data]), labels).collect()}
+    assert np.mean([got[k] == y for k, _, y in data]) > 0.97
