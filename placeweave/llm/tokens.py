@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from placeweave.llm.common import importable, text_rows, worker_store
 
 #: Pieces that a worker remembers, and their letters, in each of two generations.
-CACHE_PIECES, CACHE_LETTERS = 300_000, 6_000_000
+CACHE_PIECES, CACHE_LETTERS = 400_000, 8_000_000
 #: Rows of the sample in which frequent pre-tokens are looked for, and how many the table has. They only save work.
 SAMPLE_ROWS, TABLE = 20_000, 50_000
 #: Characters of a text that are cut into pieces at once, so that long texts need no more memory.
@@ -61,13 +61,17 @@ class _Pieces(dict):
     def __init__(self, encode, size: int, letters: int = CACHE_LETTERS):
         super().__init__()
         self.encode, self.size, self.most, self.old, self.misses, self.letters = encode, size, letters, {}, 0, 0
+        self.tails = {c: encode(c) for c in ".,;:!?"}  # a pre-token of their own after a letter or digit
 
     def __missing__(self, piece: str) -> bytes:
         if (ids := self.old.get(piece)) is None:
             if not piece or piece[0].isspace() or piece[-1].isspace():
                 raise _Odd
-            ids = self.encode(" " + piece)
-            self.misses += 1
+            if piece[-1] in self.tails and piece[-2:-1].isalnum() and piece[-2] <= "\u024f":
+                ids = self[piece[:-1]] + self.tails[piece[-1]]
+            else:
+                ids = self.encode(" " + piece)
+                self.misses += 1
         self.letters += len(piece)
         if len(self) >= self.size or self.letters > self.most:
             self.old, self.letters = (dict(self) if self.letters <= 2 * self.most else {}), len(piece)
