@@ -224,6 +224,10 @@ def pairs(spark, sf, **options):
     return linkage.link_v3(activities(spark, sf), wiki_pages(spark, sf), **options)
 
 
+def linked(spark, sf):
+    return linkage.linked_v3(activities(spark, sf), wiki_pages(spark, sf))
+
+
 def flat(df):
     return df.withColumn("tokens_c_debug", F.array_join("tokens_c_debug", " "))
 
@@ -244,7 +248,7 @@ def link_v3_split(spark, sf):
     (SELECT count(*) FROM pairs p WHERE p.crawler_url = ranked.crawler_url) AS n_matches FROM ranked WHERE rn = 1"""
 )
 def best_match(spark, sf):
-    return linkage.best_match(pairs(spark, sf))
+    return linkage.best_of_classes(linked(spark, sf))
 
 
 @query(
@@ -254,12 +258,12 @@ def best_match(spark, sf):
     )
 )
 def best_match_repeated(spark, sf):
-    return linkage.best_match(linkage.link_v3(*repeated(spark, sf)))
+    return linkage.best_of_classes(linkage.linked_v3(*repeated(spark, sf)))
 
 
 @query(f"WITH {PAIRS_SQL} SELECT crawler_url, wiki_url, match_type, rn = 1 AS is_primary FROM ranked")
 def primary_flag(spark, sf):
-    return linkage.flag_primary(pairs(spark, sf)).select("crawler_url", "wiki_url", "match_type", "is_primary")
+    return linkage.flag_primary(linked(spark, sf)).select("crawler_url", "wiki_url", "match_type", "is_primary")
 
 
 NESTED_SQL = f"""WITH {PAIRS_SQL}
@@ -301,7 +305,16 @@ def nested_matches_in_parts(spark, sf):
     count(DISTINCT wiki_url) AS n_pages FROM pairs"""
 )
 def link_stats(spark, sf):
-    return profile.link_stats(pairs(spark, sf))
+    return profile.class_link_stats(linked(spark, sf))
+
+
+@query(
+    f"""WITH {PAIRS_SQL} SELECT crawler_url, wiki_url, match_type, overlap_score,
+    (SELECT count(*) FROM pairs p WHERE p.crawler_url = ranked.crawler_url) AS n_matches FROM ranked WHERE rn = 1"""
+)
+def best_of_pairs(spark, sf):
+    """The same from pairs at hand."""
+    return linkage.best_match(pairs(spark, sf))
 
 
 @query(

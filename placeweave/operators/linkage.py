@@ -8,6 +8,8 @@ kept only at its first shared token, which needs no distinct and no second shuff
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,18 +22,34 @@ from placeweave.sources.tables import evened
 CITY_PAGE_TOKEN = ""  # no tokeniser yields it, so it can stand for "whatever the name says"
 
 
-def _pairs_at_first_shared(
-    c: DataFrame, w: DataFrame, c_keys: Column, w_keys: Column, rows_per_slice: int
-) -> DataFrame:
-    # Written, so that the inputs are read and cut into tokens once; the join counts its keys before it is done.
-    left = evened(written(c.withColumn("keys_c", F.array_distinct(c_keys)), "activities")).withColumn("token", F.explode("keys_c"))
-    right = evened(written(w.withColumn("keys_w", F.array_distinct(w_keys)), "pages")).withColumn("token", F.explode("keys_w"))
-    joined = split_hot_join(
-        left, right, ["city_norm", "token"], ["crawler_url"], ["wiki_url"], rows_per_slice
-    )
+class Linked(NamedTuple):
+    """Links between classes of rows, which stand for the links of all their rows.
+
+    ``pairs`` has c, w and what is known of the pair (n_pairs: its pairs of rows); ``activities`` has a row's columns and the number c of its
+    class, ``pages`` likewise w.
+    """
+
+    pairs: DataFrame
+    activities: DataFrame
+    pages: DataFrame
+
+    def rows(self) -> DataFrame:
+        """Every pair of rows, with the columns of both."""
+        # Plain equi-joins of large inputs: adaptive execution splits numbers with many pairs on either side.
+        return self.pairs.join(self.activities, "c").join(self.pages, "w").drop("c", "w")
+
+
+def _pairs_at_first_shared(c: DataFrame, w: DataFrame, rows_per_slice: int) -> DataFrame:
+    left = evened(c).withColumn("token", F.explode("keys_c"))
+    right = evened(w).withColumn("token", F.explode("keys_w"))
+    joined = split_hot_join(left, right, ["city_norm", "token"], ["c"], ["w"], rows_per_slice)
     return joined.where(F.col("token") == F.get(F.array_intersect("keys_c", "keys_w"), F.lit(0)))
 
 
+def _token_set(tokens: Column) -> Column:
+    return F.array_sort(F.array_distinct(tokens))
+
+
 def _overlap(a: str, b: str) -> Column:
     return F.size(F.array_intersect(a, b))
 
@@ -56,45 +74,54 @@ def attach(
     return split_hot_lookup(pairs, table, keys, [other], hot, "inner")
 
 
-def link_v1(activities: DataFrame, pages: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
-    """Same ASCII city key and at least one shared token of name and title."""
-    c = activities.select(
-        F.col("url").alias("crawler_url"),
-        F.col("name").alias("crawler_name"),
-        "city",
-        T.ascii_key(F.col("city")).alias("city_norm"),
-        T.split_tokens(F.col("name")).alias("tokens_c"),
-    )
-    w = pages.select(
-        F.col("title").alias("wiki_title"),
-        F.col("url").alias("wiki_url"),
-        F.col("type").alias("wiki_type"),
-        T.ascii_key(T.geo_parent_at(F.col("geo_parent"))).alias("city_norm"),
-        T.split_tokens(F.col("title")).alias("tokens_w"),
-    )
-    pairs = _pairs_at_first_shared(c, w, F.col("tokens_c"), F.col("tokens_w"), rows_per_slice)
-    return pairs.select(
-        "crawler_url", "crawler_name", "city", "wiki_title", "wiki_url", "wiki_type",
-        _overlap("tokens_c", "tokens_w").alias("overlap"),
-    )
-
-
-def _classes(rows: DataFrame, number: str) -> tuple[DataFrame, DataFrame]:
-    """Rows with equal keys and tokens as one class: (classes with ``number``, ``keys``, ``names``, ``texts``; ``number`` with each row's columns).
+def _classes(rows: DataFrame, number: str, content: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows with equal ``content`` as one class: (classes with ``number``, ``n_<number>`` rows and content; ``number`` with each row's other columns).
 
     Rows are read and cut into tokens once. A class is told by a digest of its content, counted
     before the shuffle however many rows it has, and numbered for the joins that follow.
     """
-    content = ["keys", "names", "texts"]
     digest = F.unhex(F.sha2(F.to_json(F.struct(*content)), 256))
     rows = written(rows.withColumn("digest", digest), "rows")
     # min, not first: content is the same in all rows of a class
-    classes = rows.groupBy("digest").agg(*[F.min(c).alias(c) for c in content])
+    classes = rows.groupBy("digest").agg(*[F.min(c).alias(c) for c in content], F.count("*").alias(f"n_{number}"))
     classes = written(classes.withColumn(number, F.monotonically_increasing_id()), "classes")
     members = rows.drop(*content).join(classes.select("digest", number), "digest").drop("digest")
     return classes.drop("digest"), members
 
 
+def link_v1(activities: DataFrame, pages: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
+    """Same ASCII city key and at least one shared token of name and title.
+
+    Classes of rows with the same key and tokens are compared, and rows attached last.
+    """
+    c_classes, c_rows = _classes(
+        activities.select(
+            F.col("url").alias("crawler_url"),
+            F.col("name").alias("crawler_name"),
+            "city",
+            T.ascii_key(F.col("city")).alias("city_norm"),
+            _token_set(T.split_tokens(F.col("name"))).alias("keys_c"),
+        ),
+        "c",
+        ["city_norm", "keys_c"],
+    )
+    w_classes, w_rows = _classes(
+        pages.select(
+            F.col("title").alias("wiki_title"),
+            F.col("url").alias("wiki_url"),
+            F.col("type").alias("wiki_type"),
+            T.ascii_key(T.geo_parent_at(F.col("geo_parent"))).alias("city_norm"),
+            _token_set(T.split_tokens(F.col("title"))).alias("keys_w"),
+        ),
+        "w",
+        ["city_norm", "keys_w"],
+    )
+    pairs = _pairs_at_first_shared(c_classes, w_classes, rows_per_slice).select("c", "w", _overlap("keys_c", "keys_w").alias("overlap"))
+    return Linked(pairs, c_rows, w_rows).rows().select(
+        "crawler_url", "crawler_name", "city", "wiki_title", "wiki_url", "wiki_type", "overlap"
+    )
+
+
 def link_v2(activities: DataFrame, pages: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
     """City key equal to the page's key or to one of its candidate keys, and at least one shared
     name token or two shared description tokens.
@@ -109,10 +136,11 @@ def link_v2(activities: DataFrame, pages: DataFrame, rows_per_slice: int = ROWS_
             F.col("name").alias("crawler_name"),
             "city",
             F.array(T.ascii_key(F.col("city"))).alias("keys"),
-            F.array_sort(F.array_distinct(T.split_tokens(F.col("name")))).alias("names"),
-            F.array_sort(F.array_distinct(T.split_tokens(T.description_text(F.col("description"), F.col("highlights"))))).alias("texts"),
+            _token_set(T.split_tokens(F.col("name"))).alias("names"),
+            _token_set(T.split_tokens(T.description_text(F.col("description"), F.col("highlights")))).alias("texts"),
         ),
         "c",
+        ["keys", "names", "texts"],
     )
     w_classes, w_rows = _classes(
         pages.select(
@@ -123,10 +151,11 @@ def link_v2(activities: DataFrame, pages: DataFrame, rows_per_slice: int = ROWS_
                 F.array(T.ascii_key(T.geo_parent_at(F.col("geo_parent")))),
                 T.candidate_keys(F.col("geo_parent")),
             )).alias("keys"),
-            F.array_sort(F.array_distinct(T.split_tokens(F.col("title")))).alias("names"),
-            F.array_sort(F.array_distinct(T.split_tokens(F.col("abstract")))).alias("texts"),
+            _token_set(T.split_tokens(F.col("title"))).alias("names"),
+            _token_set(T.split_tokens(F.col("abstract"))).alias("texts"),
         ),
         "w",
+        ["keys", "names", "texts"],
     )
 
     def tokens(classes: DataFrame, number: str) -> DataFrame:
@@ -148,21 +177,20 @@ def link_v2(activities: DataFrame, pages: DataFrame, rows_per_slice: int = ROWS_
         )
         .where("overlap_name >= 1 OR overlap_desc >= 2")
     )
-    # Plain equi-joins of large inputs: adaptive execution splits numbers with many pairs on either side.
-    return counted.join(c_rows, "c").join(w_rows, "w").select(
+    return Linked(counted, c_rows, w_rows).rows().select(
         "crawler_url", "crawler_name", "city", "wiki_title", "wiki_url", "wiki_type", "overlap_name", "overlap_desc"
     )
 
 
-def link_v3(
+def linked_v3(
     activities: DataFrame,
     pages: DataFrame,
     stop_words: list[str] | None = None,
     rows_per_slice: int = ROWS_PER_SLICE,
-) -> DataFrame:
+) -> Linked:
     """Same Unicode city key and a shared title token, a shared geo token, or the city's own page.
 
-    ``activities`` should carry the backfilled city in ``city``.
+    ``activities`` should carry the backfilled city in ``city``. Rows with the same key and tokens are a class.
     """
     c = (
         activities.select(
@@ -172,7 +200,8 @@ def link_v3(
             T.unicode_key(F.col("city")).alias("city_norm"),
         )
         .where("city_norm <> ''")
-        .withColumn("tokens_c", T.filtered_tokens(F.col("crawler_name"), F.col("city_norm"), stop_words))
+        .withColumn("tokens_c_debug", T.filtered_tokens(F.col("crawler_name"), F.col("city_norm"), stop_words))
+        .withColumns({"tokens_c": _token_set(F.col("tokens_c_debug")), "city_norm_debug": F.col("city_norm")})
     )
     w = (
         pages.select(
@@ -181,25 +210,44 @@ def link_v3(
             F.col("type").alias("wiki_type"),
             T.unicode_key(T.geo_parent_at(F.col("geo_parent"))).alias("city_norm"),
             T.unicode_key(F.col("title")).alias("title_norm"),
-            F.coalesce(T.ascii_keys(F.col("geo_parent")), T.empty_strings()).alias("geo_tokens"),
+            _token_set(F.coalesce(T.ascii_keys(F.col("geo_parent")), T.empty_strings())).alias("geo_tokens"),
         )
         .where("city_norm <> ''")
-        .withColumn("tokens_w", T.filtered_tokens(F.col("wiki_title"), F.col("city_norm"), stop_words))
+        .withColumn("tokens_w", _token_set(T.filtered_tokens(F.col("wiki_title"), F.col("city_norm"), stop_words)))
+        .withColumn("own_page", F.col("city_norm") == F.col("title_norm"))
+        .drop("title_norm")
     )
+    c_classes, c_rows = _classes(c, "c", ["city_norm", "tokens_c"])
+    w_classes, w_rows = _classes(w, "w", ["city_norm", "geo_tokens", "tokens_w", "own_page"])
     # A city page meets every activity of its city; one key is enough for it.
-    w_keys = F.when(F.col("city_norm") == F.col("title_norm"), F.array(F.lit(CITY_PAGE_TOKEN))).otherwise(
+    w_keys = F.when(F.col("own_page"), F.array(F.lit(CITY_PAGE_TOKEN))).otherwise(
         F.array_remove(F.array_union("tokens_w", "geo_tokens"), CITY_PAGE_TOKEN)
     )
     c_keys = F.concat(F.array(F.lit(CITY_PAGE_TOKEN)), F.col("tokens_c"))
-    pairs = _pairs_at_first_shared(c, w, c_keys, w_keys, rows_per_slice)
+    pairs = _pairs_at_first_shared(c_classes.withColumn("keys_c", c_keys), w_classes.withColumn("keys_w", w_keys), rows_per_slice)
     shares_token = F.arrays_overlap("tokens_c", "tokens_w") | F.arrays_overlap("tokens_c", "geo_tokens")
-    return pairs.select(
-        "crawler_url", "crawler_name", "city", "wiki_title", "wiki_url", "wiki_type",
+    pairs = pairs.select(
+        "c", "w", (F.col("n_c") * F.col("n_w")).alias("n_pairs"),
         _overlap("tokens_c", "tokens_w").alias("overlap_score"),
         F.when(F.coalesce(shares_token, F.lit(False)), "landmark").otherwise("city_page").alias("match_type"),
-        F.col("tokens_c").alias("tokens_c_debug"),
-        F.col("city_norm").alias("city_norm_debug"),
     )
+    return Linked(pairs, c_rows, w_rows)
+
+
+V3_COLUMNS = [
+    "crawler_url", "crawler_name", "city", "wiki_title", "wiki_url", "wiki_type", "overlap_score", "match_type",
+    "tokens_c_debug", "city_norm_debug",
+]
+
+
+def link_v3(
+    activities: DataFrame,
+    pages: DataFrame,
+    stop_words: list[str] | None = None,
+    rows_per_slice: int = ROWS_PER_SLICE,
+) -> DataFrame:
+    """The pairs of rows that ``linked_v3`` stands for."""
+    return linked_v3(activities, pages, stop_words, rows_per_slice).rows().select(*V3_COLUMNS)
 
 
 def _preference() -> list[Column]:
@@ -227,13 +275,59 @@ def best_match(pairs: DataFrame) -> DataFrame:
     )
 
 
-def flag_primary(pairs: DataFrame) -> DataFrame:
-    """All pairs, with ``is_primary`` marking the best match of each activity (all its rows, where rows repeat)."""
-    pairs = written(pairs)
-    best = best_match(pairs).select("crawler_url", "wiki_url", F.lit(True).alias("is_primary"))
-    return pairs.join(best, ["crawler_url", "wiki_url"], "left").withColumn(
-        "is_primary", F.coalesce("is_primary", F.lit(False))
+def best_of_classes(linked: Linked) -> DataFrame:
+    """``best_match`` of the rows that ``linked`` stands for, without building their pairs.
+
+    A class's best page is the best of its page classes' first urls, and its matches add up over page
+    classes. Only urls whose rows lie in several classes need more: such an activity is a unit of its
+    own (a class is, for others), and such a page is counted by its url.
+    """
+    pairs = written(linked.pairs, "class_pairs")
+    owners = linked.activities.groupBy("crawler_url").agg(F.min("c").alias("c"), (F.min("c") != F.max("c")).alias("several"))
+    owners = written(owners, "owners")
+    single, several = owners.where("NOT several"), owners.where("several").select("crawler_url")
+    unit = [F.col("c").alias("unit"), F.lit(None).cast("string").alias("unit_url")]
+    of_urls = linked.activities.select("c", "crawler_url").join(several.withColumnRenamed("crawler_url", "unit_url"), F.col("crawler_url").eqNullSafe(F.col("unit_url")))
+    units = single.select("c", *unit).distinct().unionByName(of_urls.select("c", F.lit(None).cast("long").alias("unit"), "unit_url").distinct())
+
+    page_urls = linked.pages.groupBy("wiki_url").agg(F.min("w").alias("w"), (F.min("w") != F.max("w")).alias("several"))
+    page_urls = written(page_urls, "page_urls")
+    own = page_urls.where("NOT several").groupBy("w").agg(F.count("*").alias("n"))
+    # a struct, since a url may be null, which min of the url itself would pass over
+    first = linked.pages.groupBy("w").agg(F.min(F.struct("wiki_url")).alias("first"))
+    shared = page_urls.where("several").select(F.col("wiki_url").alias("page_url"))
+    shared = linked.pages.join(shared, F.col("wiki_url").eqNullSafe(F.col("page_url"))).select("w", "page_url").distinct()
+
+    hits = pairs.join(units, "c").groupBy("unit", "unit_url", "w").agg(
+        F.min(F.struct((F.col("match_type") != "landmark").alias("fallback"), (-F.col("overlap_score")).alias("minus_score"))).alias("rank")
     )
+    hits = written(hits, "hits")
+    order = F.struct("rank.fallback", "rank.minus_score", "first.wiki_url")
+    best = hits.join(first, "w").join(own, "w", "left").groupBy("unit", "unit_url").agg(
+        F.min(order).alias("best"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")
+    )
+    more = hits.join(shared, "w").select("unit", "unit_url", "page_url").distinct().groupBy("unit", "unit_url").agg(F.count("*").alias("m"))
+    same = F.col("b.unit").eqNullSafe(F.col("m.unit")) & F.col("b.unit_url").eqNullSafe(F.col("m.unit_url"))
+    best = best.alias("b").join(more.alias("m"), same, "left").select("b.*", (F.col("n") + F.coalesce("m", F.lit(0))).alias("n_matches"))
+    of_class = single.join(best.where("unit IS NOT NULL"), F.col("c") == F.col("unit")).select("crawler_url", "best", "n_matches")
+    of_url = best.where("unit IS NULL").select(F.col("unit_url").alias("crawler_url"), "best", "n_matches")
+    return of_class.unionByName(of_url).select(
+        "crawler_url",
+        F.col("best.wiki_url").alias("wiki_url"),
+        F.when(F.col("best.fallback"), "city_page").otherwise("landmark").alias("match_type"),
+        (-F.col("best.minus_score")).alias("overlap_score"),
+        "n_matches",
+    )
+
+
+def flag_primary(linked: Linked) -> DataFrame:
+    """All pairs of rows, with ``is_primary`` marking the best match of each activity (all its rows, where rows repeat)."""
+    linked = linked._replace(pairs=written(linked.pairs, "class_pairs"))
+    best = best_of_classes(linked).select(F.col("crawler_url").alias("best_of"), F.struct("wiki_url").alias("best"))
+    # The best page goes with the activity's row, so pairs are neither written nor joined again.
+    marked = linked.activities.join(best, F.col("crawler_url").eqNullSafe(F.col("best_of"))).drop("best_of")
+    pairs = linked._replace(activities=marked).rows()
+    return pairs.withColumn("is_primary", F.col("best.wiki_url").eqNullSafe(F.col("wiki_url"))).drop("best")
 
 
 def match_details(pairs: DataFrame, pages: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from placeweave.functions import text as T
+from placeweave.operators.linkage import Linked, written
 from placeweave.operators.skew import ROWS_PER_SLICE, hot_keys, split_hot_lookup
 
 
@@ -84,6 +85,24 @@ def link_stats(pairs: DataFrame) -> DataFrame:
     )
 
 
+def class_link_stats(linked: Linked) -> DataFrame:
+    """``link_stats`` of the rows that ``linked`` stands for: pairs are counted by classes, not built."""
+    pairs = written(linked.pairs, "class_pairs")
+    by_type = pairs.groupBy("match_type").agg(F.sum("n_pairs").alias("n"))
+
+    def of(kind: str):
+        return F.coalesce(F.sum(F.when(F.col("match_type") == kind, F.col("n"))), F.lit(0))
+
+    counts = by_type.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_pairs"), of("landmark").alias("n_landmark"), of("city_page").alias("n_city_page"))
+    matched = [
+        rows.join(pairs.select(number).distinct(), number, "left_semi").agg(F.count_distinct(url).alias(name))
+        for rows, number, url, name in ((linked.activities, "c", "crawler_url", "n_activities"), (linked.pages, "w", "wiki_url", "n_pages"))
+    ]
+    one = F.lit(1).alias("one")
+    rows = [df.select("*", one) for df in (counts, *matched)]  # one row each
+    return rows[0].join(rows[1], "one").join(rows[2], "one").drop("one")
+
+
 def distinct_matched(pairs: DataFrame, exact: bool = True) -> DataFrame:
     count = F.count_distinct if exact else F.approx_count_distinct
     return pairs.agg(

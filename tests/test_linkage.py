@@ -64,6 +64,29 @@ def test_results_do_not_depend_on_partitions(spark):
     assert results[0] == results[1] == results[2]
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_classes_stand_for_all_their_rows(spark, seed):
+    rng = random.Random(seed)
+    words = ["tour", "castle", "garden", "rome", "art", "the"]
+    names = [" ".join(rng.choices(words, k=k % 4)) for k in range(12)] + [None]
+    cities = ["Rome", "rome!", "Art", "", None]
+    urls = [*"abcdefgh", None]
+    activities = spark.createDataFrame([(rng.choice(urls), rng.choice(names), rng.choice(cities), None, None) for _ in range(60)], ACTIVITY)
+    geo = [["Rome"], ["Rome", "castle"], ["Art", "Rome", None], [], None]
+    titles = [*names, "Rome", "Art"]
+    pages = spark.createDataFrame([(rng.choice(titles), rng.choice(urls), "x", None, rng.choice(geo), None) for _ in range(60)], PAGE)
+    rows = linkage.link_v3(activities, pages)
+    assert rows.count() > 20
+    linked = linkage.linked_v3(activities, pages)
+    assert sorted(map(str, linkage.best_of_classes(linked).collect())) == sorted(map(str, linkage.best_match(rows).collect()))
+    assert profile.class_link_stats(linked).first() == profile.link_stats(rows).first()
+    best = {r.crawler_url: r.wiki_url for r in linkage.best_match(rows).collect()}
+    flags = linkage.flag_primary(linked).collect()
+    assert len(flags) == rows.count() and all(r.is_primary == (best[r.crawler_url] == r.wiki_url) for r in flags)
+    nothing = linkage.linked_v3(activities.limit(0), pages)
+    assert linkage.best_of_classes(nothing).count() == 0 and profile.class_link_stats(nothing).first().n_pairs == 0
+
+
 def test_place_backfill(spark):
     phrases = ["new_york", "from hanoi", "hanoi", "✅ oslo", "bar", "a.c", "kraków", "pass®"]
     names = {
