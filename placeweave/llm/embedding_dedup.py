@@ -1,15 +1,20 @@
 """Near-duplicate vectors: random-hyperplane sign hashing, exact cosines, connected components.
 
-Equal vectors are one class. A class is hashed once for each of ``TABLES`` tables, by the signs of
-its products with ``PLANES`` random hyperplanes; classes with the same hash in a table are compared
-by cosine in double precision. Two vectors of cosine 0.9 agree in a sign with probability 0.856, so
-they meet in one of the tables with probability 1 - (1 - 0.856 ** 12) ** 32 = 0.995, and those of
-0.95 with 0.99997. A pair that meets in several tables is counted in the first. Blocks yield counts
-and a spanning forest of their links, never all pairs, and large buckets are compared by chunks.
+Equal vectors are one class. A class is hashed once for each table, by the signs of its products
+with random hyperplanes; classes with the same hash in a table are compared by cosine in double
+precision. Planes grow with the logarithm of the number of classes, so that a bucket of vectors
+without likeness keeps its size and the pairs compared grow with the table, not with its square; and
+tables grow with the planes, so that a pair at the threshold is found with the same probability.
+Two vectors of cosine 0.9 agree in a sign with probability 0.856, so with 12 planes they meet in one
+of 32 tables with probability 1 - (1 - 0.856 ** 12) ** 32 = 0.995, and those of 0.95 with 0.99997.
+Vectors go only to buckets that hold two classes or more. A pair that meets in several tables is
+counted in the first. Blocks yield counts and a spanning forest of their links, never all pairs, and
+large buckets are compared by chunks.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -21,11 +26,19 @@ from placeweave.llm import blocks
 from placeweave.llm.common import importable, written
 from placeweave.llm.components import components
 
-TABLES, PLANES, SEED = 32, 12, 20
+#: Planes at least, classes of a bucket for each of which there is a plane more, and the recall at the threshold.
+PLANES, BUCKET, RECALL, SEED = 12, 64, 0.995, 20
 #: Rows of a chunk of a large bucket, and pairs looked at together for whether they met before.
 CHUNK_ROWS, PAIRS_AT_ONCE = 500, 100_000
 
 
+def layout(classes: int, threshold: float = 0.9) -> tuple[int, int]:
+    """(tables, planes) for so many classes: buckets of ``BUCKET`` by chance, and ``RECALL`` at the threshold."""
+    planes = min(31, max(PLANES, math.ceil(math.log2(max(classes, 1) / BUCKET))))
+    agree = 1 - math.acos(threshold) / math.pi
+    return math.ceil(math.log(1 - RECALL) / math.log1p(-(agree**planes))), planes
+
+
 def units(flat: np.ndarray, dims: int) -> np.ndarray:
     """Vectors of length one; scaled first, so that squares neither overflow nor vanish."""
     x = flat.astype(np.float64).reshape(-1, dims)
@@ -118,12 +131,13 @@ def links(found: DataFrame, threshold: float, tables: int, planes: int) -> DataF
     return blocks.together(met, "key").mapInArrow(work, "a long, b long, n long").withColumn("b", F.when(F.col("b") >= 0, F.col("b")))
 
 
-def near_duplicates(vectors: DataFrame, threshold: float = 0.9, tables: int = TABLES, planes: int = PLANES, key: str = "vec_id", embedding: str = "embedding") -> DataFrame:
+def near_duplicates(vectors: DataFrame, threshold: float = 0.9, tables: int | None = None, planes: int | None = None, key: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """Per row: key, n_links (other rows linked directly), component_id (smallest key reachable), kept.
 
     Vectors that are null, empty, zero or hold null or non-finite components link with nothing, and
     so do vectors of different lengths. Repeated rows are vectors of their own. A null key is never
-    a component's name unless all of its keys are null; an empty table gives an empty one.
+    a component's name unless all of its keys are null; an empty table gives an empty one. Without
+    ``tables`` and ``planes`` (give both or none) they follow from the number of different vectors.
     """
     importable(vectors.sparkSession)
     rows = vectors.select(F.col(key).cast("long").alias(key), F.col(embedding).alias("embedding"))
@@ -131,6 +145,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, tables: int = TA
     sound = F.coalesce(F.forall("embedding", number) & F.exists("embedding", lambda x: x != 0), F.lit(False))
     classes = rows.where(sound).groupBy("embedding").agg(F.min(key).alias("first"), F.count("*").alias("copies"))
     classes = written(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+    if tables is None or planes is None:
+        tables, planes = layout(classes.count(), threshold)
     found = written(hashed(classes, tables, planes), "hashed")
     met = written(links(found, threshold, tables, planes), "met")
     direct = met.where("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n"))

@@ -45,5 +45,24 @@ def test_recall_at_the_threshold():
     a /= np.linalg.norm(a, axis=1, keepdims=True)
     b -= (a * b).sum(axis=1, keepdims=True) * a
     b = 0.9 * a + math.sqrt(1 - 0.81) * b / np.linalg.norm(b, axis=1, keepdims=True)
-    x, y = (embedding_dedup.hashes(v, embedding_dedup.TABLES, embedding_dedup.PLANES) for v in (a, b))
-    assert (x == y).any(axis=1).mean() > 0.99
+    assert embedding_dedup.layout(0) == embedding_dedup.layout(200_000) == (32, 12)
+    for n in (200_000, 5_000_000, 60_000_000):  # more planes and tables, the same recall
+        x, y = (embedding_dedup.hashes(v, *embedding_dedup.layout(n)) for v in (a, b))
+        assert (x == y).any(axis=1).mean() > 0.99
+
+
+def test_buckets_keep_their_size():
+    for n in (10**6, 10**8, 10**10):
+        tables, planes = embedding_dedup.layout(n)
+        assert n / 2**planes <= embedding_dedup.BUCKET and tables < 500
+
+
+def test_more_planes_find_the_same(spark):
+    rng = np.random.default_rng(5)
+    centers = rng.standard_normal((40, 16))
+    rows = [(k, (centers[k % 40] + 0.1 * rng.standard_normal(16)).tolist()) for k in range(200)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    tables, planes = embedding_dedup.layout(60_000_000)
+    assert planes > 12
+    few, many = embedding_dedup.near_duplicates(df), embedding_dedup.near_duplicates(df, tables=tables, planes=planes)
+    assert sorted(map(tuple, few.collect())) == sorted(map(tuple, many.collect()))
