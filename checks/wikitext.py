@@ -121,6 +121,22 @@ def wiki_fields(spark, sf):
     return wikitext(spark, sf).select("doc_id", fields.alias("f")).select("doc_id", "f.*")
 
 
+@query(
+    """SELECT doc_id, CASE WHEN doc_id % 3 = 2 THEN NULL WHEN lang = 'de' THEN concat('New ', source) ELSE upper(lang) END AS country,
+    CASE WHEN doc_id % 2 = 0 THEN concat('at ', source) END AS location FROM documents"""
+)
+def wiki_country(spark, sf):
+    """The country of an infobox: linked, plain, empty, and given twice."""
+    boxes = texts(spark, sf).select("doc_id", F.concat(
+        F.lit("{{Infobox museum\n| Country = "),
+        F.when(F.col("doc_id") % 3 == 2, "").when(F.col("lang") == "de", F.concat(F.lit("old\n| country = [[Land of "), "source", F.lit("|New "), "source", F.lit("]]"))).otherwise(F.upper("lang")),
+        F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("\n| location = at "), "source")).otherwise(""),
+        F.lit("\n}}\n"), "text",
+    ).alias("text"))
+    fields = M.record_fields(M.infobox_entries(M.infobox(F.col("text"))))
+    return boxes.select("doc_id", fields.alias("f")).select("doc_id", "f.country", "f.location")
+
+
 @query(
     f"""SELECT doc_id, 'architect=Ann & Bob ' || doc_id || ';architectural_style=Style of ' || lang || ';coordinates=;height=' || doc_id ||
     ' m = high' || CASE source WHEN 'src4' THEN '' ELSE ';location=' || upper(lang) || ' land, ' || source END || ';name=' || source || ';opened=' ||
@@ -173,7 +189,9 @@ SELECT doc_id, md5(title) AS title, {TITLE_SQL} AS normalized, {TITLE_TOKENS_SQL
   md5(concat('{fixed.WIKI_BASE}', replace(title, ' ', '_'))) AS url, array_to_string(cats, '|') AS categories, md5(abstract) AS abstract,
   CASE lang WHEN 'en' THEN 'museum' WHEN 'fr' THEN 'park' WHEN 'de' THEN 'bridge' ELSE 'place' END AS type,
   location, built, architect, style, height, coordinates,
-  array_to_string(list_filter(p, lambda x, i: list_position(p, x) = i), '|') AS geo_parent FROM parents"""
+  array_to_string(list_filter(p, lambda x, i: list_position(p, x) = i), '|') AS geo_parent,
+  array_to_string(list_transform(list_filter(p, lambda x, i: list_position(p, x) = i),
+    lambda x: array_to_string(regexp_extract_all(lower(strip_accents(x)), '[a-z]{{2,}}'), ' ')), '|') AS geo_parent_tokens FROM parents"""
 
 
 def flat_records(records):
@@ -183,6 +201,7 @@ def flat_records(records):
         F.array_join("categories", "|").alias("categories"), F.md5("abstract").alias("abstract"), "type",
         "fields.location", "fields.built", "fields.architect", "fields.style", "fields.height", "fields.coordinates",
         F.array_join("geo_parent", "|").alias("geo_parent"),
+        F.array_join(F.transform("geo_parent_tokens", lambda t: F.array_join(t, " ")), "|").alias("geo_parent_tokens"),
     )
 
 
