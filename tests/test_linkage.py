@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -183,3 +184,74 @@ def test_texts_of_pages_in_pieces(spark, spread):
     for table in ("postings", "term_stats", "field_stats"):
         assert sorted(map(str, getattr(a, table).select(*getattr(b, table).columns).collect())) == sorted(map(str, getattr(b, table).collect()))
     assert linkage.nest_matches(matches.limit(0)).count() == 0
+
+
+def tokens_of(text):
+    return set(re.findall("[a-z0-9]+", (text or "").lower()))
+
+
+def random_rows(spark, seed):
+    rng = random.Random(seed)
+    words = ["tour", "castle", "garden", "rome", "art", "x"]
+    text = lambda: rng.choice([None, "", *(" ".join(rng.choices(words, k=k)) for k in (1, 2, 3))])
+    a = [(rng.choice([*"abcdef", None]), text(), rng.choice(["Rome", "rome!", "Art", "", None]), text(), rng.choice([None, ["art"]])) for _ in range(150)]
+    geo = [["Rome"], ["Old Rome", "art"], ["Art", None], [], None]
+    p = [(text(), rng.choice([*"uvwxyz", None]), "x", text(), rng.choice(geo), None) for _ in range(150)]
+    return a, p, spark.createDataFrame(a, ACTIVITY), spark.createDataFrame(p, PAGE)
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_one_table_holds_the_links_of_all_rows(spark, seed):
+    a, p, activities, pages = random_rows(spark, seed)
+    key = lambda c: re.sub("[^a-z0-9]+", "", (c or "").lower())
+    one, two = [], []
+    for url, name, city, description, highlights in a:
+        for title, page, _, abstract, geo, _ in p:
+            own = key((geo or [""])[0])
+            near = {own} | {t for g in (geo or [])[:2] for t in tokens_of(g)}
+            names = len(tokens_of(name) & tokens_of(title))
+            texts = len(tokens_of(" ".join([description or "", *(highlights or [])])) & tokens_of(abstract))
+            if city is not None and key(city) == own and names:
+                one.append((url, page, names))
+            if city is not None and key(city) in near and (names or texts >= 2):
+                two.append((url, page, names, texts))
+
+    def listed(rows):
+        return sorted(map(str, map(tuple, rows)))
+
+    of = {k: linkage.linked_v1(activities, pages).table().where(F.col("kind") == k) for k in ("pair", "activity", "page")}
+    joined = of["pair"].select("c", "w", "overlap").join(of["activity"].select("c", "crawler_url"), "c").join(of["page"].select("w", "wiki_url"), "w")
+    assert one and listed(joined.select("crawler_url", "wiki_url", "overlap").collect()) == listed(one)
+    assert listed(linkage.link_v1(activities, pages).select("crawler_url", "wiki_url", "overlap").collect()) == listed(one)
+    assert listed(linkage.link_v2(activities, pages).select("crawler_url", "wiki_url", "overlap_name", "overlap_desc").collect()) == listed(two)
+    members = {k: linkage.linked_v2(activities, pages).table().where(F.col("kind") == k) for k in ("names", "texts", "activity", "page")}
+    assert members["activity"].count() == sum(r[2] is not None for r in a) and members["page"].count() == len(p)
+
+
+def test_copies_are_members_and_not_pairs(spark):
+    activities, pages = world(spark)
+    many = spark.range(100).select(F.col("id").cast("string").alias("copy"))
+    a = activities.crossJoin(many).withColumn("url", F.concat("url", "copy")).drop("copy")
+    w = pages.crossJoin(many).withColumn("url", F.concat("url", "copy")).drop("copy")
+    for found, once in ((linkage.linked_v1(a, w), linkage.linked_v1(activities, pages)), (linkage.linked_v3(a, w), linkage.linked_v3(activities, pages))):
+        assert found.pairs.count() == once.pairs.count() and found.table().count() <= 100 * once.table().count()
+        assert found.rows().count() == 100 * 100 * once.rows().count()
+    owners = linkage.activity_groups(linkage.linked_v3(a, w))[1]
+    assert owners.select("group").distinct().count() == linkage.activity_groups(linkage.linked_v3(activities, pages))[1].select("group").distinct().count()
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_groups_have_the_matches_of_their_activities(spark, seed):
+    _, _, activities, pages = random_rows(spark, seed)
+    pages = pages.where("url IS NOT NULL")
+    linked = linkage.linked_v3(activities.where("url IS NOT NULL"), pages)
+    pairs, owners = linkage.activity_groups(linked)
+    rows = linked.rows()
+    assert rows.count() > 10
+    mine = linkage.of_activities(pairs.select("crawler_url", "wiki_url", "match_type", "overlap_score"), owners)
+    assert sorted(map(tuple, mine.select("crawler_url", "wiki_url", "match_type", "overlap_score").collect())) == sorted(
+        map(tuple, rows.select("crawler_url", "wiki_url", "match_type", "overlap_score").collect())
+    )
+    assert sorted(linkage.of_activities(linkage.best_match(pairs), owners).select("crawler_url", "wiki_url").collect()) == sorted(
+        linkage.best_match(rows).select("crawler_url", "wiki_url").collect()
+    )
