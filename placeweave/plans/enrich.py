@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from placeweave.operators import linkage
 from placeweave.operators.inverted import Index, read_index, read_numbers, write_index
 from placeweave.operators.places import backfill_city, with_place
-from placeweave.operators.search_docs import document_numbers, linked_documents
+from placeweave.operators.search_docs import document_numbers, grouped_documents, linked_documents
 
 
 def place(activities: DataFrame, dictionary: DataFrame) -> DataFrame:
@@ -19,8 +19,15 @@ def link(
     activities: DataFrame, landmarks: DataFrame, cities: DataFrame | None, dictionary: DataFrame
 ) -> DataFrame:
     """Match pairs of activities with landmark and city pages."""
+    return linked(activities, landmarks, cities, dictionary).rows().select(*linkage.V3_COLUMNS)
+
+
+def linked(
+    activities: DataFrame, landmarks: DataFrame, cities: DataFrame | None, dictionary: DataFrame
+) -> linkage.Linked:
+    """The same links between classes of rows."""
     placed = with_place(activities, dictionary)
-    return linkage.link_v3(placed, linkage.union_pages(landmarks, cities))
+    return linkage.linked_v3(placed, linkage.union_pages(landmarks, cities))
 
 
 def matches(pairs: DataFrame, pages: DataFrame) -> DataFrame:
@@ -38,10 +45,17 @@ def enrich(activities: DataFrame, pairs: DataFrame, pages: DataFrame) -> DataFra
     return activities.join(nest(pairs, pages), "url", "left")
 
 
-def build_index(activities: DataFrame, ranked: DataFrame, path: str) -> Index:
-    """Index of activities (as ``place`` leaves them) and their ``matches``; rows indexed before keep their number."""
+def build_index(activities: DataFrame, ranked: DataFrame, path: str, owners: DataFrame | None = None) -> Index:
+    """Index of activities (as ``place`` leaves them) and their ``matches``; rows indexed before keep their number.
+
+    ``ranked`` may be the matches of groups of activities, ``owners`` then says which group an activity is in (``activity_groups``).
+    """
     spark = activities.sparkSession
     numbers = linkage.written(document_numbers(activities, read_numbers(spark, path)), "numbers")
-    documents, pieces = linked_documents(activities, ranked, numbers)
-    write_index(documents, path, pieces=pieces, numbers=numbers)
+    if owners is None:
+        documents, pieces = linked_documents(activities, ranked, numbers)
+        write_index(documents, path, pieces=pieces, numbers=numbers)
+    else:
+        documents, pieces, holders = grouped_documents(activities, ranked, owners, numbers)
+        write_index(documents, path, pieces=pieces, numbers=numbers, holders=holders)
     return read_index(spark, path)

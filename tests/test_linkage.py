@@ -255,3 +255,23 @@ def test_groups_have_the_matches_of_their_activities(spark, seed):
     assert sorted(linkage.of_activities(linkage.best_match(pairs), owners).select("crawler_url", "wiki_url").collect()) == sorted(
         linkage.best_match(rows).select("crawler_url", "wiki_url").collect()
     )
+
+
+def test_texts_of_groups_are_those_of_their_documents(spark, spread):
+    activities = raw_activities(spark, [("a1", "Sagrada tour"), ("a2", "Sagrada tour"), ("a3", "Nothing"), ("a4", "Walk"), ("a4", "Walk on")])
+    owners = spark.createDataFrame([("a1", "g"), ("a2", "g"), ("a4", "h")], "crawler_url string, group string")
+    kinds = "crawler_url string, wiki_url string, match_type string, overlap_score int, wiki_title string, wiki_type string, wiki_abstract string, wiki_architect string, wiki_style string"
+    details = spark.createDataFrame(
+        [("g", f"w{k}", "landmark", k % 3, f"t{k}", "city" if k == 4 else "museum", f"text {k} text" if k != 3 else "", f"arch {k}", "") for k in range(9)]
+        + [("h", "w1", "landmark", 1, "t1", "museum", "?", None, "style")], kinds,
+    )
+    numbers = search_docs.document_numbers(activities)
+    grouped = search_docs.grouped_documents(activities, linkage.ranked_matches(details), owners, numbers)
+    whole = search_docs.linked_documents(activities, linkage.ranked_matches(linkage.of_activities(details, owners)), numbers)
+    assert sorted(map(str, grouped[0].collect())) == sorted(map(str, whole[0].collect()))
+    assert grouped[1].count() == 9 and whole[1].count() == 18
+    both = ["title", "wiki_text"]
+    a = inverted.in_memory_index(grouped[0], both, pieces=grouped[1], holders=grouped[2])
+    b = inverted.in_memory_index(whole[0], both, pieces=whole[1])
+    for table in ("postings", "term_stats", "field_stats"):
+        assert sorted(map(str, getattr(a, table).select(*getattr(b, table).columns).collect())) == sorted(map(str, getattr(b, table).collect()))
