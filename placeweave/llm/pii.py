@@ -6,8 +6,8 @@ an address once (at) and (dot) are read as signs, a number with a check digit, a
 telephone word. What these rules look at is kept from the gradient-boosted trees, which see format
 and context only and so find the same forms where no rule speaks. A span is added if it meets no
 base span and its score passes its kind's threshold: calibrated on candidates outside base spans, in
-a part of the sample that the trees haven't seen. The trees become a column expression, so all texts
-are read once and nothing is shuffled.
+the half of the texts that the trees haven't seen. Trees and thresholds come from all candidates of all texts;
+equal ones are counted before they are shuffled. The trees become a column expression.
 
 Patterns run over marked copies of a text, in which a separator between two digits (or a dot
 between two parts of a host name) is one special character. So a repeated group is a plain run of
@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from placeweave.llm.common import written
 
 KINDS = ("email", "ip", "card", "phone")
-#: Texts from which the trees learn (about so many, dealt by hash), and their number, depth and step.
-SAMPLE_TEXTS, TREES, DEPTH, STEP = 4_000, 10, 3, 0.3
+#: Number, depth and step of the trees.
+TREES, DEPTH, STEP = 10, 3, 0.3
 #: Of the candidates outside base spans that pass a threshold, this share must have a label, and there must be so many.
 PRECISION, LEAST = 0.98, 20
 SPAN = "array<struct<kind:string,start:int,end:int>>"
@@ -187,23 +187,23 @@ def _tree(node, f: Column) -> Column:
 
 
 class Chooser:
-    """Boosted trees and a threshold for each kind; fitted to a sample's candidates (kind, f, label, taken, fold)."""
+    """Boosted trees and a threshold for each kind; fitted to candidates (kind, f, label, taken, fold) and how often each occurs (n)."""
 
-    def __init__(self, sample: DataFrame):
+    def __init__(self, counted: DataFrame):
         from pyspark.ml.classification import GBTClassifier
         from pyspark.ml.feature import VectorAssembler
 
         self.trees, self.threshold = [], {}
-        rows = sample.select("kind", "fold", "taken", F.col("label").cast("double").alias("label"), "f")
-        flat = rows.select("fold", "label", *(F.col(f"f.{c}").alias(c) for c in FEATURES))
+        rows = counted.select("kind", "fold", "taken", F.col("label").cast("double").alias("label"), "f", "n")
+        flat = rows.select("fold", "label", F.col("n").cast("double").alias("n"), *(F.col(f"f.{c}").alias(c) for c in FEATURES))
         fit = flat.where("fold = 0")
         if fit.select("label").distinct().count() < 2:
             return
-        model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, seed=7).fit(VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(fit))
+        model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, seed=7, weightCol="n").fit(VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(fit))
         self.trees = [(w, t._java_obj.rootNode()) for w, t in zip(model.treeWeights, model.trees)]
-        scored = rows.where("fold = 1 AND NOT taken").select("kind", "label", F.round(self.score(F.col("f")), 3).alias("p"))
+        scored = rows.where("fold = 1 AND NOT taken").select("kind", "label", "n", F.round(self.score(F.col("f")), 3).alias("p"))
         found: dict[str, list] = {}
-        for r in scored.groupBy("kind", "p").agg(F.sum("label").alias("good"), F.count("*").alias("n")).orderBy("kind", F.desc("p")).collect():  # at most 1,001 a kind
+        for r in scored.groupBy("kind", "p").agg(F.sum(F.col("label") * F.col("n")).alias("good"), F.sum("n").alias("n")).orderBy("kind", F.desc("p")).collect():  # at most 1,001 a kind
             found.setdefault(r.kind, []).append((r.p, r.good, r.n))
         for kind, steps in found.items():
             good = n = 0
@@ -235,12 +235,11 @@ def _with_base(docs: DataFrame, text: str) -> DataFrame:
     return rows.withColumn("_base", F.concat(*base_spans(F.col("_text")).values()))
 
 
-def fit(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Chooser:
-    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    of = max(1, rows.count() // SAMPLE_TEXTS)
-    rows = _with_base(rows.where(F.pmod(F.xxhash64("key", "text"), F.lit(of)) == 0), "text")
-    sample = rows.select(F.pmod(F.xxhash64("text"), F.lit(2)).alias("fold"), F.inline(candidates(F.col("_text"), F.col("_base"), labelled=True)))
-    return Chooser(written(sample.select("kind", "fold", "label", "taken", "f"), "candidates"))
+def fit(docs: DataFrame, text: str = "text") -> Chooser:
+    rows = _with_base(docs.select(F.col(text).alias("text")), "text")
+    found = rows.select(F.pmod(F.xxhash64("text"), F.lit(2)).alias("fold"), F.inline(candidates(F.col("_text"), F.col("_base"), labelled=True)))
+    counted = found.groupBy("kind", "fold", "label", "taken", "f").agg(F.count("*").alias("n"))
+    return Chooser(written(counted, "candidates"))
 
 
 def _order(spans: Column) -> Column:
@@ -254,7 +253,7 @@ def _listed(spans: Column) -> Column:
 
 def with_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """docs with ``_text`` (null as empty), ``_base`` and ``_spans``: base spans, and with the added ones."""
-    chooser = fit(docs, key, text)
+    chooser = fit(docs, text)
     rows = _with_base(docs, text)
     if not chooser.threshold:
         return rows.withColumn("_spans", F.col("_base"))

@@ -97,3 +97,13 @@ def test_forms_outside_the_base_are_added(spark, docs):
         found += len(added & wanted[r.doc_id])
         wrong += sum(any(a < e and s < b for s, e in other[r.doc_id]) for _, a, b in added)
     assert found == 2400 and wrong == 0
+
+
+def test_rare_forms_in_many_texts_count(spark, docs):
+    """Trees and thresholds come from all texts: forms in 1 of 200 are too few in any sample of 4,000."""
+    rows = [(k, f"see a{k}@b.org or name{k}(at)host{k % 7}(dot)org now" if k % 200 == 0 else f"x{k}(at)5(dot)30 and a{k}@b.org") for k in range(20_000)]
+    got = {r.doc_id: r.spans for r in pii.personal_data(docs(rows)).where("doc_id % 200 = 0").collect()}
+    texts = dict(rows)
+    assert len(got) == 100
+    assert all(f"email:{texts[k].index('name')}:{texts[k].index(' now')}" in spans.split(",") for k, spans in got.items())
+    assert pii.personal_data(docs(rows)).where("doc_id % 200 > 0 AND spans LIKE '%,%'").count() == 0
