@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from placeweave.operators import evaluate, fuzzy, inverted, search
+from placeweave.operators import best, evaluate, fuzzy, inverted, search
 from placeweave.operators.search_docs import search_documents
 from placeweave.sources.schemas import ENRICHED
 
@@ -115,6 +115,16 @@ def test_terms_counted_within_a_row(spark):
         assert got[k] == {(t, x.count(t), tuple(i for i, y in enumerate(x) if y == t)) for t in x}
 
 
+def test_rows_of_counted_terms(spark, monkeypatch):
+    monkeypatch.setattr(inverted, "TERMS_AT_ONCE", 30)
+    rng = random.Random(6)
+    lists = [[rng.choice("abcdé") for _ in range(rng.randint(1, 40))] for _ in range(50)]
+    df = spark.createDataFrame([(k, x) for k, x in enumerate(lists)], "k int, terms array<string>")
+    got = {(r.k, r.term): (r.tf, r.positions) for r in inverted.counted_rows(df, F.col("k") % 2 == 0).collect()}
+    places = lambda k, t: [i for i, y in enumerate(lists[k]) if y == t]
+    assert got == {(k, t): (x.count(t), None if k % 2 else places(k, t)) for k, x in enumerate(lists) for t in x}
+
+
 def test_any_token_never_loses_hits(spark, index):
     got, _ = urls(spark, index, one="barcelona or show", two="barcelona or show or paris")
     assert set(got["one"]) <= set(got["two"])
@@ -147,6 +157,29 @@ def test_ways_agree(spark, index, monkeypatch):
     assert results[0] == results[1] == results[2] == results[3] and results[0]
 
 
+@pytest.mark.parametrize("blocks", [(400_000, 1_000_000, 1_000_000), (40, 30, 20)])
+def test_best_documents_are_those_of_all_that_match(spark, monkeypatch, blocks):
+    for name, value in zip(("ROWS_PER_BLOCK", "PAIRS_AT_ONCE", "HELD"), blocks):
+        monkeypatch.setattr(best, name, value)
+    rng = random.Random(7)
+    text = lambda n: " ".join(rng.choice(["aa", "bb", "cc", "dd", "la", "hot"]) for _ in range(rng.randint(0, n)))
+    docs = [(i, text(6), text(30), text(9), "x") for i in range(300)] + [(i, "aa bb", "cc", "dd", None) for i in (5, 5, 400, None)]
+    extra = "NULL url, NULL architect, NULL style, NULL rating, NULL review_count"
+    documents = spark.createDataFrame(docs, "doc_id long, title string, click_text string, wiki_text string, city string")
+    built = inverted.in_memory_index(documents.selectExpr("*", *extra.split(", ")))
+    asked = ["aa bb", "bb aa dd", "la la", "hot", "aa or dd or nowhere", "cc or cc", "aa nowhere", "nowhere", "", "dd cc bb aa la hot"]
+    tokens = search.query_tokens(spark.createDataFrame([*((q, q) for q in asked), ("aa bb", "aa bb"), ("hot", "hot or aa")], QUERY))
+    words = search.synonym_table(spark, {"hot": ["aa bb", "cc"]})
+    clauses = search.exact_clauses(tokens).unionByName(search.synonym_clauses(tokens, words))
+    for phrase in (True, False):
+        for n in (3, 50):
+            want = search.top_hits(search.combine(tokens, clauses, built, phrase), "text_score", n).drop("rank").collect()
+            got = search.best_documents(tokens, clauses, built, phrase, n)
+            assert sorted(map(repr, got.collect())) == sorted(map(repr, want)) and want
+    large = search.best_documents(tokens, clauses, built, True, 3, tokens_at_once=1)
+    assert sorted(map(repr, large.collect())) == sorted(map(repr, search.best_documents(tokens, clauses, built, True, 3).collect()))
+
+
 JUDGED = {
     "flamenco": ([1.0] * 9 + [0.0], 100.0),
     "arch": ([1.0, 1.0, 1.0, 1.0, 0.5, 1.0, 1.0, 1.0, 0.0, 0.5], 98.943894),
