@@ -1,15 +1,15 @@
 """Toxicity by weak supervision: voters, a generative label model, a linear classifier.
 
 1. Terms (words, and their first four and five letters) that labelled toxic texts have much more
-   often are found on a bounded sample of labelled rows.
+   often are counted over all labelled rows.
 2. Sixteen voters look at every text: lexicons (terms, dealt by kind and hash; known insults) and
    patterns of writing. Votes are bits, so the votes of all texts are a histogram of at most 2^16 rows.
 3. The label model learns from that histogram how often each voter speaks up in either class, and how
    voters of a class go together, by expectation maximisation; labelled rows keep their class.
    Correlated voters share their weight.
-4. A logistic regression on terms is fitted to posterior labels of a bounded sample, and scores all.
+4. A logistic regression on terms is fitted to the posterior labels of all texts, equal ones counted, and scores all.
 
-Bounds: LABELLED_ROWS for terms and fixed classes, FIT_ROWS for the regression, TERMS for its inputs.
+TERMS bounds the inputs of the regression; rows are not sampled.
 """
 
 from __future__ import annotations
@@ -21,13 +21,18 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from placeweave.llm.common import importable, text_rows, worker_store, written
 
-LABELLED_ROWS, FIT_ROWS, TERMS = 12_000, 20_000, 2_000
+#: Up to so many labels are sent to all tasks; more of them are joined by a shuffle.
+LABELLED_ROWS, TERMS = 12_000, 2_000
+#: The regression's penalty on squared weights, and the most steps it takes.
+PENALTY, STEPS = 2e-4, 100
 #: A term is in at least so many labelled toxic texts and this share of them, at these log odds.
 LEAST_TEXTS, LEAST_SHARE, LEAST_ODDS = 3, 0.01, 3.5
 WORD = re.compile(r"[^\W\d_]+")
@@ -74,7 +79,10 @@ def patterns(text: str, words: Counter) -> list[bool]:
 
 
 def _sample(rows: DataFrame, n: int, key: str) -> DataFrame:
-    """At most n rows, chosen by a hash of their key: of larger tables, those under a threshold are sorted, and of ties any are taken."""
+    """At most n rows, chosen by a hash of their key: of larger tables, those under a threshold are sorted, and of ties any are taken.
+
+    For a look at a table; nothing is learned from it.
+    """
     total = rows.count()
     lot = F.pmod(F.xxhash64(key), F.lit(1 << 30))
     some = rows.where(lot < int((1 << 30) * min(1.0, 1.2 * n / total))) if total > n else rows
@@ -188,19 +196,18 @@ def label_model(masks: np.ndarray, counts: np.ndarray, known: np.ndarray, rounds
     return p
 
 
-def fit(found: list[list[int]], p: np.ndarray, n_terms: int, rounds: int = 400, penalty: float = 2e-4) -> np.ndarray:
-    """Weights of terms and, last, the intercept: logistic regression on soft labels."""
-    row = np.repeat(np.arange(len(found)), [len(f) for f in found])
-    col = np.fromiter((k for f in found for k in f), np.int64, len(row))
-    w, m, v = np.zeros(n_terms + 1), np.zeros(n_terms + 1), np.zeros(n_terms + 1)
-    n = max(1, len(found))
-    for t in range(1, rounds + 1):
-        z = w[-1] + np.bincount(row, w[col], len(found))
-        error = (1 / (1 + np.exp(-z)) - p) / n
-        g = np.append(np.bincount(col, error[row], n_terms), error.sum()) + penalty * np.append(w[:-1], 0)
-        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-        w -= 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-9)
-    return w
+def fit(voted: DataFrame, p: dict[int, float], n_terms: int) -> np.ndarray:
+    """Weights of terms and, last, the intercept: logistic regression on soft labels, those of the masks in p. voted: mask, found."""
+    if not p:
+        return np.zeros(n_terms + 1)
+    classes = voted.sparkSession.createDataFrame([(m, float(x)) for m, x in p.items()], "mask int, p double")  # at most 2^VOTERS rows
+    of_class = F.explode(F.array(F.struct(F.lit(1.0).alias("label"), F.col("p").alias("share")), F.struct(F.lit(0.0).alias("label"), (1 - F.col("p")).alias("share"))))
+    # texts with the same terms are one row for each class, however many they are
+    rows = voted.join(F.broadcast(classes), "mask").select("found", of_class.alias("c")).groupBy("found", "c.label").agg(F.sum("c.share").alias("weight"))
+    terms = CountVectorizerModel.from_vocabulary([str(k) for k in range(n_terms)], inputCol="terms", outputCol="features")
+    rows = terms.transform(written(rows, "counted").withColumn("terms", F.col("found").cast("array<string>")))
+    model = LogisticRegression(weightCol="weight", regParam=PENALTY, standardization=False, maxIter=STEPS).fit(rows)
+    return np.append(model.coefficients.toArray(), model.intercept)
 
 
 def scores(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", carry: list[str] | None = None) -> DataFrame:
@@ -217,7 +224,8 @@ def scores(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
     rows = text_rows(docs, key, text)
     known = labels.where(F.col(key).isNotNull() & F.col(label).isin(0, 1)).where(learnable(key)).groupBy(F.col(key).cast("long").alias(key)).agg(F.max(label).cast("long").alias("toxic"))
     known = written(known.join(rows.select(key).distinct(), key, "left_semi"), "known")
-    known = F.broadcast(written(_sample(known, LABELLED_ROWS, key), "labelled"))  # at most LABELLED_ROWS rows
+    if known.count() <= LABELLED_ROWS:
+        known = F.broadcast(known)
     terms = find_terms(rows.join(known, key).select("text", "toxic"))
     terms += sorted(INSULTS.difference(terms))
     voted = written(votes(rows, terms, key, text), "votes")
@@ -228,8 +236,7 @@ def scores(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
     for r in voted.join(known, key).groupBy("mask", "toxic").agg(F.count("*").alias("n")).collect():
         fixed[place[r.mask], r.toxic] = r.n
     p = label_model(masks, np.array([seen[m] for m in masks.tolist()], float), fixed)
-    sample = _sample(voted, FIT_ROWS, key).select("mask", "found").collect()  # at most FIT_ROWS rows
-    weights = fit([r.found for r in sample], np.array([p[place[r.mask]] for r in sample]), len(terms))
+    weights = fit(voted, dict(zip(masks.tolist(), p.tolist())), len(terms))
     judged = [(~learnable(key)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")]
     if carry:
         found = scored_rows(docs, terms, weights, text, carry)

@@ -86,3 +86,27 @@ def test_labels_of_other_texts_use_up_no_room(spark, docs, monkeypatch):
     labels = spark.createDataFrame([(k, y) for k, _, y in data] + others, "doc_id long, toxic int")
     got = {r.doc_id: r.predicted for r in toxicity.scores(docs([(k, t) for k, t, _ in data]), labels).collect()}
     assert np.mean([got[k] == y for k, _, y in data]) > 0.97
+
+
+def test_f18_all_labels_and_texts_count(spark, docs, monkeypatch):
+    """Before, terms came from LABELLED_ROWS rows at most; 40 of 640 texts have too few of the toxic ones."""
+    monkeypatch.setattr(toxicity, "LABELLED_ROWS", 40)
+    monkeypatch.setattr(toxicity, "FIT_ROWS", 40, raising=False)
+    seen = []
+    monkeypatch.setattr(toxicity, "find_terms", lambda labelled, f=toxicity.find_terms: seen.append(labelled.count()) or f(labelled))
+    data = rows()
+    labels = spark.createDataFrame([(k, y) for k, _, y in data], "doc_id long, toxic int")
+    got = {r.doc_id: r.predicted for r in toxicity.scores(docs([(k, t) for k, t, _ in data]), labels).collect()}
+    assert seen == [sum(zlib.crc32(str(k).encode()) % 5 != 0 for k, _, _ in data)]
+    assert np.mean([got[k] == y for k, _, y in data]) > 0.97
+
+
+def test_f18_fit_weighs_equal_texts(spark):
+    """Weights are those of minimising the mean loss over all texts, equal ones counted."""
+    voted = spark.createDataFrame([(1, [0])] * 30 + [(0, [1])] * 60 + [(0, [])] * 10, "mask int, found array<int>")
+    w = toxicity.fit(voted, {0: 0.02, 1: 0.9}, 2)
+    x = np.array([[1, 0, 1]] * 30 + [[0, 1, 1]] * 60 + [[0, 0, 1]] * 10, float)
+    p = np.array([0.9] * 30 + [0.02] * 70)
+    slope = x.T @ (1 / (1 + np.exp(-x @ w)) - p) / 100 + toxicity.PENALTY * np.array([w[0], w[1], 0])
+    assert np.abs(slope).max() < 1e-3
+    assert toxicity.fit(voted.limit(0), {}, 2).tolist() == [0, 0, 0]
