@@ -57,6 +57,17 @@ def test_html_files(spark, tmp_path):
     assert row.html == "<h1>A\nB</h1>" and row.city == "rome"
 
 
+def test_f27_texts_are_written_to_folders(spark, tmp_path):
+    """Every text is in its folder, whole, and nothing is left behind."""
+    path = str(tmp_path / "saved")
+    rows = spark.range(40).selectExpr("id AS k", "concat('<p>', id, char(10), '</p>') AS value")
+    files.write_text_files(rows, "k", path)
+    tasks = {f.name.split("-")[1] for f in (tmp_path / "saved").glob("k=*/part-*")}
+    assert len(tasks) > 8  # so few bytes went to one task before
+    saved = files.read_html_files(spark, f"{path}/*").withColumn("folder", files.city_from_path(F.col("path")))
+    assert {r.folder: r.html for r in saved.collect()} == {f"k={k}": f"<p>{k}\n</p>\n" for k in range(40)}
+
+
 def test_chunks_are_extracted_once(spark, tmp_path):
     chunks, out, check = (str(tmp_path / d) for d in ("chunks", "out", "check"))
     (tmp_path / "chunks").mkdir()
