@@ -35,6 +35,33 @@ def test_near_terms_like_brute_force(spark, k):
     assert all(p in want or n == 2 for p, n in got.items())
 
 
+@pytest.mark.parametrize("keys_at_once, keys_in_memory", [(10**6, 10**6), (0, 10**6), (10**6, 50)])
+@pytest.mark.parametrize("k", [1, 2])
+def test_near_terms_by_keys(spark, monkeypatch, k, keys_at_once, keys_in_memory):
+    monkeypatch.setattr(fuzzy, "KEYS_AT_ONCE", keys_at_once)
+    monkeypatch.setattr(fuzzy, "KEYS_IN_MEMORY", keys_in_memory)
+    rng = random.Random(k)
+    words = sorted({"".join(rng.choice("aé\U0001d538") for _ in range(rng.choice([1, 2, 3, 4, 9]))) for _ in range(120)})
+    rows = [(f, w, n) for n, w in enumerate([*words, "", None]) for f in ("title", "city")]
+    vocabulary = spark.createDataFrame(rows, "field string, term string, df bigint").repartition(3)
+    tokens = spark.createDataFrame([(w,) for w in [*words[::7], *words[::7], None]], "token string")
+    got = fuzzy.near_terms(tokens, vocabulary, k).collect()
+    near = {(r.token, r.field, r.term): r for r in got}
+    assert len(near) == len(got) and all(r.df == words.index(r.term) for r in got if r.term)
+    want = {(a, f, b): brute_edits(a, b) for a in words[::7] for b in words for f in ("title", "city") if brute_edits(a, b) <= k}
+    assert want and all(near[p].edits == n for p, n in want.items())
+    assert all(p in want or r.edits == 2 for p, r in near.items() if p[2])
+
+
+def test_only_keys_of_the_tokens_are_made(spark):
+    asked = fuzzy.with_keys(spark.createDataFrame([("ring",)], "token string"), "token", 2)
+    wanted = sorted({r.key for r in asked.collect()})
+    assert len(wanted) == 1 + 4 + 6
+    words = spark.createDataFrame([(f"{n:09d}xyz",) for n in range(1000)] + [("rings",), ("wrong",)], "term string")
+    got = fuzzy.with_keys(words, "term", 2, fuzzy.np.array(wanted)).collect()
+    assert {r.term for r in got} == {"rings", "wrong"} and {r.key for r in got} <= set(wanted)
+
+
 def activity(url, title, description="", city=None, rating=None, reviews=None):
     blank = dict.fromkeys([f.split()[0] for f in ("name", "price", "currency", "ld_type", "reviews", "highlights", "featured_reviews", "primary_match")])
     return {**blank, "url": url, "title": title, "description": description, "city": city, "rating": rating, "reviewCount": reviews, "matches": []}
