@@ -72,6 +72,7 @@ def primary(activities, pages):
 V1, V2, V3 = ["overlap"], ["overlap_name", "overlap_desc"], ["overlap_score", "match_type"]
 EXPECTED = {
     "link_v1": (by_name, V1),
+    "link_v2": (by_texts, V2),
 }
 
 
