@@ -73,6 +73,7 @@ V1, V2, V3 = ["overlap"], ["overlap_name", "overlap_desc"], ["overlap_score", "m
 EXPECTED = {
     "link_v1": (by_name, V1),
     "link_v2": (by_texts, V2),
+    "link_v2_split": (by_texts, V2),
 }
 
 
