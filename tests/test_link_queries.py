@@ -74,6 +74,7 @@ EXPECTED = {
     "link_v1": (by_name, V1),
     "link_v2": (by_texts, V2),
     "link_v2_split": (by_texts, V2),
+    "link_v2_repeated": (twice, V2),
 }
 
 
