@@ -75,6 +75,7 @@ EXPECTED = {
     "link_v2": (by_texts, V2),
     "link_v2_split": (by_texts, V2),
     "link_v2_repeated": (twice, V2),
+    "link_v3": (smart, V3),
 }
 
 
