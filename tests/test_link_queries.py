@@ -76,6 +76,7 @@ EXPECTED = {
     "link_v2_split": (by_texts, V2),
     "link_v2_repeated": (twice, V2),
     "link_v3": (smart, V3),
+    "link_v3_split": (smart, V3),
 }
 
 
