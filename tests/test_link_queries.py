@@ -77,6 +77,7 @@ EXPECTED = {
     "link_v2_repeated": (twice, V2),
     "link_v3": (smart, V3),
     "link_v3_split": (smart, V3),
+    "primary_flag": (primary, ["match_type", "is_primary"]),
 }
 
 
