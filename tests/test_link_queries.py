@@ -78,6 +78,7 @@ EXPECTED = {
     "link_v3": (smart, V3),
     "link_v3_split": (smart, V3),
     "primary_flag": (primary, ["match_type", "is_primary"]),
+    "link_wide": (by_name, V1),
 }
 
 
